@@ -13,6 +13,7 @@ columns of the input are not read, whatever their names.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import broadcast_if_small, stored
-from .text import Words, blocks, joined, ragged
+from .text import Words, blocks, byte_characters, joined, ragged
 
 LIMIT = 4096
 END_ID = 1
@@ -65,18 +66,57 @@ def best_fit(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, n
     return bins, offsets, np.array(fills, np.int64)
 
 
+#: Kinds of bytes: letters, digits (one a unit), other signs, and those that leave a word to the library.
+LETTER, DIGIT, SIGN, ASK = 1, 2, 3, 4
+_KIND = np.full(256, ASK, np.uint8)
+_KIND[:128] = SIGN
+_KIND[[*range(65, 91), *range(97, 123)]] = LETTER
+_KIND[48:58] = DIGIT
+_KIND[[*range(32), 127, ord("'"), ord("|")]] = ASK  # control characters, contractions and special strings
+_KIND[[0xC3, 0xC4, 0xC5]] = LETTER  # U+00C0 to U+017F
+_ASKED = re.compile(rb"[\x00-\x1f\x7f'|\xc2\xc6-\xff]|\xc4\xb0")
+
+
+def _units(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Where the tokenizer's words begin in the bytes of ``words``, and how many each text has.
+
+    White-space words of plain Latin letters, digits and signs are cut where the kind changes, as the tokenizer's
+    pattern cuts them; any other word stays whole.
+    """
+    data = words.data
+    kind = _KIND[data]
+    wide = np.flatnonzero(data == 0xC3)
+    kind[wide[np.isin(data[wide + 1], (0x97, 0xB7))]] = SIGN
+    wide = np.flatnonzero(data == 0xC4)
+    kind[wide[data[wide + 1] == 0xB0]] = ASK
+    rest = np.flatnonzero((data & 0xC0) == 0x80)
+    kind[rest] = kind[rest - 1]
+    begins = np.zeros(len(data), bool)
+    if len(words):
+        whole = np.repeat(np.maximum.reduceat(kind, words.at[:-1]) == ASK, words.size)
+        begins[1:] = ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)) & ~whole[1:] & ((data[1:] & 0xC0) != 0x80)
+        begins[words.at[:-1]] = True
+    start = np.flatnonzero(begins)
+    return start, np.diff(np.searchsorted(start, words.at[words.edges]))
+
+
 class WordIds:
-    """Token ids of words, remembered between blocks. White space parts the tokenizer's words, so a text's ids
-    are those of its words one after another; the tests hold this against the library on whole texts."""
+    """Token ids of the tokenizer's words, remembered between blocks. White space parts these words, so a text's
+    ids are those of its words one after another; the tests hold this against the library on whole texts."""
 
+    #: A character that is one token by itself; words left to the library are encoded as one text with it between them.
+    MARK = "\x01"
     #: Words and ids that are remembered at most; then the memory starts afresh.
-    MOST_WORDS, MOST_IDS = 400_000, 4_000_000
+    MOST_WORDS, MOST_IDS = 600_000, 4_000_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.shown = byte_characters()
+        (self.mark,) = self._encode(self.MARK)
         self.clear()
 
     def clear(self) -> None:
@@ -85,17 +125,34 @@ class WordIds:
         self.start, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
         self.words = self.used = 0
 
-    def _add(self, lists: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((x for ids in lists for x in ids), np.uint32, int(sizes.sum()))
-        while self.words + len(lists) > len(self.start):
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _add(self, words: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
+        while self.words + len(sizes) > len(self.start):
             self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
         while self.used + len(flat) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        rows = slice(self.words, self.words + len(lists))
+        rows = slice(self.words, self.words + len(sizes))
         self.size[rows], self.start[rows] = sizes, self.used + np.cumsum(sizes) - sizes
         self.ids[self.used : self.used + len(flat)] = flat
-        self.words, self.used = self.words + len(lists), self.used + len(flat)
+        self.known.update(zip(words, range(self.words, self.words + len(words))))
+        self.words, self.used = self.words + len(sizes), self.used + len(flat)
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, asked, alone = [], [], []
+        for w in words:
+            (alone if self.MARK.encode() in w else asked if _ASKED.search(w) else plain).append(w)
+        tokenize, shown = self.model.tokenize, self.shown
+        lists = [[t.id for t in tokenize((w.lower().decode() if w.isascii() else w.decode().lower().encode().decode("latin-1").translate(shown)))] for w in plain]
+        lists += [self._encode(w.decode()) for w in alone]
+        self._add(plain + alone, np.fromiter((i for x in lists for i in x), np.uint32), np.fromiter(map(len, lists), np.int64, len(lists)))
+        for k in range(0, len(asked), 8192):
+            some = asked[k : k + 8192]
+            ids = np.array(self._encode(f" {self.MARK} ".join(w.decode() for w in some)), np.uint32)
+            marks = np.flatnonzero(ids == self.mark)
+            sizes = np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1
+            self._add(some, np.delete(ids, marks), sizes)
 
     def of(self, words: pa.Array, end_id: int) -> tuple[np.ndarray, int]:
         """The place of each word in the memory, and that of the end id."""
@@ -105,16 +162,11 @@ class WordIds:
         distinct = coded.dictionary.to_pylist()
         end = b"\n" + str(end_id).encode()  # no word holds white space
         if end not in self.known:
-            self.known[end] = self.words
-            self._add([[end_id]])
-        places = [self.known.get(w, -1) for w in distinct]
-        new = [i for i, p in enumerate(places) if p < 0]
-        for k in range(0, len(new), 4096):
-            some = new[k : k + 4096]
-            lists = [x.ids for x in self.tokenizer.encode_batch([distinct[i].decode() for i in some], add_special_tokens=False)]
-            for j, i in enumerate(some):
-                places[i] = self.known[distinct[i]] = self.words + j
-            self._add(lists)
+            self._add([end], np.array([end_id], np.uint32), np.array([1]))
+        places = list(map(self.known.get, distinct))
+        if new := [w for w, p in zip(distinct, places) if p is None]:
+            self._learn(new)
+            places = list(map(self.known.__getitem__, distinct))
         return np.array(places, np.int64)[coded.indices.to_numpy()] if len(words) else np.empty(0, np.int64), self.known[end]
 
 
@@ -124,13 +176,15 @@ _word_ids: dict[str, WordIds] = {}
 def _tokenised(batch: pa.RecordBatch, text: str, words_of: WordIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a block, each followed by the end id, and their offsets."""
     words = Words(*joined(batch.column(text)))
-    places, end = words_of.of(words.array(), end_id)
-    docs = len(words.per)
+    start, per = _units(words)
+    units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.append(start, len(words.data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(words.data))])
+    places, end = words_of.of(units, end_id)
+    docs = len(per)
     slots = np.full(len(places) + docs, end, np.int64)
-    slots[np.arange(len(places)) + words.doc] = places
+    slots[np.arange(len(places)) + np.repeat(np.arange(docs), per)] = places
     sizes = words_of.size[slots]
     ids = words_of.ids[ragged(words_of.start[slots], sizes)]
-    ends = np.cumsum(sizes)[np.cumsum(words.per + 1) - 1]
+    ends = np.cumsum(sizes)[np.cumsum(per + 1) - 1]
     return ids, np.concatenate(([0], ends))
 
 

@@ -101,3 +101,11 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], start[0]+1 ... (size[0] of them), start[1], ... as one index."""
     ends = np.cumsum(size)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
+
+
+def byte_characters() -> dict[int, str]:
+    """The visible characters that byte-level vocabularies write for bytes: printable Latin-1 stands for itself,
+    the others follow from U+0100 in order."""
+    plain = {b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}

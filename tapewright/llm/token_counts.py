@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import blocks, joined
+from .text import blocks, byte_characters, joined
 
 # Classes of code points: letters by their part in a contraction, digits, white space, apostrophe, other, end of text.
 LETTER, ONE, TWO, DOUBLE, SECOND, DIGIT, BLANK, SPACE, QUOTE, OTHER, END = range(11)
@@ -152,9 +152,7 @@ class MergeCounter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
-        #: The visible characters that stand for bytes: printable Latin-1 stands for itself, the others follow from 256.
-        plain = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
-        shown = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        shown = {c: b for b, c in byte_characters().items()}
         as_bytes = lambda s: bytes(shown[c] for c in s)
         self.rank = {}
         for r, pair in enumerate(model["merges"]):

@@ -47,7 +47,7 @@ def test_query_against_the_library(spark, sf):
 def test_edge_cases_and_residual_rounds(spark):
     rng = random.Random(3)
     texts = {i: " ".join("abcdefgh"[rng.randrange(8)] * rng.randrange(1, 9) for _ in range(rng.randrange(60))) for i in range(200)}
-    texts |= {900: None, 901: "", 902: " \t\n", 903: "it's  I'LL can't Straße 12 İstanbul é <|endoftext|> x\x1cy", 904: "word " * 500, 905: "x" * 3000}
+    texts |= {900: None, 901: "", 902: " \t\n", 903: "it's  I'LL can't Straße 12 İstanbul é <|endoftext|> x\x1cy", 904: "word " * 500, 905: "x" * 3000, 906: "a\x01b \x01 c\x01\x01", 907: "Ünï-cödé×÷Ÿ12a3 ŁÓDŹ… x²y ½ ﬁ Å e\u0301 a.b,c(d)5% \x7f\x1d <|x|> a|b don't 's x''re İi ǅ 中文字 ٣٤", 908: "the <|startoftext|>the end<|endoftext|>"}
     docs = spark.createDataFrame([(k, v, "t", 1, 2) for k, v in texts.items()], "doc_id long, text string, bin string, fill int, piece int").repartition(7)
     rows = packing.pack_sequences(docs, TOKENIZER, limit=64, slack=1).collect()
     bins, total = check(rows, texts, 64)
