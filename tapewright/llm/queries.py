@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, matroska, mixing, near_dedup, packing, token_counts
+from . import dedup, matroska, mixing, near_dedup, packing, pii, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,11 +35,15 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(documents(spark, sf_dir)))
+
+
 def op10_matroska_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.round_trip(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_source_mixing, op6_exact_dedup, op7_minhash_near_dedup, op10_matroska_media)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_source_mixing, op6_exact_dedup, op7_minhash_near_dedup, op9_pii_spans, op10_matroska_media)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_source_mixing": r"""
