@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, matroska, mixing, near_dedup, packing, pii, token_counts
+from . import dedup, licences, matroska, mixing, near_dedup, packing, pii, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir))
+
+
 def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(documents(spark, sf_dir)))
 
@@ -43,7 +47,7 @@ def op10_matroska_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.round_trip(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_source_mixing, op6_exact_dedup, op7_minhash_near_dedup, op9_pii_spans, op10_matroska_media)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_source_mixing, op6_exact_dedup, op7_minhash_near_dedup, op8_license_scan, op9_pii_spans, op10_matroska_media)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_source_mixing": r"""
@@ -89,3 +93,31 @@ g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY h
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.h AS text_sha256 FROM d JOIN g USING (h)
 """,
 }
+
+
+def _canonical_sql(text: str) -> str:
+    """The canonical form of licences.canonical, in DuckDB's dialect."""
+    text = f"regexp_replace(translate({text}, '{licences.UPPER}', '{licences.LOWER}'), '{licences.COPYRIGHT_LINE}', '\\1', 'g')"
+    for spelling, one in licences.SPELLINGS:
+        quoted = spelling.replace("'", "''")
+        text = f"replace({text}, '{quoted}', '{one}')"
+    return f"trim(regexp_replace({text}, '{licences.SIGNS}', ' ', 'g'))"
+
+
+def _licence_sql() -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    values = ", ".join(f"({quote(a)}, {quote(b)})" for a, b in licences.KNOWN)
+    longest = 4 * max(len(t) for _, t in licences.KNOWN)
+    return f"""
+WITH v(licence, body) AS (VALUES {values}),
+k AS (SELECT sha256({_canonical_sql("body")}) AS digest, min(licence) AS licence FROM v GROUP BY 1),
+d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+s AS (SELECT doc_id, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS n FROM d),
+l AS (SELECT s.doc_id, s.n, k.licence FROM s JOIN k ON length(line) <= {longest} AND sha256({_canonical_sql("line")}) = k.digest),
+g AS (SELECT doc_id, count(*) AS n_lines, string_agg(licence, ',' ORDER BY n) AS licences FROM l GROUP BY doc_id)
+SELECT d.doc_id, sha256({_canonical_sql("body")}) AS digest, k.licence, coalesce(g.n_lines, 0) AS n_lines, coalesce(g.licences, '') AS licences
+FROM d LEFT JOIN k ON sha256({_canonical_sql("body")}) = k.digest LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
+
+ORACLE_SQL["op8_license_scan"] = _licence_sql()
