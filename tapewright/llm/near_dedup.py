@@ -6,12 +6,12 @@ share a band; 24 bands of 4 coordinates miss a pair at 0.8 with probability 3e-6
 Classes are the connected components of the links.
 
 1. Texts with equal words are one text from the start, however many rows hold them.
-2. In each band bucket every text is compared with one leader (a different one in each bucket). A bucket of any
-   size gives one pair a text; sums and minima are made before the shuffle.
-3. Components are taken. A bucket whose texts are now in one component needs no more. Elsewhere each text outside
-   the bucket's main component is held against all texts of the bucket, in blocks, by its signature; pairs that
-   agree in enough coordinates are checked exactly. So no pair that shares a bucket is left out, and pairs within
-   a component are never listed.
+2. In each band bucket every text is compared with one leader. A bucket of any size gives one pair a text; sums
+   and minima are made before the shuffle. Components are taken, and buckets whose texts are not yet in one component
+   get another leader, for a few rounds.
+3. What is left is settled within the buckets: each text outside a bucket's main component is held against all
+   texts of the bucket, in blocks, by signature and then by its exact shingles, best first, until it is linked.
+   So no pair that shares a bucket is left out, and pairs within a component are never listed.
 
 Defined cases: null and empty texts have no words and are copies of each other. Ids may be null or repeat: rows are told
 apart by a number of their own, a class is named by its smallest id (null if it has none) and keeps one row. An
@@ -36,6 +36,8 @@ from .text import LOWER, Words, blocks, joined, mix, ragged
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
+#: Rounds of leaders before the rest is settled within the buckets.
+ROUNDS = 4
 #: Texts of a bucket that are compared as one block.
 BLOCK = 256
 #: Share of signature coordinates from which a pair is checked exactly: five standard deviations below 0.8.
@@ -106,21 +108,18 @@ def _sets(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(sets, "same binary, shingles binary")
 
 
-def linked(pairs: DataFrame, docs: DataFrame, text_col: str, similarity: float) -> DataFrame:
+def _similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common >= similarity * (len(x) + len(y) - common) - 1e-9
+
+
+def linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, same_a, b, same_b) whose shingle sets are similar enough, as (a, b)."""
-    pairs = stored(pairs, "pairs")
-    wanted = stored(pairs.select(F.col("same_a").alias("same")).union(pairs.select("same_b")).distinct(), "wanted")
-    sets = _sets(docs, text_col).join(broadcast_if_small(wanted), "same", "left_semi").groupBy("same").agg(F.first("shingles").alias("shingles"))
-    sets = stored(sets, "sets")
     both = pairs.join(sets.withColumnRenamed("shingles", "x"), pairs["same_a"] == sets["same"]).drop("same").join(sets.withColumnsRenamed({"same": "same_2", "shingles": "y"}), F.col("same_b") == F.col("same_2")).select("a", "b", "x", "y")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
+            good = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), similarity) for x, y in zip(batch.column("x"), batch.column("y"))]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(check, "a long, b long")
@@ -147,42 +146,51 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def _rest_of_buckets(rows: DataFrame) -> DataFrame:
-    """Pairs of bucket rows (bucket, node, same, signature, label) that are in different components and whose
-    signatures agree: each row outside the main component of its bucket against all rows of the bucket."""
-    heads = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-    # the label of the row with the smallest hash stands for the main component: most rows have it where one is large
-    main = rows.groupBy("bucket").agg(F.min_by("label", F.xxhash64("node", "bucket")).alias("main"))
-    open_ = heads.where("low <> high").join(main, "bucket").select("bucket", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    held = rows.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+def _open(rows: DataFrame, seed: int) -> DataFrame:
+    """Buckets with texts of several components: bucket, n, and the text with the smallest hash, which most often is
+    of the main component where one is large."""
+    heads = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.min_by(F.struct("node", "same", "label"), F.xxhash64("node", "bucket", F.lit(seed))).alias("leader"))
+    return heads.where("low <> high").select("bucket", "n", "leader")
+
+
+def _rest_of_buckets(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between components of bucket rows (bucket, node, same, signature, label)."""
+    open_ = _open(rows, ROUNDS).select("bucket", F.col("leader.label").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    held = stored(rows.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "open")
     asked = held.where("label <> main")
-    every = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False))
-    # queries of block i meet the rows of block j; blocks without queries are dropped by the inner join on (bucket, i)
-    some = asked.select("bucket", F.col("block").alias("other")).distinct()
-    every = every.join(some, ["bucket", "other"]).select("bucket", F.col("block").alias("j"), F.col("other").alias("i"), "node", "same", "signature", "label", "asks")
+    # queries of block i meet the rows of block j; only blocks i that hold a query are made
+    some = asked.select("bucket", F.col("block").alias("i")).distinct()
+    every = held.join(some, "bucket").select("bucket", F.col("block").alias("j"), "i", "node", "same", "signature", "label", F.lit(False).alias("asks"))
     queries = asked.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", "j", F.col("block").alias("i"), "node", "same", "signature", "label", F.lit(True).alias("asks"))
-    cells = every.unionByName(queries).groupBy("bucket", "i", "j").agg(F.collect_list(F.struct("asks", "node", "same", "signature", "label")).alias("rows"))
+    cells = every.unionByName(queries).join(sets, "same").groupBy("bucket", "i", "j").agg(F.collect_list(F.struct("asks", "node", "shingles", "signature", "label")).alias("rows"))
 
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = batch.column("rows")
-            found: dict[str, list] = {"a": [], "same_a": [], "b": [], "same_b": []}
-            for k in range(batch.num_rows):
-                rows = cells[k].values
-                asks = rows.field("asks").to_numpy(zero_copy_only=False)
-                node, label = rows.field("node").to_numpy(), rows.field("label").to_numpy()
-                same = rows.field("same").to_pylist()
-                bytes_ = np.frombuffer(b"".join(rows.field("signature").to_pylist()), np.uint8).reshape(len(node), -1)
-                all_ = np.flatnonzero(~asks)
-                for q in np.flatnonzero(asks):
-                    near = all_[((bytes_[all_] == bytes_[q]).mean(axis=1) >= AGREE) & (label[all_] != label[q])]
-                    for m in near.tolist():
-                        x, y = (q, m) if node[q] < node[m] else (m, q)
-                        for name, v in zip(found, (int(node[x]), same[x], int(node[y]), same[y])):
-                            found[name].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(found["a"], pa.int64()), pa.array(found["same_a"], pa.binary()), pa.array(found["b"], pa.int64()), pa.array(found["same_b"], pa.binary())], list(found))
-
-    return cells.select("rows").mapInArrow(compare, "a long, same_a binary, b long, same_b binary").distinct()
+            links: list[tuple[int, int]] = []
+            for cell in batch.column("rows"):
+                rows = cell.values
+                asks, node, label = (rows.field(k).to_numpy(zero_copy_only=False) for k in ("asks", "node", "label"))
+                shingles = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.field("shingles")]
+                coordinates = np.frombuffer(b"".join(rows.field("signature").to_pylist()), np.uint8).reshape(len(node), -1)
+                parent = {x: x for x in label.tolist()}
+
+                def root(x: int, parent: dict[int, int] = parent) -> int:
+                    while parent[x] != x:
+                        parent[x] = x = parent[parent[x]]
+                    return x
+
+                held = np.flatnonzero(~asks)
+                for q in np.flatnonzero(asks).tolist():
+                    agree = (coordinates[held] == coordinates[q]).mean(axis=1)
+                    near = np.flatnonzero((agree >= AGREE) & (label[held] != label[q]))
+                    for m in held[near[np.argsort(-agree[near], kind="stable")]].tolist():
+                        x, y = root(int(label[q])), root(int(label[m]))
+                        if x != y and _similar(shingles[q], shingles[m], similarity):
+                            parent[x] = y
+                            links.append((int(node[q]), int(node[m])))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return cells.select("rows").mapInArrow(settle, "a long, b long")
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, carry: bool) -> tuple[DataFrame, dict[str, str], DataFrame]:
@@ -192,15 +200,25 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, car
     rows = sketches.select(*(F.col(n).alias(k) for k, n in names.items()), F.col(f"`{id_col}`").alias("id"))
     texts = stored(rows.groupBy("same").agg(F.min("row").alias("node"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "texts")
     slots = stored(texts.select("node", "same", F.explode("bands").alias("bucket")), "buckets")
-    leaders = slots.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by(F.struct("node", "same"), F.xxhash64("node", "bucket")).alias("leader")).where("n > 1")
-    slots = slots.join(leaders.select("bucket", "leader"), "bucket")
-    slots = stored(slots, "shared")
-    pairs = slots.where("node <> leader.node").select(F.col("node").alias("a"), F.col("same").alias("same_a"), F.col("leader.node").alias("b"), F.col("leader.same").alias("same_b")).distinct()
-    first = stored(linked(pairs, docs, text_col, similarity), "links")
-    labels = components(first)
-    placed = slots.select("bucket", "node", "same").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(texts.select("node", "signature"), "node")
-    more = linked(_rest_of_buckets(placed), docs, text_col, similarity)
-    labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
+    shared = slots.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    slots = stored(slots.join(shared, "bucket", "left_semi"), "shared")
+    wanted = broadcast_if_small(stored(slots.select("same").distinct(), "wanted"))
+    sets = stored(_sets(docs, text_col).join(wanted, "same", "left_semi").groupBy("same").agg(F.first("shingles").alias("shingles")), "sets")
+    labels = None
+    for seed in range(ROUNDS):
+        rows_now = slots.withColumn("label", F.col("node")) if labels is None else slots.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        pairs = slots.join(_open(rows_now, seed).select("bucket", "leader"), "bucket") if labels is None else rows_now.join(_open(rows_now, seed).select("bucket", "leader"), "bucket").where("label <> leader.label")
+        pairs = pairs.where("node <> leader.node").select(F.col("node").alias("a"), F.col("same").alias("same_a"), F.col("leader.node").alias("b"), F.col("leader.same").alias("same_b")).distinct()
+        found = stored(linked(pairs, sets, similarity), f"links-{seed}")
+        if not found.take(1):
+            break
+        labels = components(found if labels is None else found.union(labels.select("node", "label")))
+    if labels is None:
+        labels = docs.sparkSession.createDataFrame([], "node long, label long")
+    placed = slots.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(texts.select("node", "signature"), "node")
+    more = stored(_rest_of_buckets(placed, sets, similarity), "links")
+    if more.take(1):
+        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
     nodes = texts.select("same", "node").join(labels, "node", "left").select("same", F.coalesce("label", "node").alias("label"))
     members = rows.groupBy("same").agg(F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
     classes = stored(nodes.join(members, "same"), "classes")

@@ -84,12 +84,23 @@ def test_planted_copies_and_edge_cases(spark):
 def test_rows_outside_the_main_component_meet_all_rows(spark):
     """A bucket of many texts whose leader is not similar to two texts that are similar to each other."""
     sig = lambda k: bytes([k] * 96)
-    rows = [(1, n, bytes([n % 256] * 16), sig(n % 200 if n < 600 else 255), n if n >= 600 else 0) for n in range(602)]
+    rows = [(1, n, bytes([n % 251, n // 251]), sig(n % 200 if n < 600 else 255), n if n >= 600 else 0) for n in range(602)]
     cells = spark.createDataFrame(rows, "bucket long, node long, same binary, signature binary, label long")
-    got = {(r["a"], r["b"]) for r in near_dedup._rest_of_buckets(cells).collect()}
+    shingles = lambda n: np.arange(600 if n >= 600 else n, (600 if n >= 600 else n) + 10, dtype=np.uint64).tobytes()
+    sets = spark.createDataFrame([(r[2], shingles(r[1])) for r in rows], "same binary, shingles binary")
+    got = {tuple(sorted((r["a"], r["b"]))) for r in near_dedup._rest_of_buckets(cells, sets, 0.8).collect()}
     assert got == {(600, 601)}
 
 
+def test_a_chain_is_one_class_and_loose_relatives_are_not(spark):
+    """Texts where each is similar to its neighbours only, and texts with half of their words in common."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[6 * i : 6 * i + 100])) for i in range(40)]
+    rows += [(100 + i, " ".join([f"common{k}" for k in range(70)] + [f"own{i}x{k}" for k in range(25)])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    same_classes(rows, near_dedup.near_duplicates(docs).collect())
+
+
 def test_null_and_repeated_ids_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, "A b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (4, "other words here now and then")], "doc_id long, text string")
     out = near_dedup.near_duplicates(docs).collect()
