@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, language_model, licences, matroska, mixing, near_dedup, packing, pii, token_counts
+from . import dedup, language_model, licences, matroska, mixing, near_dedup, packing, pii, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -51,7 +55,7 @@ def op10_matroska_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.round_trip(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_lm_scoring, op4_token_counts, op5_source_mixing, op6_exact_dedup, op7_minhash_near_dedup, op8_license_scan, op9_pii_spans, op10_matroska_media)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_lm_scoring, op3_toxicity, op4_token_counts, op5_source_mixing, op6_exact_dedup, op7_minhash_near_dedup, op8_license_scan, op9_pii_spans, op10_matroska_media)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_source_mixing": r"""

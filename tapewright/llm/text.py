@@ -61,8 +61,8 @@ class Words:
     """Words of a block: ``data`` holds their bytes without white space, word i is data[at[i]:at[i+1]];
     ``per`` counts the words of each text and ``doc`` names the text of each word."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        solid = ~SPACE[data]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, parting: np.ndarray = SPACE):
+        solid = ~parting[data]
         first, last = solid.copy(), solid.copy()
         first[1:] &= ~solid[:-1]
         last[:-1] &= ~solid[1:]
