@@ -110,9 +110,12 @@ def _estimates(docs: DataFrame, text_col: str, context: int, support: int, thres
     pairs = near_table.join(broadcast_if_small(frequent.select("entity")), "entity", "left_semi").select("_key", "entity", F.explode("terms").alias("term")).distinct()
     pairs = stored(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support), "pairs")
     asked = stored(pairs.select("term").distinct(), "terms")
-    words = texts.select("_key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(_TERM), F.lit(0)))).alias("term"))
-    counts = words.join(broadcast_if_small(asked), "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    total = stored(texts.select("_key").distinct().agg(F.count("*").alias("n_texts")), "total")
+    # a text with n copies counts 1/n in each of them, so that sums are made before the shuffle
+    copies = stored(texts.groupBy("_key").agg(F.count("*").alias("_n")), "copies")
+    total = stored(copies.agg(F.count("*").alias("n_texts")), "total")
+    copied = broadcast_if_small(stored(copies.where("_n > 1"), "copied"))
+    words = texts.join(copied, "_key", "left").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(_TERM), F.lit(0)))).alias("term"), F.coalesce(1.0 / F.col("_n"), F.lit(1.0)).alias("_part"))
+    counts = words.join(broadcast_if_small(asked), "term", "left_semi").groupBy("term").agg(F.round(F.sum("_part")).cast("long").alias("n_term"))
     scored = pairs.join(frequent, "entity").join(counts, "term").crossJoin(F.broadcast(total)).withColumn(
         "disclosure",
         F.when(F.col("n_texts") > F.col("n_entity"), F.log(F.col("n_both") * F.col("n_texts") / (F.col("n_entity") * F.col("n_term"))) / F.log(F.col("n_texts") / F.col("n_entity"))).otherwise(F.lit(0.0)),
