@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from .shared import broadcast_if_small, stored
 from .text import Words, blocks, byte_characters, joined, ragged
+from .text import held as kept
 
 LIMIT = 4096
 END_ID = 1
@@ -170,9 +171,6 @@ class WordIds:
         return np.array(places, np.int64)[coded.indices.to_numpy()] if len(words) else np.empty(0, np.int64), self.known[end]
 
 
-_word_ids: dict[str, WordIds] = {}
-
-
 def _tokenised(batch: pa.RecordBatch, text: str, words_of: WordIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a block, each followed by the end id, and their offsets."""
     words = Words(*joined(batch.column(text)))
@@ -199,7 +197,7 @@ def cut_and_pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words_of = _word_ids.get(tokenizer) or _word_ids.setdefault(tokenizer, WordIds(tokenizer))
+        words_of = kept(("words", tokenizer), lambda: WordIds(tokenizer))
         base = TaskContext.get().partitionId() << 32
         held: list[tuple] = []
         count = 0

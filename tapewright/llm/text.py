@@ -93,8 +93,26 @@ class Words:
             return np.empty(0, np.uint64)
         if (most := int(self.size.max())) > len(_powers):
             _powers = np.multiply.accumulate(np.full(2 * most, _STEP, np.uint64))
-        place = np.arange(len(self.data)) - np.repeat(self.at[:-1], self.size)
-        return mix(np.add.reduceat(_BYTE[self.data] * _powers[place], self.at[:-1]) + self.size.astype(np.uint64))
+        out = np.empty(len(self), np.uint64)
+        # in runs of words of about a million bytes, which keeps the arrays by byte small
+        edges = np.unique(np.concatenate((np.searchsorted(self.at[:-1], np.arange(0, len(self.data), 1 << 20)), [len(self)])))
+        for a, b in zip(edges, edges[1:]):
+            low, high, start = self.at[a], self.at[b], self.at[a:b] - self.at[a]
+            place = np.arange(high - low) - np.repeat(start, self.size[a:b])
+            out[a:b] = np.add.reduceat(_BYTE[self.data[low:high]] * _powers[place], start)
+        return mix(out + self.size.astype(np.uint64))
+
+
+_held: tuple[object, object] = (None, None)
+
+
+def held(key: object, make):
+    """What ``make`` gives, kept in this worker until another key is asked for: one table or model at a time."""
+    global _held
+    if _held[0] != key:
+        _held = (None, None)
+        _held = (key, make())
+    return _held[1]
 
 
 def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:

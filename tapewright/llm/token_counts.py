@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import blocks, byte_characters, joined
+from .text import blocks, byte_characters, held, joined
 
 # Classes of code points: letters by their part in a contraction, digits, white space, apostrophe, other, end of text.
 LETTER, ONE, TWO, DOUBLE, SECOND, DIGIT, BLANK, SPACE, QUOTE, OTHER, END = range(11)
@@ -336,15 +336,12 @@ class TokenCounter:
         return out
 
 
-_counters: dict[str, TokenCounter] = {}
-
-
 def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """One row per document: id_col, n_bytes, n_tokens, over_limit."""
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counters.get(tokenizer) or _counters.setdefault(tokenizer, TokenCounter(tokenizer))
+        counter = held(("tokens", tokenizer), lambda: TokenCounter(tokenizer))
         for batch in batches:
             for block in blocks(batch, text_col, 3_000_000):
                 data, offsets = joined(block.column(text_col))

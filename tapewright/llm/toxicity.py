@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .language_model import held_out
 from .shared import free_name, stored
-from .text import LOWER, Words, blocks, joined, mix, ragged
+from .text import LOWER, Words, blocks, held, joined, mix, ragged
 
 #: Words of a window, and how far windows are apart.
 WINDOW, STRIDE = 32, 24
@@ -46,6 +46,9 @@ HELD_OUT = 5
 #: Share of clean training windows whose words are replaced by a few of them, repeated.
 ECHOES = 0.25
 
+#: Documents whose n-grams are counted at a time.
+RUN = 100
+
 PARTING = np.ones(256, bool)
 PARTING[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -247,17 +250,12 @@ class Model:
             return np.where(np.isfinite(highest), 1 / (1 + np.exp(-(self.fit[0] * np.where(np.isfinite(highest), highest, 0) + self.fit[1]))), 0.0)
 
 
-def _log_odds(key: np.ndarray, doc: np.ndarray, toxic: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys that at least ``least`` documents have, the most telling first, and their log odds."""
-    keys, back = np.unique(key, return_inverse=True)
-    both = np.unique(back * len(toxic) + doc)
-    back, doc = both // len(toxic), both % len(toxic)
-    bad = np.bincount(back, toxic[doc], minlength=len(keys))
-    all_ = np.bincount(back, minlength=len(keys))
-    odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((all_ - bad + 0.5) / ((~toxic).sum() + 1))
-    held = np.flatnonzero(all_ >= least)
-    held = held[np.argsort(-np.abs(odds[held]) * np.sqrt(all_[held]), kind="stable")]
-    return keys[held], np.clip(odds[held], -3, 8)
+def _telling(bad: np.ndarray, all_: np.ndarray, toxic: int, clean: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places that at least ``least`` documents have, the most telling first, and their log odds."""
+    odds = np.log((bad + 0.5) / (toxic + 1)) - np.log((all_ - bad + 0.5) / (clean + 1))
+    found = np.flatnonzero(all_ >= least)
+    found = found[np.argsort(-np.abs(odds[found]) * np.sqrt(all_[found]), kind="stable")]
+    return found, np.clip(odds[found], -3, 8)
 
 
 def train(texts: pa.Array, toxic: np.ndarray) -> Model:
@@ -270,14 +268,23 @@ def train(texts: pa.Array, toxic: np.ndarray) -> Model:
     word_doc = inputs.words.doc
     fit_words = seen[word_doc]
     model = Model()
-    model_keys, word_odds = _log_odds(inputs.keys[inputs.index[fit_words]], word_doc[fit_words], toxic & seen, least)
-    model.words = Vocabulary(model_keys)
-    # n-grams by document: those of the distinct (document, word) pairs
+    # documents with each word and each n-gram; n-grams in runs of pairs, so that memory stays small
     pairs = np.unique(word_doc[fit_words] * len(inputs.keys) + inputs.index[fit_words])
     word, its = pairs % len(inputs.keys), pairs // len(inputs.keys)
-    first = np.searchsorted(inputs.gram_owner, word)
-    count = inputs.gram_count[word]
-    grams, gram_odds = _log_odds(inputs.gram_keys[ragged(first, count)], np.repeat(its, count), toxic & seen, 2 * least)
+    totals = int((toxic & seen).sum()), int((~toxic & seen).sum())
+    place, word_odds = _telling(np.bincount(word, toxic[its], minlength=len(inputs.keys)), np.bincount(word, minlength=len(inputs.keys)), *totals, least)
+    model_keys = inputs.keys[place]
+    model.words = Vocabulary(model_keys)
+    grams, number = np.unique(inputs.gram_keys, return_inverse=True)
+    bad, all_ = np.zeros(len(grams)), np.zeros(len(grams), np.int64)
+    gram_first, edges = np.searchsorted(inputs.gram_owner, np.arange(len(inputs.keys))), np.searchsorted(its, np.arange(0, docs + RUN, RUN))
+    for a, b in zip(edges, edges[1:]):
+        count = inputs.gram_count[word[a:b]]
+        both = np.unique(np.repeat(its[a:b], count) * len(grams) + number[ragged(gram_first[word[a:b]], count)])
+        all_ += np.bincount(both % len(grams), minlength=len(grams))
+        bad += np.bincount(both % len(grams), toxic[both // len(grams)], minlength=len(grams))
+    place, gram_odds = _telling(bad, all_, *totals, 2 * least)
+    grams = grams[place]
     model.grams = Vocabulary(grams)
     net = model.network = Network(len(model_keys) + 1, len(grams) + 1)
     net.p["word"][1:, 0], net.p["gram"][1:, 0] = word_odds / 3, gram_odds / 3
@@ -377,7 +384,10 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return bytes(found[0]["model"]) if found else None
 
 
-_models: dict[int, Model] = {}
+def _loaded(data: bytes) -> Model:
+    model = Model()
+    model.__dict__.update(pickle.loads(data))
+    return model
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", carry: bool = False, model: bytes | None = None) -> DataFrame:
@@ -396,18 +406,11 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     keep = [i for i, f in enumerate(source.schema) if f in carried]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = None
-        if sent.value is not None:
-            key = hash(sent.value)
-            if key not in _models:
-                _models.clear()
-                _models[key] = Model()
-                _models[key].__dict__.update(pickle.loads(sent.value))
-            own = _models[key]
+        own = held(("toxicity", hash(sent.value)), lambda: _loaded(sent.value)) if sent.value is not None else None
         for batch in batches:
             for block in blocks(batch, batch.schema.names[text_at], 2_000_000):
                 scores = own.scores(*joined(block.column(text_at))) if own is not None else np.zeros(block.num_rows)
-                held = held_out(block.column(id_at).to_pylist(), HELD_OUT)
-                yield pa.RecordBatch.from_arrays([block.column(i) for i in keep] + [pa.array(held), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], schema.names)
+                aside = held_out(block.column(id_at).to_pylist(), HELD_OUT)
+                yield pa.RecordBatch.from_arrays([block.column(i) for i in keep] + [pa.array(aside), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], schema.names)
 
     return source.mapInArrow(run, schema)
