@@ -108,7 +108,7 @@ class WordIds:
     #: A character that is one token by itself; words left to the library are encoded as one text with it between them.
     MARK = "\x01"
     #: Words and ids that are remembered at most; then the memory starts afresh.
-    MOST_WORDS, MOST_IDS = 600_000, 4_000_000
+    MOST_WORDS, MOST_IDS = 300_000, 2_000_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -44,7 +44,7 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(batch: pa.RecordBatch | pa.Table, text: str, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def blocks(batch: pa.RecordBatch | pa.Table, text: str, size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``size`` bytes of text each; a longer text is a run of its own."""
     sizes = np.zeros(batch.num_rows, np.int64)
     if batch.num_rows:
@@ -55,6 +55,7 @@ def blocks(batch: pa.RecordBatch | pa.Table, text: str, size: int = 4_000_000) -
     for a, b in zip(edges, edges[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+            pa.default_memory_pool().release_unused()
 
 
 class Words:
