@@ -93,12 +93,12 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows find their copies by id, source and size; rows that agree in all three share them in the order of their rank.
     """
-    taken = mix(docs, id_col, text_col, source_col, **how).select(F.col(id_col).alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_n"), "copies")
-    taken = taken.groupBy("_id", "_src", "_n").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
-    size, at, copy = free_name(docs, "mix_size"), free_name(docs, "mix_at"), free_name(docs, "mix_copy")
+    ids, sources, words, copies, size, at, copy = (free_name(docs, f"mix_{n}") for n in ("id", "source", "words", "copies", "size", "at", "copy"))
+    taken = mix(docs, id_col, text_col, source_col, **how).select(F.col(id_col).alias(ids), F.col("source").alias(sources), F.col("size").alias(words), "copies")
+    taken = taken.groupBy(ids, sources, words).agg(F.sort_array(F.collect_list("copies"), asc=False).alias(copies))
     sized = docs.withColumn(size, F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long"))
-    joined = sized.join(taken, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_src")) & (F.col(size) == F.col("_n")))
-    once = joined.where(F.size("_copies") == 1).withColumn(at, F.lit(0))
-    again = joined.where(F.size("_copies") > 1).withColumn(at, F.row_number().over(Window.partitionBy(id_col, source_col, size).orderBy(text_col)) - 1)
-    rows = once.unionByName(again).withColumn(copy, F.element_at("_copies", F.col(at) + 1))
+    joined = sized.join(taken, F.col(id_col).eqNullSafe(F.col(ids)) & F.col(source_col).eqNullSafe(F.col(sources)) & (F.col(size) == F.col(words)))
+    once = joined.where(F.size(copies) == 1).withColumn(at, F.lit(0))
+    again = joined.where(F.size(copies) > 1).withColumn(at, F.row_number().over(Window.partitionBy(id_col, source_col, size).orderBy(text_col)) - 1)
+    rows = once.unionByName(again).withColumn(copy, F.element_at(copies, F.col(at) + 1))
     return rows.where(F.col(copy) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -44,7 +44,7 @@ def test_targets_and_taken_words(spark, sf):
 def test_hot_source_nulls_ties_and_rows(spark):
     rows = [(i, "w " * (1 + i % 7), "hot") for i in range(600)] + [(i, "w " * 5, f"s{i % 5}") for i in range(600, 700)]
     rows += [(700, None, None), (701, "a b c", None), (702, "", "zero"), (None, "x y", "s1"), (5, "w " * 6, "hot"), (5, "w " * 6, "hot")]
-    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, source string, size int, copies int")
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, source string, mix_id int, COPIES int")
     mixed = mixing.mix(docs).collect()
     assert len(mixed) == len(rows)
     per = defaultdict(int)
