@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import METRICS, MetricParams
 from ..operators import baseline, coverage, gaps, ledger, merge, metrics, rules, tables
 from ..sources import io
+from ..sources.work import stored
 
 MODES = ("statistics", "issues", "all")
 
@@ -97,4 +98,5 @@ def investigate(values: DataFrame, manifest: DataFrame, issues: DataFrame, listi
 
 
 def coverage_tables(inventory: DataFrame, as_of: Column) -> DataFrame:
-    return coverage.records(coverage.entries(inventory), as_of)
+    """Coverage rows of a snapshot. The parsed entries are written once, as every level reads them."""
+    return coverage.records(stored(coverage.entries(inventory), "entries"), as_of)
