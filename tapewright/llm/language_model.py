@@ -5,11 +5,12 @@ unigram model p0(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)):
 
     p(w | h) = lambda_b c*(h, w) / c(h) + (1 - lambda_b) p0(w),    b = the binary order of c(h)
 
-c* is the bigram's quantised count. Bigrams that occur at least twice in the training texts are held in a
-log-frequency Bloom filter: for level q = 1 + floor(log_1.5(c / 2)) it stores the bigram with 1, 2, ... q, and
-a lookup asks for level 1, 2, ... until an answer is no. The weights lambda_b maximise the likelihood of the training
-texts with each token's own occurrence left out, from a histogram of p1 / p0 in eighths of an octave, as which
-the scores use it as well.
+c* is the bigram's quantised count. All bigrams of the training texts are held in a log-frequency Bloom filter:
+for level q = 1 + floor(log_1.5(c)) it stores the bigram with 1, 2, ... q, and a lookup asks for level 1, 2, ...
+until an answer is no. The weights lambda_b maximise the likelihood of the training texts with each token's own
+occurrence left out, from a histogram of p1 / p0 in eighths of an octave, as which the scores use it as well. A
+count that leaves one out is quantised as any other: the filter stores a bigram with 0 if c - 1 has the level of c;
+otherwise the level is one less, and none if c is 1.
 
 How it runs:
 1. Texts are read once and cut into blocks of bounded size. A block keeps its texts (compressed), its sorted distinct word
@@ -47,7 +48,7 @@ BLOCK = 8_000_000
 #: Text bytes for each segment, and the least number of segments (a power of two).
 PER_SEGMENT, LEAST_SEGMENTS = 16_000_000, 64
 #: Counts from which bigrams are held, the base of the levels, bits for each entry and probes.
-LEAST, BASE, BITS, PROBES = 2, 1.5, 12, 6
+LEAST, BASE, BITS, PROBES = 1, 1.5, 12, 6
 #: Bytes of filter that are broadcast at most.
 MOST_FILTER = 256_000_000
 FINGERPRINT = 40
@@ -134,37 +135,56 @@ class Filter:
     def part(cls, keys: np.ndarray, counts: np.ndarray) -> bytes:
         """The part that holds the keys with their counts."""
         level = levels_of(counts)
-        bits = max(64, -(-int(level.sum()) * BITS // 64) * 64)
+        firm = (counts > LEAST) & (levels_of(counts - 1) == level)
+        bits = max(64, -(-int(level.sum() + firm.sum()) * BITS // 64) * 64)
         out = np.zeros(bits, bool)
+        for at in cls.places(keys[firm], 0, np.uint64(bits)):
+            out[at] = True
         for q in range(1, int(level.max(initial=0)) + 1):
             for at in cls.places(keys[level >= q], q, np.uint64(bits)):
                 out[at] = True
         return np.packbits(out, bitorder="little").tobytes()
 
+    def holds(self, keys: np.ndarray, level: int) -> np.ndarray:
+        """Where the keys are stored with the level."""
+        part = (keys >> self.shift).astype(np.int64)
+        bits, start = self.bits[part], self.start[part]
+        inside = np.arange(len(keys))
+        for at in self.places(keys, level, bits):
+            at = at[inside].astype(np.int64) + start[inside]
+            inside = inside[self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
+            if not len(inside):
+                break
+        out = np.zeros(len(keys), bool)
+        out[inside] = True
+        return out
+
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Levels by repeated membership probes."""
         out = np.zeros(len(keys), np.int64)
-        part = (keys >> self.shift).astype(np.int64)
         live, level = np.arange(len(keys)), 1
         while len(live):
-            asked, bits, start = keys[live], self.bits[part[live]], self.start[part[live]]
-            inside = np.arange(len(live))
-            probes = self.places(asked, level, bits)
-            for at in probes:
-                at = at[inside].astype(np.int64) + start[inside]
-                inside = inside[self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
-                if not len(inside):
-                    break
-            live = live[inside]
+            live = live[self.holds(keys[live], level)]
             out[live] = level
             level += 1
         return out
 
+    def left_out(self, keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
+        """The levels of counts less one, given those of the counts."""
+        out = np.maximum(levels - 1, 0)
+        some = np.flatnonzero(levels >= FIRM)
+        out[some] += self.holds(keys[some], 0)
+        return out
+
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(np.maximum(counts, LEAST) / LEAST) / math.log(BASE) + 1e-9).astype(np.int64)
 
 
+#: The least level of several whole counts.
+FIRM = next(int(levels_of(np.array(c))) for c in range(LEAST + 1, 100) if levels_of(np.array(c)) == levels_of(np.array(c - 1)))
+
+
 def count_of(levels: np.ndarray) -> np.ndarray:
     """The count that a level stands for: the middle of its range, 0 for level 0."""
     return np.where(levels > 0, LEAST * BASE ** (levels - 1) * (1 + BASE) / 2, 0.0)
@@ -232,7 +252,8 @@ def filter_parts(cut: DataFrame) -> DataFrame:
 
 
 def pair_answers(cut: DataFrame) -> DataFrame:
-    """The way beyond the broadcast: levels of each block's bigrams from the segment's own part of the filter."""
+    """The way beyond the broadcast: levels of each block's bigrams from the segment's own part of the filter, times 2,
+    and 1 more where leaving one out takes a level."""
 
     def answer(table: pa.Table) -> pa.Table:
         keys, sums, places = _sums(table["payload"].to_pylist())
@@ -240,6 +261,7 @@ def pair_answers(cut: DataFrame) -> DataFrame:
         levels = Filter([Filter.part(keys[held], sums[held])], 1)
         levels.shift = np.uint64(FINGERPRINT)
         found = levels.levels(keys)
+        found = 2 * found + (found - levels.left_out(keys, found))
         return pa.table({"block": table["block"], "segment": table["segment"], "answer": pa.array([_pack(found[p]) for p in places], pa.binary())})
 
     return cut.select("block", F.posexplode("pairs").alias("segment", "payload")).groupBy("segment").applyInArrow(answer, "block long, segment int, answer binary")
@@ -275,8 +297,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_
     sent = None
     told = answers.select("block", "segment", "answer", F.lit(0).alias("kind"))
     if filter_size <= most_filter:
-        rows = {r["segment"]: r["part"] for r in parts.collect()}
-        sent = spark.sparkContext.broadcast(Filter([bytes(rows[s]) for s in sorted(rows)], segments) if rows else None)
+        rows = {r["segment"]: r["part"] for r in parts.toLocalIterator()}
+        sent = spark.sparkContext.broadcast(Filter([rows.pop(s) for s in sorted(rows)], segments) if rows else None)
     else:
         told = told.union(pair_answers(cut).select("block", "segment", "answer", F.lit(1)))
     id_type = docs.schema[id_col].dataType
@@ -295,9 +317,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_
         count = told_of(0)[back]
         if sent is not None:
             level = sent.value.levels(tokens.pair)
+            less = sent.value.left_out(tokens.pair, level)
         else:
             _, back = np.unique(tokens.pair, return_inverse=True)
             level = told_of(1)[back]
+            level, less = level >> 1, (level >> 1) - (level & 1)
         p0 = count * (zero * 10) + zero
         before = np.concatenate(([0], count[:-1]))
         before[tokens.first] = train_texts
@@ -313,7 +337,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_
 
         cells = binned(pair, before)
         own = ~held[doc]
-        left_out = np.bincount(binned(np.maximum(pair - 1, 0), np.maximum(before - 1, 0))[own], minlength=ORDERS * BINS)
+        less = np.maximum(np.minimum(count_of(less), np.minimum(before, count) - 1), 0)
+        left_out = np.bincount(binned(less, np.maximum(before - 1, 0))[own], minlength=ORDERS * BINS)
         spot, n = np.unique(doc * (ORDERS * BINS) + cells, return_counts=True)
         edges = np.searchsorted(spot, np.arange(texts + 1) * (ORDERS * BINS))
         spot = (spot % (ORDERS * BINS)).astype("<u2")

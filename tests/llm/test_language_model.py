@@ -82,3 +82,29 @@ def test_edge_cases(spark):
     assert lm.score(docs.limit(0)).collect() == []
     twice = spark.createDataFrame([(1, "a b")] * 3 + [(2, "A B")], "doc_id long, text string")
     assert [r.n_known for r in lm.score(twice).collect()] == [3] * 4
+
+
+def test_every_bigram_is_held_and_left_out_counts_are_quantised_as_others():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << lm.FINGERPRINT, 20000, dtype=np.uint64))
+    counts = np.minimum(rng.zipf(1.7, len(keys)), 3000)
+    held = lm.Filter([lm.Filter.part(keys, counts)], 1)
+    held.shift = np.uint64(lm.FINGERPRINT)
+    found = held.levels(keys)
+    assert (counts == 1).any() and (found[counts == 1] > 0).all()
+    want = np.where(counts > 1, lm.levels_of(counts - 1), 0)
+    left = held.left_out(keys, found)
+    assert (left[counts == 1] == 0).mean() > 0.98 and (left == want).mean() > 0.98
+
+
+def test_a_bigram_seen_once_in_training_counts_in_held_out_texts(spark):
+    train = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10]
+    unseen = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    rows = [(i, f"a{i % 40} b{i % 40} c") for i in train[:200]] + [(train[300], "rare pair"), (unseen, "rare pair")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = lm.filter_parts(lm.cut_in_blocks(docs, "doc_id", "text", 64)).collect()
+    held = lm.Filter([bytes(r.part) for r in sorted(parts, key=lambda r: r.segment)], 64)
+    data = np.frombuffer(b"rare pair", np.uint8)
+    assert (held.levels(lm.Tokens(data, np.array([0, len(data)])).pair) == 1).all()
+    for most in (lm.MOST_FILTER, 0):
+        assert {r.doc_id: r.score > r.base_score for r in lm.score(docs, most_filter=most).collect()}[unseen]
