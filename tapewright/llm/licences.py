@@ -3,7 +3,9 @@
 A text is made canonical: A-Z lower-cased, copyright lines left out, spellings that mean the same made one,
 punctuation and white space reduced to single spaces. Its digest is joined to the digests of known licence
 texts, made in the same way. Whole documents are looked up, and so is each of their lines, as licence notices
-often stand alone on a line of a longer text. Lines longer than the longest known text cannot match and are not
+often stand alone on a line of a longer text. Of a copyright line only the statement (sign, years, holder) is left
+out: what stands behind it is looked up if it opens as a known text does. 'All rights reserved' at a line's end is a
+notice of its own, with `rights`. Lines longer than the longest known text cannot match and are not
 digested.
 
 The table of known texts is small and of fixed size (about twenty rows), so it is broadcast.
@@ -14,6 +16,8 @@ that repeats is listed each time. Empty tables give no rows. Further columns are
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,41 +65,73 @@ SPELLINGS: list[tuple[str, str]] = [
     ("copyright holder's", "copyright holders"),
 ]
 
+#: Notices that stand on copyright lines; the registered query leaves them out, as its SQL does.
+RIGHTS: list[tuple[str, str]] = [("LicenseRef-Proprietary", "All rights reserved.")]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A line that opens with a copyright sign or word, or that reserves all rights.
 COPYRIGHT_LINE = r"(^|\n)[ \t*#/-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 #: Runs of anything but letters, digits and signs beyond ASCII (the copyright sign aside).
 SIGNS = r"[^a-z0-9\x{80}-\x{A8}\x{AA}-\x{10FFFF}]+"
 
+#: Words of a known text up to which a copyright line's rest is held against all of it, and words that open a longer one.
+SHORT, OPENING = 40, 6
+
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text column (null: empty)."""
-    text = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), COPYRIGHT_LINE, "$1")
+    return _words(F.regexp_replace(_lower(text), COPYRIGHT_LINE, "$1"))
+
+
+def _lower(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+
+
+def _words(text: Column) -> Column:
     for spelling, one in SPELLINGS:
         text = F.replace(text, F.lit(spelling), F.lit(one))
     return F.trim(F.regexp_replace(text, SIGNS, " "))
 
 
-def known(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
+def _forms(spark: SparkSession, texts: list[tuple[str, str]] | None, rights: bool) -> DataFrame:
+    """Known texts in canonical form: licence, form. Those of `RIGHTS` keep their copyright line."""
+    schema = "licence string, known string"
+    forms = spark.createDataFrame(KNOWN if texts is None else texts, schema).select("licence", canonical(F.col("known")).alias("form"))
+    if rights:
+        forms = forms.union(spark.createDataFrame(RIGHTS, schema).select("licence", _words(_lower(F.col("known")))))
+    return forms.where("form != ''")
+
+
+def known(spark: SparkSession, texts: list[tuple[str, str]] | None = None, rights: bool = False) -> DataFrame:
     """Digests of known texts: (_digest, _licence), one licence for each digest."""
-    table = spark.createDataFrame(KNOWN if texts is None else texts, "licence string, known string")
-    form = canonical(F.col("known"))
-    return table.where(form != "").groupBy(F.sha2(form, 256).alias("_digest")).agg(F.min("licence").alias("_licence"))
+    return _forms(spark, texts, rights).groupBy(F.sha2("form", 256).alias("_digest")).agg(F.min("licence").alias("_licence"))
+
+
+def line_form(line: Column, forms: list[str]) -> Column:
+    """The canonical form of a line; of a copyright line what follows the statement, from the first place where the rest
+    is a known short form or opens as a long one."""
+    words = [f.split(" ") for f in forms]
+    known = sorted({re.escape(" ".join(w)) if len(w) <= SHORT else re.escape(" ".join(w[:OPENING])) + " .*" for w in words})
+    lower = _lower(line)
+    rest = F.regexp_extract(_words(lower), f"(?:^| )({'|'.join(known)})$", 1) if known else F.lit("")
+    return F.when(lower.rlike(COPYRIGHT_LINE), rest).otherwise(_words(lower))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: list[tuple[str, str]] | None = None) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: list[tuple[str, str]] | None = None, rights: bool = True) -> DataFrame:
     """One row per row: id_col, digest (of the whole text), licence (of the whole text, or null), n_lines (with a
     known licence) and licences (of those lines, in the order of the lines, comma-joined; empty: none).
 
     Whole digests meet the broadcast table of known ones in a hash join. So do the digests of lines; what is
     found goes back to the rows by the digest of the raw text, in a join that moves no text.
     """
-    lookup = F.broadcast(known(docs.sparkSession, texts))
+    spark = docs.sparkSession
+    lookup = F.broadcast(known(spark, texts, rights))
+    forms = [r["form"] for r in _forms(spark, texts, rights).collect()]
     # a canonical form is not longer than the text but for a few spellings; raw lines may hold signs, so allow four times
     longest = 4 * max((len(t) for _, t in (KNOWN if texts is None else texts)), default=0)
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = docs.select(F.md5(text).alias("_key"), F.posexplode(F.split(text, "\n")).alias("_at", "_line")).where(F.length("_line") <= longest)
-    lines = lines.select("_key", "_at", F.sha2(canonical(F.col("_line")), 256).alias("_digest")).join(lookup, "_digest").select("_key", "_at", "_licence").distinct()
+    lines = lines.select("_key", "_at", F.sha2(line_form(F.col("_line"), forms), 256).alias("_digest")).join(lookup, "_digest").select("_key", "_at", "_licence").distinct()
     lines = lines.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_at", "_licence")))["_licence"].alias("_found"))
     rows = docs.select(F.col(id_col), F.md5(text).alias("_key"), F.sha2(canonical(text), 256).alias("_digest"))
     rows = rows.join(lookup, "_digest", "left").join(lines, "_key", "left")

@@ -43,3 +43,13 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, "Licensed under the MIT License."), (None, "Licensed under the MIT License.")], "doc_id long, text string")
     assert [(r.licence, r.n_lines, r.licences) for r in licences.scan(docs).collect()] == [("MIT", 1, "MIT")] * 2
     assert licences.scan(docs.limit(0)).collect() == []
+
+
+def test_only_the_statement_of_a_copyright_line_is_left_out(spark):
+    lines = ["Copyright 2020 X. Licensed under the MIT License.", "(c) 2019-2021 A. Person, Inc. All rights reserved. Licenced under CC BY 4.0", "# Copyright 2020 X", "copyright law of 1976", "  * All Rights Reserved.", "© 2020 Y. All rights reserved.", "Copyright 2020 X. Licensed under the MIT License but for the logo.", "All rights reserved by nobody"]
+    docs = spark.createDataFrame([(i, "x\n" + t) for i, t in enumerate(lines)] + [(99, "y\n" + "\n".join(lines))], "doc_id long, text string")
+    want = ["MIT", "CC-BY-4.0", "", "", "LicenseRef-Proprietary", "LicenseRef-Proprietary", "", ""]
+    found = {r.doc_id: r.licences for r in licences.scan(docs).collect()}
+    assert [found[i] for i in range(len(lines))] == want and found[99] == ",".join(w for w in want if w)
+    found = {r.doc_id: r.licences for r in licences.scan(docs, rights=False).collect()}
+    assert [found[i] for i in range(len(lines))] == ["MIT", "CC-BY-4.0"] + [""] * 6
