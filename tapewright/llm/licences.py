@@ -5,10 +5,10 @@ punctuation and white space reduced to single spaces. Its digest is joined to th
 texts, made in the same way. Whole documents are looked up, and so is each of their lines, as licence notices
 often stand alone on a line of a longer text. Of a copyright line only the statement (sign, years, holder) is left
 out: what stands behind it is looked up if it opens as a known text does. 'All rights reserved' at a line's end is a
-notice of its own, with `rights`. Lines longer than the longest known text cannot match and are not
-digested.
+notice of its own, with `rights`.
 
-The table of known texts is small and of fixed size (about twenty rows), so it is broadcast.
+The table of known texts is small and of fixed size (some 150 rows), and its digests are broadcast. It holds notices
+(`KNOWN`) and full texts, with and without title (`full_texts`).
 
 Defined cases: null texts are empty and match nothing. Repeated rows get equal results. Ids may be null. A line
 that repeats is listed each time. Empty tables give no rows. Further columns are not read.
@@ -17,6 +17,8 @@ that repeats is listed each time. Empty tables give no rows. Further columns are
 from __future__ import annotations
 
 import re
+from functools import cache
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +70,36 @@ SPELLINGS: list[tuple[str, str]] = [
 #: Notices that stand on copyright lines; the registered query leaves them out, as its SQL does.
 RIGHTS: list[tuple[str, str]] = [("LicenseRef-Proprietary", "All rights reserved.")]
 
+#: Full texts in `licence_texts`: licence, file, and where the text begins without its title.
+FULL: list[tuple[str, str, str]] = [
+    ("Apache-2.0", "Apache-2.0", "TERMS AND CONDITIONS FOR USE"),
+    ("CC0-1.0", "CC0-1.0", "CC0 1.0 Universal"),
+    ("GPL-1.0", "GPL-1", "Everyone is permitted"),
+    ("GPL-2.0", "GPL-2", "Everyone is permitted"),
+    ("GPL-3.0", "GPL-3", "Everyone is permitted"),
+    ("LGPL-2.0", "LGPL-2", "Everyone is permitted"),
+    ("LGPL-2.1", "LGPL-2.1", "Everyone is permitted"),
+    ("LGPL-3.0", "LGPL-3", "Everyone is permitted"),
+    ("MPL-1.1", "MPL-1.1", "1. Definitions."),
+    ("MPL-2.0", "MPL-2.0", "1. Definitions"),
+]
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+#: Titles of short texts, which also stand without any.
+TITLES: dict[str, list[str]] = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "BSD License"],
+}
+#: Holders that BSD texts name: in the third clause, where they provide, and where they are not liable.
+BSD_HOLDERS = [
+    ("the University", "REGENTS", "REGENTS"),
+    ("the copyright holder", "COPYRIGHT HOLDERS", "COPYRIGHT HOLDER"),
+    ("the copyright holder", "COPYRIGHT HOLDERS", "COPYRIGHT OWNER"),
+    ("the copyright holder", "COPYRIGHT HOLDERS", "COPYRIGHT HOLDERS"),
+]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A line that opens with a copyright sign or word, or that reserves all rights.
 COPYRIGHT_LINE = r"(^|\n)[ \t*#/-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
@@ -93,10 +125,34 @@ def _words(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SIGNS, " "))
 
 
+@cache
+def full_texts() -> list[tuple[str, str]]:
+    """Full licence texts with and without title, and with and without what follows the end of the terms."""
+    read = lambda name: files(__package__).joinpath("licence_texts", f"{name}.txt").read_text("utf-8")
+    out = []
+    for licence, name, begin in FULL:
+        text = read(name)
+        for whole in (text, text[text.index(begin) :]):
+            terms, end, _ = whole.partition(END_OF_TERMS)
+            out += [(licence, whole), *([(licence, terms + end), (licence, terms)] if end else [])]
+    short = [(licence, text[text.index("\n\n") :] if licence != "Zlib" else text) for licence, text in KNOWN if licence in TITLES and "\n" in text]
+    bsd = read("BSD")
+    third = bsd[bsd.index("3. Neither") : bsd.index("THIS SOFTWARE")]
+    for name, provides, liable in BSD_HOLDERS:
+        text = bsd.replace("the University", name).replace("REGENTS AND", f"{provides} AND").replace("REGENTS OR", f"{liable} OR")
+        third_of = third.replace("the University", name)
+        for form in (text, re.sub(r"(?m)^[123]\. ", "* ", text)):
+            plain = third_of if form is text else re.sub(r"(?m)^3\. ", "* ", third_of)
+            short += [("BSD-3-Clause", form), ("BSD-2-Clause", form.replace(plain, ""))]
+    for licence, text in short:
+        out += [(licence, text)] + [(licence, f"{title}\n\n{text}") for title in TITLES[licence]]
+    return out + [(licence, text.replace("https:", "http:")) for licence, text in out if "https:" in text]
+
+
 def _forms(spark: SparkSession, texts: list[tuple[str, str]] | None, rights: bool) -> DataFrame:
     """Known texts in canonical form: licence, form. Those of `RIGHTS` keep their copyright line."""
     schema = "licence string, known string"
-    forms = spark.createDataFrame(KNOWN if texts is None else texts, schema).select("licence", canonical(F.col("known")).alias("form"))
+    forms = spark.createDataFrame(KNOWN + full_texts() if texts is None else texts, schema).select("licence", canonical(F.col("known")).alias("form"))
     if rights:
         forms = forms.union(spark.createDataFrame(RIGHTS, schema).select("licence", _words(_lower(F.col("known")))))
     return forms.where("form != ''")
@@ -127,10 +183,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     spark = docs.sparkSession
     lookup = F.broadcast(known(spark, texts, rights))
     forms = [r["form"] for r in _forms(spark, texts, rights).collect()]
-    # a canonical form is not longer than the text but for a few spellings; raw lines may hold signs, so allow four times
-    longest = 4 * max((len(t) for _, t in (KNOWN if texts is None else texts)), default=0)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = docs.select(F.md5(text).alias("_key"), F.posexplode(F.split(text, "\n")).alias("_at", "_line")).where(F.length("_line") <= longest)
+    lines = docs.select(F.md5(text).alias("_key"), F.posexplode(F.split(text, "\n")).alias("_at", "_line"))
     lines = lines.select("_key", "_at", F.sha2(line_form(F.col("_line"), forms), 256).alias("_digest")).join(lookup, "_digest").select("_key", "_at", "_licence").distinct()
     lines = lines.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_at", "_licence")))["_licence"].alias("_found"))
     rows = docs.select(F.col(id_col), F.md5(text).alias("_key"), F.sha2(canonical(text), 256).alias("_digest"))

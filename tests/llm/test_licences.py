@@ -53,3 +53,23 @@ def test_only_the_statement_of_a_copyright_line_is_left_out(spark):
     assert [found[i] for i in range(len(lines))] == want and found[99] == ",".join(w for w in want if w)
     found = {r.doc_id: r.licences for r in licences.scan(docs, rights=False).collect()}
     assert [found[i] for i in range(len(lines))] == ["MIT", "CC-BY-4.0"] + [""] * 6
+
+
+def test_full_texts_with_and_without_title_and_padded_lines(spark):
+    from pathlib import Path
+
+    system = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "BSD": "BSD-3-Clause"}
+    texts = [((system / f).read_text(), n) for f, n in names.items()]
+    mit = next(t for n, t in licences.KNOWN if n == "MIT" and len(t) > 500)
+    isc = next(t for n, t in licences.KNOWN if n == "ISC")
+    bsd = (system / "BSD").read_text().replace("the University", "the copyright holder").replace("REGENTS AND", "COPYRIGHT HOLDERS AND").replace("REGENTS OR", "COPYRIGHT HOLDER OR")
+    apache = (system / "Apache-2.0").read_text()
+    texts += [(mit.replace("MIT License", "The MIT License (MIT)\n\nCopyright (c) 2020 A. Person"), "MIT"), (mit.split("\n\n", 1)[1], "MIT"), (isc.split("\n\n", 1)[1], "ISC")]
+    texts += [("BSD 3-Clause License\n\n" + bsd, "BSD-3-Clause"), (bsd.replace(bsd[bsd.index("3. N") : bsd.index("THIS SOFT")], ""), "BSD-2-Clause")]
+    texts += [(apache[: apache.index("END OF TERMS")], "Apache-2.0"), (apache[apache.index("TERMS AND") :], "Apache-2.0"), (apache + " but not for X", None)]
+    texts += [("x\n" + "-" * 200000 + " Licensed under the MIT License." + " " * 9000, None)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in licences.scan(docs).collect()}
+    assert [rows[i].licence for i in range(len(texts))] == [n for _, n in texts]
+    assert rows[len(texts) - 1].licences == "MIT"
