@@ -51,6 +51,8 @@ PER_SEGMENT, LEAST_SEGMENTS = 16_000_000, 64
 LEAST, BASE, BITS, PROBES = 1, 1.5, 12, 6
 #: Bytes of filter that are broadcast at most.
 MOST_FILTER = 256_000_000
+#: Keys that are probed at once.
+RUN = 1 << 16
 FINGERPRINT = 40
 ORDERS, BINS, MIDDLE = 40, 512, 256
 END = np.uint64(0x5851F42D4C957F2D)
@@ -146,7 +148,10 @@ class Filter:
         return np.packbits(out, bitorder="little").tobytes()
 
     def holds(self, keys: np.ndarray, level: int) -> np.ndarray:
-        """Where the keys are stored with the level."""
+        """Where the keys are stored with the level, by runs of `RUN` keys."""
+        return np.concatenate([self._holds(keys[a : a + RUN], level) for a in range(0, max(1, len(keys)), RUN)])
+
+    def _holds(self, keys: np.ndarray, level: int) -> np.ndarray:
         part = (keys >> self.shift).astype(np.int64)
         bits, start = self.bits[part], self.start[part]
         inside = np.arange(len(keys))
@@ -350,6 +355,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_
 
     met = cut.select("block", "ids", "sizes", "texts").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(meet, schema)
     met = stored(met, "met")
+    if sent is not None:
+        sent.destroy()
 
     def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(ORDERS * BINS, np.int64)
