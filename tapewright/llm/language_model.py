@@ -191,8 +191,8 @@ FIRM = next(int(levels_of(np.array(c))) for c in range(LEAST + 1, 100) if levels
 
 
 def count_of(levels: np.ndarray) -> np.ndarray:
-    """The count that a level stands for: the middle of its range, 0 for level 0."""
-    return np.where(levels > 0, LEAST * BASE ** (levels - 1) * (1 + BASE) / 2, 0.0)
+    """The count that a level stands for: the smallest whole one, so that no history's mass exceeds its count; 0 for level 0."""
+    return np.where(levels > 0, np.ceil(LEAST * BASE ** (levels - 1.0) - 1e-6), 0.0)
 
 
 def cut_in_blocks(docs: DataFrame, id_col: str, text_col: str, segments: int) -> DataFrame:

@@ -108,3 +108,17 @@ def test_a_bigram_seen_once_in_training_counts_in_held_out_texts(spark):
     assert (held.levels(lm.Tokens(data, np.array([0, len(data)])).pair) == 1).all()
     for most in (lm.MOST_FILTER, 0):
         assert {r.doc_id: r.score > r.base_score for r in lm.score(docs, most_filter=most).collect()}[unseen]
+
+
+def test_a_level_stands_for_its_smallest_count_and_histories_keep_their_mass():
+    counts = np.arange(1, 5000)
+    levels = lm.levels_of(counts)
+    first = np.concatenate(([True], levels[1:] != levels[:-1]))
+    assert (lm.count_of(levels[first]) == counts[first]).all() and (lm.count_of(levels) <= counts).all()
+    rng = np.random.default_rng(3)
+    vocabulary, weight = 50, 0.9
+    pairs = np.minimum(rng.zipf(1.8, (40, vocabulary)), 400) * (rng.random((40, vocabulary)) < 0.5)
+    p0 = (pairs.sum(axis=0) + 0.1) / (pairs.sum() + 0.1 * (vocabulary + 1))
+    held = np.where(pairs > 0, lm.count_of(lm.levels_of(pairs)), 0)
+    p = weight * held / np.maximum(pairs.sum(axis=1, keepdims=True), 1) + (1 - weight) * p0
+    assert (p.sum(axis=1) <= 1 + 1e-12).all()
