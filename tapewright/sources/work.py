@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors share; where that is unset, below a temporary one."""
+    """A new folder below ``spark.checkpoint.dir``, which all executors share; where that is unset, below a temporary one
+    if all tasks run in the driver's own process, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-tapewright-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tapewright/{uuid.uuid4().hex}/{name}"

@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from tapewright.functions import fields, keys
 from tapewright.sources import io
 
-KEYS = ["532/151/2025/4/15/14/30/mbp-10.zst", "532/151/2025/4/15/14/30/mbp-10/abc12345.zst", "1/2/2024/12/31/0/0/ohlcv-1h.zst", "invalid/key/format", "1/2/2024/13/1/0/0/mbo.zst", "1/2/2024/1/1/0/0/mbo.zst/", "", None, "99999999999/2/2024/1/1/0/0/mbo.zst"]
+KEYS = ["41/7/2023/11/2/9/5/mbp-10.zst", "41/7/2023/11/2/9/5/mbp-10/node-b.zst", "1/2/2024/12/31/0/0/ohlcv-1h.zst", "some/other/file.txt", "1/2/2024/13/1/0/0/mbo.zst", "1/2/2024/1/1/0/0/mbo.zst/", "", None, "99999999999/2/2024/1/1/0/0/mbo.zst"]
 
 
 def test_keys_are_parsed_and_built_again(spark):
     df = spark.createDataFrame([(k,) for k in KEYS], "key string").select("key", keys.parse_key(F.col("key")).alias("k"))
     got = {r.key: r.k for r in df.collect()}
-    assert got[KEYS[0]].entry_type == "AGGREGATED" and got[KEYS[0]].capture_id is None and got[KEYS[1]].capture_id == "abc12345"
+    assert got[KEYS[0]].entry_type == "AGGREGATED" and got[KEYS[0]].capture_id is None and got[KEYS[1]].capture_id == "node-b"
     assert [k for k in KEYS if got[k] is not None] == KEYS[:3]
     again = df.where("k is not null").select("key", keys.build_key(F.col("k.security_id"), F.col("k.exchange_id"), F.col("k.minute"), F.col("k.schema")).alias("plain"), keys.build_key(F.col("k.security_id"), F.col("k.exchange_id"), F.col("k.minute"), F.col("k.schema"), F.col("k.capture_id")).alias("raw"))
-    assert all(r.key == (r.raw if r.raw and "abc" in r.raw else r.plain) for r in again.collect())
+    assert all(r.key == (r.raw if r.raw and "node-b" in r.raw else r.plain) for r in again.collect())
     with pytest.raises(PySparkException):
-        spark.createDataFrame([("invalid/key/format",)], "key string").select(keys.parse_key(F.col("key"), strict=True)).collect()
+        spark.createDataFrame([("some/other/file.txt",)], "key string").select(keys.parse_key(F.col("key"), strict=True)).collect()
 
 
 def test_other_keys(spark):
@@ -48,9 +48,9 @@ def envelope(*names):
 
 
 def test_notifications(spark):
-    bodies = [envelope(KEYS[0], KEYS[1]), envelope(KEYS[0]), "{bad", "{}", '{"Message": "{}"}', '{"Message": "{\\"Records\\":[{}]}"}', envelope("invalid/key/format"), None]
+    bodies = [envelope(KEYS[0], KEYS[1]), envelope(KEYS[0]), "{bad", "{}", '{"Message": "{}"}', '{"Message": "{\\"Records\\":[{}]}"}', envelope("some/other/file.txt"), None]
     df = spark.createDataFrame([(b,) for b in bodies], "body string")
-    assert {r.key for r in io.notified_keys(df).collect()} == {KEYS[0], KEYS[1], "invalid/key/format"}
+    assert {r.key for r in io.notified_keys(df).collect()} == {KEYS[0], KEYS[1], "some/other/file.txt"}
     assert io.notified_entries(df).count() == 2
     notice = spark.createDataFrame([('{"Records":[{"s3":{"object":{"key":"inv/a.csv.gz"}}},{"s3":{"object":{"key":"no"}}}]}',), ("{}",), ("x",)], "body string")
     assert [r.key for r in io.inventory_notices(notice).collect()] == ["inv/a.csv.gz"]
