@@ -1,37 +1,91 @@
 """Tables that jobs keep between steps, and joins against tables whose size was checked.
 
 Executors can be lost at any time, so a step that several later steps read, or whose row ids must not
-change on a retry, is written to the shared folder named by ``spark.checkpoint.dir`` and read again.
+change on a retry, is written to the shared folder named by ``spark.checkpoint.dir`` and read again. An operator
+removes what its result does not read (`Work`); a job of several operators removes the rest once the next table
+is written (`collecting`, `remove`).
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_collected: list[str] | None = None
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where that is unset (tests, one machine), a new temporary folder."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
+    """The session's ``spark.checkpoint.dir``; where that is unset, a new temporary folder if all tasks run in the
+    driver's own process. On a cluster, whose executors would not see that folder, it must be set."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-tapewright-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the table that reads it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tapewright/{uuid.uuid4().hex}/{name}"
+    path = f"{folder or new_folder(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession) -> str:
+    folder = f"{shared_dir(spark).rstrip('/')}/tapewright/{uuid.uuid4().hex}"
+    if _collected is not None:
+        _collected.append(folder)
+    return folder
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders, in whatever store they are."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The folders of all tables that are stored within the block."""
+    global _collected
+    outer, _collected = _collected, []
+    try:
+        yield _collected
+    finally:
+        if outer is not None:
+            outer += _collected
+        _collected = outer
+
+
+class Work:
+    """The tables of one run of an operator, in a folder of their own."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.names = spark, new_folder(spark), []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        self.names.append(name)
+        return stored(df, name, self.folder)
+
+    def drop(self, *names: str) -> None:
+        """Remove tables that no later step reads."""
+        remove(self.spark, *(f"{self.folder}/{n}" for n in names))
+        self.names = [n for n in self.names if n not in names]
+
+    def drop_but(self, *names: str) -> None:
+        self.drop(*(n for n in self.names if n not in names))
+
+
 def broadcast_if_small(table: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only when a count shows that the (stored) table has at most ``most_rows`` rows.
 

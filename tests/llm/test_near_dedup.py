@@ -108,3 +108,24 @@ def test_null_and_repeated_ids_and_empty_tables(spark):
     assert near_dedup.kept_rows(docs).count() == 2
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_dedup.near_duplicates(empty).collect() == [] and near_dedup.kept_rows(empty).collect() == []
+
+
+def test_components_in_one_task_and_by_stars(spark):
+    rng = random.Random(11)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(500 + i, 501 + i) for i in range(90)] + [(1000, 1001 + i) for i in range(60)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    want = {x: root(x) for x in parent if root(x) != x}
+    table = spark.createDataFrame(edges, "a long, b long")
+    for few in (0, 1_000_000):
+        found = near_dedup.components(table, few=few).collect()
+        assert len(found) == len(want) and {r["node"]: r["label"] for r in found} == want
+    assert near_dedup.components(table.limit(0), few=0).collect() == []
