@@ -2,19 +2,29 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. Between stages the rows are written as Parquet in the
 shared folder and read again. All stages but the last return rows with the columns of documents; a stage works on all rows
-that its predecessor kept.
+that its predecessor kept. Tables that a stage made for itself are removed when a later stage is called for the same
+folder, as its result is written by then.
+
+Defined cases, for all stages: an empty table gives an empty one, with the same columns before packing. Null texts are
+empty: they are never toxic, are copies of each other and of empty texts, have size 0 in the mix (which takes those of
+whole copies only) and are one piece with the end id. Null ids are less than any other where the largest stays, and more
+than any other where the smallest stays; exactly one row of a class stays even if ids repeat. Repeated rows are exact
+copies. A null source is a source of its own. Very long texts are read whole and packed in pieces. Further columns are
+carried up to packing, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewright.llm import dedup, mixing, near_dedup, packing, toxicity
-from tapewright.llm.shared import free_name, stored
+from tapewright.llm.shared import collecting, free_name, remove, stored
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,12 +54,40 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", reject_toxic),
-    ("exact_dedup", drop_exact_copies),
-    ("near_dedup", drop_near_copies),
-    ("mixing", mix_sources),
-    ("packing", pack),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Folders of tables that stages have left, by application and input: (position of the stage, folder).
+_left: dict[tuple[str, str], list[tuple[int, str]]] = defaultdict(list)
+
+
+def _tidy(position: int, stage: Stage) -> Stage:
+    """The stage, which first removes what stages before it left for themselves."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        _release(spark, key, position)
+        with collecting() as made:
+            out = stage(spark, docs, sf_dir)
+        _left[key] += [(position, folder) for folder in made]
+        return out
+
+    return run_stage
+
+
+def _release(spark: SparkSession, key: tuple[str, str], before: int) -> None:
+    remove(spark, *(folder for at, folder in _left[key] if at < before))
+    _left[key] = [x for x in _left[key] if x[0] >= before]
+
+
+STAGES: list[tuple[str, Stage]] = [
+    (name, _tidy(k, stage))
+    for k, (name, stage) in enumerate([
+        ("toxicity", reject_toxic),
+        ("exact_dedup", drop_exact_copies),
+        ("near_dedup", drop_near_copies),
+        ("mixing", mix_sources),
+        ("packing", pack),
+    ])
 ]
 
 #: SQL cannot state the network, the signatures and the packing; tests/llm/test_pipeline.py holds each stage against brute force.
@@ -57,7 +95,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        out = stage(spark, docs, sf_dir)
+        with collecting() as made:
+            docs = stored(out, name)
+        remove(spark, *written)
+        written = made
+    _release(spark, (spark.sparkContext.applicationId, sf_dir), len(STAGES))
     return docs
