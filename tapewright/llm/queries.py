@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -44,8 +46,7 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # as in ORACLE_SQL, which leaves out lines that only reserve all rights
-    return licences.scan(documents(spark, sf_dir), rights=False)
+    return licences.scan(documents(spark, sf_dir))
 
 
 def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,28 +105,57 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.h AS t
 }
 
 
-def _canonical_sql(text: str) -> str:
-    """The canonical form of licences.canonical, in DuckDB's dialect."""
-    text = f"regexp_replace(translate({text}, '{licences.UPPER}', '{licences.LOWER}'), '{licences.COPYRIGHT_LINE}', '\\1', 'g')"
+# The table of known texts for SQL is made in Python, apart from the operator's expressions.
+
+
+def _words_of(text: str) -> str:
+    for spelling, one in licences.SPELLINGS:
+        text = text.replace(spelling, one)
+    return re.sub("[^a-z0-9\x80-\xa8\xaa-\U0010ffff]+", " ", text).strip(" ")
+
+
+def _lowered(text: str) -> str:
+    return text.translate(str.maketrans(licences.UPPER, licences.LOWER))
+
+
+def _form_of(text: str) -> str:
+    return _words_of(re.sub(licences.COPYRIGHT_LINE, r"\1", _lowered(text)))
+
+
+def _words_sql(text: str) -> str:
     for spelling, one in licences.SPELLINGS:
         quoted = spelling.replace("'", "''")
         text = f"replace({text}, '{quoted}', '{one}')"
-    return f"trim(regexp_replace({text}, '{licences.SIGNS}', ' ', 'g'))"
+    return rf"trim(regexp_replace({text}, '[^a-z0-9\x{{80}}-\x{{A8}}\x{{AA}}-\x{{10FFFF}}]+', ' ', 'g'))"
 
 
 def _licence_sql() -> str:
-    quote = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ", ".join(f"({quote(a)}, {quote(b)})" for a, b in licences.KNOWN)
-    longest = 4 * max(len(t) for _, t in licences.KNOWN)
+    forms = {}
+    inner = {_form_of(t) for _, t in licences.KNOWN + licences.bodies()}
+    for licence, text in licences.KNOWN + licences.full_texts():
+        forms[_form_of(text)] = min(licence, forms.get(_form_of(text), "~"))
+    forms |= {_words_of(_lowered(t)): licence for licence, t in licences.RIGHTS}
+    digest = lambda f: hashlib.sha256(f.encode()).hexdigest()
+    known = ", ".join(f"('{digest(f)}', '{licence}')" for f, licence in forms.items())
+    places = ", ".join(f"('{' '.join(f.split(' ')[: licences.OPENING])}', {len(f)}, '{digest(f)}')" for f in forms if f in inner and len(f.split(" ")) >= licences.INNER)
+    rest = "|".join(sorted({re.escape(f).replace("\\ ", " ") if len(f.split(" ")) <= licences.SHORT else " ".join(f.split(" ")[: licences.OPENING]) + " .*" for f in forms}))
+    lower = f"translate(body, '{licences.UPPER}', '{licences.LOWER}')"
     return f"""
-WITH v(licence, body) AS (VALUES {values}),
-k AS (SELECT sha256({_canonical_sql("body")}) AS digest, min(licence) AS licence FROM v GROUP BY 1),
-d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+WITH k(digest, licence) AS (VALUES {known}),
+o(opening, n, digest) AS (VALUES {places}),
+d AS (SELECT doc_id, {lower} AS body FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)),
+w AS (SELECT doc_id, {_words_sql(f"regexp_replace(body, '{licences.COPYRIGHT_LINE}', '{chr(92)}1', 'g')")} AS whole FROM d),
 s AS (SELECT doc_id, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS n FROM d),
-l AS (SELECT s.doc_id, s.n, k.licence FROM s JOIN k ON length(line) <= {longest} AND sha256({_canonical_sql("line")}) = k.digest),
-g AS (SELECT doc_id, count(*) AS n_lines, string_agg(licence, ',' ORDER BY n) AS licences FROM l GROUP BY doc_id)
-SELECT d.doc_id, sha256({_canonical_sql("body")}) AS digest, k.licence, coalesce(g.n_lines, 0) AS n_lines, coalesce(g.licences, '') AS licences
-FROM d LEFT JOIN k ON sha256({_canonical_sql("body")}) = k.digest LEFT JOIN g ON d.doc_id = g.doc_id
+t AS (SELECT doc_id, n, CASE WHEN regexp_matches(line, '{licences.COPYRIGHT_LINE}') THEN regexp_extract({_words_sql("line")}, '(?:^| )({rest})$', 1) ELSE {_words_sql("line")} END AS form FROM s),
+l AS (SELECT t.doc_id, t.n, k.licence FROM t JOIN k ON sha256(t.form) = k.digest WHERE t.form <> ''),
+g AS (SELECT doc_id, count(*) AS n_lines, string_agg(licence, ',' ORDER BY n) AS licences FROM l GROUP BY doc_id),
+c AS MATERIALIZED (SELECT w.doc_id, w.whole, o.* FROM w JOIN o ON contains(w.whole, o.opening)),
+p AS (SELECT *, unnest(range(1, length(whole) + 1)) AS place FROM c),
+f AS (SELECT p.doc_id, k.licence, min(place) AS place FROM p JOIN k USING (digest) WHERE starts_with(substr(whole, place), opening) AND sha256(substr(whole, place, n)) = p.digest
+  AND (place = 1 OR substr(whole, place - 1, 1) = ' ') AND substr(whole, place + n, 1) IN ('', ' ') GROUP BY 1, 2),
+i AS (SELECT doc_id, string_agg(licence, ',' ORDER BY place, licence) AS inside FROM f GROUP BY doc_id)
+SELECT w.doc_id, sha256(w.whole) AS digest, k.licence, coalesce(g.n_lines, 0) AS n_lines, coalesce(g.licences, '') AS licences, coalesce(i.inside, '') AS inside
+FROM w LEFT JOIN k ON sha256(w.whole) = k.digest LEFT JOIN g ON w.doc_id = g.doc_id LEFT JOIN i ON w.doc_id = i.doc_id
 """
 
 

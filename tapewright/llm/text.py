@@ -34,7 +34,7 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
-        texts = texts.fill_null("")
+        texts = texts.fill_null(b"" if pa.types.is_binary(texts.type) else "")
     texts = texts.cast(pa.large_binary())
     if not len(texts):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)

@@ -1,5 +1,6 @@
 import hashlib
 import re
+from functools import cache
 
 from tapewright.llm import licences, queries
 
@@ -12,13 +13,43 @@ def canonical(text):
     return re.sub(r"[^a-z0-9\x80-\xa8\xaa-\U0010ffff]+", " ", text).strip(" ")
 
 
+@cache
+def known():
+    out = {}
+    for name, t in licences.KNOWN + licences.full_texts():
+        out[canonical(t)] = min(name, out.get(canonical(t), "~"))
+    out.pop("", None)
+    return out | {"all rights reserved": "LicenseRef-Proprietary"}
+
+
+@cache
+def inner():
+    return {f for f in (canonical(t) for _, t in licences.KNOWN + licences.bodies()) if len(f.split(" ")) >= 12}
+
+
+def words(line):
+    for a, b in licences.SPELLINGS:
+        line = line.replace(a, b)
+    return re.sub(r"[^a-z0-9\x80-\xa8\xaa-\U0010ffff]+", " ", line).strip(" ")
+
+
 def brute(text):
-    known = {}
-    for name, t in licences.KNOWN:
-        known[canonical(t)] = min(name, known.get(canonical(t), "~"))
-    lines = [known[c] for c in map(canonical, (text or "").split("\n")) if c in known]
-    form = canonical(text)
-    return hashlib.sha256(form.encode()).hexdigest(), known.get(form), len(lines), ",".join(lines)
+    """By hand: the whole text, its lines, what follows a copyright statement, and every place where a known text stands."""
+    forms = known()
+    lines = []
+    for line in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split("\n"):
+        form = words(line)
+        if re.search(licences.COPYRIGHT_LINE, line):
+            # the first place from which on the rest of the line is known, or opens as a long known text does
+            parts = form.split(" ")
+            rests = [" ".join(parts[i:]) for i in range(len(parts))]
+            opens = tuple({" ".join(f.split(" ")[:6]) + " " for f in forms if len(f.split(" ")) > 40})
+            form = next((r for r in rests if (r in forms and len(r.split(" ")) <= 40) or r.startswith(opens)), "")
+        if form in forms:
+            lines.append(forms[form])
+    whole = canonical(text)
+    inside = sorted((m.start(), forms[f]) for f in inner() if f in whole for m in re.finditer(rf"(?<![^ ])(?={re.escape(f)}(?: |$))", whole))
+    return hashlib.sha256(whole.encode()).hexdigest(), forms.get(whole) if whole else None, len(lines), ",".join(lines), ",".join(dict.fromkeys(n for _, n in inside))
 
 
 def test_query_against_brute_force(spark, sf):
@@ -36,7 +67,7 @@ def test_forms_of_one_licence_and_edge_cases(spark):
     rows = {r.doc_id: tuple(r)[1:] for r in licences.scan(docs).collect()}
     assert rows == {i: brute(t) for i, t in enumerate(texts)}
     assert [rows[i][1] for i in range(10)] == ["MIT", "MIT", "MIT", None, "ISC", "MIT", None, None, None, None]
-    assert rows[9][2:] == (2, "CC-BY-NC-4.0,CC-BY-NC-4.0")
+    assert rows[9][2:] == (2, "CC-BY-NC-4.0,CC-BY-NC-4.0", "")
 
 
 def test_repeated_rows_null_ids_and_empty_tables(spark):
@@ -73,3 +104,31 @@ def test_full_texts_with_and_without_title_and_padded_lines(spark):
     rows = {r.doc_id: r for r in licences.scan(docs).collect()}
     assert [rows[i].licence for i in range(len(texts))] == [n for _, n in texts]
     assert rows[len(texts) - 1].licences == "MIT"
+
+
+def test_wrapping_does_not_matter_and_texts_are_found_inside_others(spark):
+    """Every known full text, wrapped in other ways, on one line, and inside a longer text."""
+    import textwrap
+
+    copyright_line = re.compile(licences.COPYRIGHT_LINE)
+    cases = []
+    for name, text in dict(reversed(licences.bodies())).items():
+        for width in (45, 100, 100_000):
+            # paragraphs with a copyright line stay as they are, as wrapping would move it into a line
+            parts = [p if copyright_line.search(p.lower()) else textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in re.split(r"\n{2,}", text)]
+            cases.append(("\n\n".join(parts), name, True))
+            cases.append(("Some words before.\n\n" + "\n\n".join(parts) + "\n\nand behind", name, False))
+    mpl = next(t for _, t in licences.KNOWN if t.startswith("This Source Code Form"))
+    cases += [("a\n" + textwrap.fill(mpl, 40) + "\nb", "MPL-2.0", False), ("x" + licences.MORE[0][1] + "x", "", False)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in licences.scan(docs).collect()}
+    for i, (text, name, whole) in enumerate(cases):
+        assert rows[i].licence == (name if whole else None), (i, name)
+        assert (name in rows[i].inside.split(",")) == (name != "" or rows[i].inside == ""), (i, name, rows[i].inside)
+        assert tuple(rows[i])[1:] == brute(text)
+
+
+def test_lines_of_any_length(spark):
+    texts = ["Licensed under the MIT License." + "-" * n for n in (0, 60, 6000, 300_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [(r.n_lines, r.licences) for r in licences.scan(docs).collect()] == [(1, "MIT")] * 4

@@ -78,3 +78,43 @@ def test_edge_cases(spark):
     docs = spark.createDataFrame([(None, None), (1, ""), (1, "a@b.cd")], "doc_id long, text string")
     assert sorted(r.n_email for r in pii.digest(pii.find(docs)).collect()) == [0, 0, 1]
     assert pii.find(docs.limit(0)).collect() == []
+
+
+def test_disclosure_over_whole_texts_against_brute_force(spark):
+    rng = random.Random(17)
+    filler = [f"w{i}" for i in range(40)]
+    texts = []
+    for k in range(150):
+        words = [rng.choice(filler) for _ in range(rng.randrange(5, 400))]
+        if k % 3 == 0:
+            words[0] = f"Name{k % 5}"  # far from the entity, which ends the text
+            words.append(f"mail{k % 5}@host.org")
+        if k % 7 == 0:
+            words.insert(len(words) // 2, "10.0.0.7")
+        texts.append(" ".join(words))
+    texts += [texts[0]] * 30 + [texts[3]] * 4 + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    distinct = {t or "" for t in texts}
+    terms = {t: set(re.findall(r"[^\W_]{2,}", t.lower())) for t in distinct}
+    entities = {t: {f"{pii.KINDS[k]}:{t[a:b].lower()}" for a, k, b in brute(t)} for t in distinct}
+    want = {}
+    for e in set().union(*entities.values()):
+        own = [t for t in distinct if e in entities[t]]
+        for w in set().union(*(terms[t] for t in own)):
+            both, n_term = sum(w in terms[t] for t in own), sum(w in terms[t] for t in distinct)
+            d = math.log(both * len(distinct) / (len(own) * n_term)) / math.log(len(distinct) / len(own))
+            if both >= pii.SUPPORT and d >= pii.GENERALISE:
+                want[e, w] = (both, len(own), n_term, round(d, 9))
+    got = {(r.entity, r.term): (r.n_both, r.n_entity, r.n_term, round(r.disclosure, 9)) for r in pii.disclosing_terms(docs).collect()}
+    assert got == want and ("email:mail0@host.org", "name0") in got
+
+
+def test_secrets_and_sanitised_digest(spark):
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    texts = [f'token = "{key}" and a@b.cd', "3" * 40, "f" * 40, f"x{key}", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.digest(pii.find(docs)).collect()}
+    assert [(rows[i].n_secret, rows[i].n_private) for i in range(5)] == [(1, 2), (0, 0), (0, 0), (0, 0), (0, 0)]
+    assert rows[0].spans == "secret:9:49,email:55:61"
+    assert rows[0].sanitised_sha256 == hashlib.sha256(b'token = "[SECRET]" and [EMAIL]').hexdigest()
+    assert rows[4].sanitised_sha256 == hashlib.sha256(b"").hexdigest()
