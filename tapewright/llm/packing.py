@@ -2,8 +2,10 @@
 
 Hierarchical residual packing: each partition tokenises its documents, cuts those that are too long, packs the
 pieces by best fit and emits its bins. Bins that are full or nearly so are final. The others go up a tree as
-items of their own: few tasks with many underfull bins each pack them again by best fit, until one task holds
-the rest or a round no longer helps. Only bins (id and fill) move; no text and no token id is shuffled.
+items of their own: few tasks with many underfull bins each pack them again by best fit, and so on until one task
+holds the rest. The bins are dealt to tasks by chance and, every other round, beside bins that would fill them up;
+where both ways together save less than a thousandth of the bins, tasks take twice as many, up to a bound of memory.
+Only bins (id and fill) move; no text and no token id is shuffled.
 
 Defined cases: a null or empty text is one piece that holds just the end id. Repeated rows, null ids and ties
 are packed as rows of their own (ties by row order within a partition). An empty table gives no rows. Further
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import broadcast_if_small, stored
+from .shared import Work, broadcast_if_small
 from .text import Words, blocks, byte_characters, joined, ragged
 from .text import held as kept
 
@@ -33,6 +35,9 @@ END_ID = 1
 SLACK = 16
 #: Underfull bins that one task packs again.
 BINS_PER_TASK = 50_000
+#: Where two rounds in a row, dealt in both ways, save less than this share of the underfull bins, tasks take twice as many
+#: bins, up to so many times as many (2 million, some 300 MB).
+LITTLE, WIDER = 0.001, 40
 #: Pieces that a task packs at a time, so that a very large partition needs bounded memory.
 PIECES_PER_RUN = 500_000
 
@@ -255,29 +260,36 @@ def pack_bins(bins: DataFrame, limit: int = LIMIT) -> DataFrame:
     return bins.select("bin", "fill").mapInArrow(pack, "bin long, into long, shift long, fill long")
 
 
-def pack_sequences(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID, slack: int = SLACK) -> DataFrame:
+def pack_sequences(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID, slack: int = SLACK, bins_per_task: int | None = None) -> DataFrame:
     """Pack all documents: id_col, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = stored(cut_and_pack(docs, tokenizer, id_col, text_col, limit, end_id), "pieces")
-    under = pieces.where(F.col("fill") < limit - slack).select("bin", "fill").distinct()
+    work = Work(docs.sparkSession)
+    pieces = work.stored(cut_and_pack(docs, tokenizer, id_col, text_col, limit, end_id), "pieces")
+    level = work.stored(pieces.where(F.col("fill") < limit - slack).select("bin", "fill").distinct(), "underfull-0")
     moved: DataFrame | None = None
-    level = stored(under, "underfull-0")
-    left = level.count()
-    step = 0
+    left, step, saved, per_task = level.count(), 0, 1.0, bins_per_task or BINS_PER_TASK
+    most = WIDER * per_task
     while left > 1:
-        tasks = -(-left // BINS_PER_TASK)
+        tasks = -(-left // per_task)
         step += 1
-        round_ = stored(pack_bins(level.repartition(tasks), limit), f"moved-{step}")
+        # in turn by chance and with bins beside those that would fill them up
+        dealt = level.repartition(tasks) if tasks == 1 or step % 2 else level.repartitionByRange(tasks, F.abs(F.col("fill") - limit // 2), "bin")
+        round_ = work.stored(pack_bins(dealt, limit), f"moved-{step}")
         if moved is None:
             moved = round_.select("bin", "into", "shift")
         else:
             later = round_.select(F.col("bin").alias("_bin"), F.col("into").alias("_into"), F.col("shift").alias("_shift"))
             moved = moved.join(later, moved["into"] == later["_bin"], "left").select("bin", F.coalesce("_into", "into").alias("into"), (F.col("shift") + F.coalesce("_shift", F.lit(0))).alias("shift"))
-        level = stored(round_.where(F.col("fill") < limit - slack).select(F.col("into").alias("bin"), "fill").distinct(), f"underfull-{step}")
+            moved = work.stored(moved, f"all-moved-{step}")
+        level = work.stored(round_.where(F.col("fill") < limit - slack).select(F.col("into").alias("bin"), "fill").distinct(), f"underfull-{step}")
         before, left = left, level.count()
-        if tasks == 1 or left > 0.95 * before:
+        helped, saved = saved, 1 - left / before
+        if tasks == 1 or (helped + saved < LITTLE and per_task >= most):
             break
+        if helped + saved < LITTLE:
+            per_task, saved = 2 * per_task, 1.0
     kept = [id_col, "piece", "start", "length", "ids_crc32"]
     if moved is None:
         return pieces.select(*kept, F.col("bin").alias("sequence_id"), "offset")
-    moved = broadcast_if_small(stored(moved, "moved"))
+    moved = broadcast_if_small(work.stored(moved, "moved"))
+    work.drop_but("pieces", "moved")
     return pieces.join(moved, "bin", "left").select(*kept, F.coalesce("into", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))

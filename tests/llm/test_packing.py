@@ -66,3 +66,15 @@ def test_best_fit_takes_the_tightest_bin():
     bins, offsets, fills = packing.best_fit(np.array([6, 5, 4, 4, 1]), 10)
     assert bins[0] == bins[2] and bins[1] == bins[3] == bins[4]
     assert sorted(fills) == [10, 10]
+
+
+def test_few_bins_a_task_still_pack_well(spark):
+    """Rounds of several tasks, by chance and by fill, with places that are moved again and again."""
+    docs = queries.documents(spark, "/root/testdata/sf0.01").repartition(6)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for bins_per_task in (8, 50, 50_000):
+        rows = packing.pack_sequences(docs, TOKENIZER, bins_per_task=bins_per_task).collect()
+        if bins_per_task == 8:
+            bins, total = check(rows, texts, 4096)
+        bins = len({r["sequence_id"] for r in rows})
+        assert sum(r["length"] for r in rows) == total and bins <= -(-total // 4096) * 1.01 + 1
