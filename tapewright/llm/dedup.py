@@ -3,11 +3,12 @@
 1. Each task folds equal texts within a batch into one entry: its key (64 bits of the digest of the normalised
    text), the number of rows, their ids, and the row with the largest id. The entries are written to the shared
    folder; they are the index's pages.
-2. The directory begins with a few key bits. Buckets with more distinct keys than a page holds are split by one more
-   bit, again and again (the directory doubles); copies of one key are left to chaining. Counting reads
-   only the key column, and only buckets and their sizes come to the driver, never keys or digests.
-3. Owner tasks get whole buckets, that is ranges of keys, in key order. Entries with equal keys are compared byte
-   for byte and chained where the texts differ, so a digest collision never merges two texts.
+2. Distinct keys are counted once by a prefix that is longer than needed. The directory follows from these counts: it
+   begins with a few key bits, and a bucket with more distinct keys than a page holds is split by one more bit, again
+   and again (the directory doubles); copies of one key are left to chaining. It is a table like any other: no bucket,
+   key or digest comes to the driver.
+3. Owner tasks get ranges of keys, cut between buckets, in key order (`repartitionById`). Entries with equal keys are
+   compared byte for byte and chained where the texts differ, so a digest collision never merges two texts.
 4. What an owner finds goes back to the entries by their number, and from there to the rows.
 
 A group of copies of any size reaches its owner as one entry per batch, not as rows. Texts are equal when
@@ -21,6 +22,7 @@ hashed and compared whole. Further columns are carried by `kept_rows` and may ha
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -28,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import broadcast_if_small, free_name, stored
+from .shared import Work, broadcast_if_small, free_name
 from .text import blocks
 
 #: Distinct keys that a bucket holds before it is split.
 PAGE = 20_000
-#: Bits of the first directory and of the longest one.
-FIRST_BITS, MOST_BITS = 7, 24
+#: Bits of the first directory, and bits by which keys are counted beyond those that equal buckets would need.
+FIRST_BITS, SPARE_BITS = 7, 4
 #: Upper case to lower case for A-Z only.
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -81,44 +83,46 @@ def index_entries(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFram
     return docs.mapInArrow(scan, schema), names
 
 
-def directory(entries: DataFrame, key: str, page: int = PAGE, first_bits: int = FIRST_BITS) -> DataFrame:
-    """Slots of the directory (slot, bucket, bits), where bits is the depth of the whole directory.
+def directory(entries: DataFrame, key: str, page: int = PAGE, first_bits: int = FIRST_BITS, work: Work | None = None) -> DataFrame:
+    """Slots of the directory that hold keys: (slot, bucket, bits), where bits is the depth of the whole directory and a
+    bucket is named by its first slot.
 
-    Starts with 2**first_bits buckets. Each round counts the distinct keys of the buckets that are too full, one
-    bit deeper; copies of a key don't count again, as no split can part them. Digest bits are even, so depths
-    differ by few bits and the directory has a small multiple of keys / page slots. It is all the driver holds.
+    Copies of a key count once, as no split can part them. A slot that holds more than a page at the depth that equal
+    buckets would need is counted again with longer prefixes.
     """
-    spark = entries.sparkSession
-    keys = F.col(key)
-    leaves: list[tuple[int, int]] = []
-    bits, within = first_bits, None
+    work = work or Work(entries.sparkSession)
+    deep = max(first_bits, math.ceil(math.log2(max(1.0, entries.count() / page))) + SPARE_BITS)
     while True:
-        found = entries.select(F.shiftrightunsigned(keys, 64 - bits).alias("p"), keys.alias("k"))
-        if within is not None:
-            parents = spark.createDataFrame([(p,) for p in within], "q long")
-            found = found.join(broadcast_if_small(parents), F.shiftrightunsigned("p", 1) == F.col("q"), "left_semi")
-        sizes = {r["p"]: r["n"] for r in found.groupBy("p").agg(F.countDistinct("k").alias("n")).collect()}
-        within = [p for p, n in sizes.items() if n > page and bits < MOST_BITS]
-        leaves += [(bits, p) for p in sizes if p not in set(within)]
-        if not within:
+        counts = entries.select(F.shiftrightunsigned(F.col(key), 64 - deep).alias("slot"), F.col(key).alias("k"))
+        counts = work.stored(counts.groupBy("slot").agg(F.count_distinct("k").alias("n")), f"counts-{deep}")
+        if deep == 63 or not counts.where(F.col("n") > page).take(1):
             break
-        bits += 1
-    leaves.sort(key=lambda x: x[1] << (64 - x[0]))
-    slots = [(s, i, bits) for i, (b, p) in enumerate(leaves) for s in range(p << (bits - b), (p + 1) << (bits - b))]
-    return spark.createDataFrame(slots, "slot long, bucket int, bits int")
+        deep = min(63, deep + SPARE_BITS)
+    prefix = F.expr(f"shiftright(slot, {deep} - depth)").alias("prefix")
+    above = counts.select("slot", "n", F.explode(F.sequence(F.lit(first_bits), F.lit(deep))).alias("depth")).select("slot", "n", "depth", prefix)
+    fits = above.groupBy("depth", "prefix").agg(F.sum("n").alias("total")).where(F.col("total") <= page).drop("total")
+    depth = above.join(fits, ["depth", "prefix"]).groupBy("slot").agg(F.min("depth").alias("depth"))
+    found = counts.join(depth, "slot", "left").withColumn("depth", F.coalesce("depth", F.lit(deep)))
+    first = F.expr(f"shiftleft(shiftright(slot, {deep} - depth), {deep} - depth)")
+    return found.select("slot", first.alias("bucket"), F.lit(deep).alias("bits"))
 
 
-def owners(entries: DataFrame, names: dict[str, str], text_col: str, page: int, first_bits: int) -> DataFrame:
+def owners(entries: DataFrame, names: dict[str, str], text_col: str, page: int, first_bits: int, work: Work | None = None) -> DataFrame:
     """Each entry with the first entry of its chain: (entry, chain, n, top). Equal bytes, equal chain."""
-    slots = stored(directory(entries, names["key"], page, first_bits), "directory")
+    spark = entries.sparkSession
+    work = work or Work(spark)
+    slots = work.stored(directory(entries, names["key"], page, first_bits, work), "directory")
     bits = slots.agg(F.max("bits")).first()[0] or first_bits
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = [names[k] for k in ("key", "entry", "n", "top")]
+    # digest bits are even, so equal ranges of keys are equal shares
+    owner = F.floor(F.col("bucket") * (tasks / 2.0**bits)).cast("int")
     dealt = (
         entries.select(*(F.col(c).alias(k) for c, k in zip(own, ("key", "entry", "n", "top"))), F.col(text_col).alias("text"))
         .withColumn("slot", F.shiftrightunsigned("key", 64 - bits))
         .join(broadcast_if_small(slots.select("slot", "bucket")), "slot")
         .drop("slot")
-        .repartition("bucket")
+        .repartitionById(tasks, owner)
         .sortWithinPartitions("bucket", "key", "entry")
         .select("key", "entry", "n", "top", "text")
     )
@@ -141,9 +145,11 @@ def owners(entries: DataFrame, names: dict[str, str], text_col: str, page: int,
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, page: int, first_bits: int) -> tuple[DataFrame, dict[str, str], DataFrame]:
+    work = Work(docs.sparkSession)
     entries, names = index_entries(docs, id_col, text_col)
-    entries = stored(entries, "index")
-    links = stored(owners(entries, names, text_col, page, first_bits), "chains")
+    entries = work.stored(entries, "index")
+    links = work.stored(owners(entries, names, text_col, page, first_bits, work), "chains")
+    work.drop_but("index", "chains")
     groups = links.groupBy("chain").agg(F.sum("n").alias("group_size"), F.max(F.struct("top", "entry")).alias("best"))
     found = links.join(groups, "chain").select(
         F.col("entry").alias(names["entry"]),
@@ -156,7 +162,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, page: int, first_bits:
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", page: int = PAGE, first_bits: int = FIRST_BITS) -> DataFrame:
     """One row per row of ``docs``: id_col, keep_id, group_size, kept, text_sha256 (of the normalised text)."""
-    entries, names, found = _decided(docs, id_col, text_col, page, first_bits)
+    entries, names, found = _decided(docs.select(id_col, text_col), id_col, text_col, page, first_bits)
     own = {k: names[k] for k in ("entry", "members", "top_at", "sha256")}
     rows = entries.select(*own.values()).join(found, own["entry"])
     return rows.select(F.posexplode(own["members"]).alias("_at", "_id"), "_keep_id", "_group_size", "_stays", own["top_at"], own["sha256"]).select(

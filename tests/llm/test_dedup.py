@@ -64,3 +64,18 @@ def test_directory_doubles_until_buckets_fit(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert dedup.exact_duplicates(docs).collect() == [] and dedup.kept_rows(docs).collect() == []
+
+
+def test_owners_get_ranges_of_keys(spark):
+    rows = [(int.from_bytes(hashlib.sha256(str(i).encode()).digest()[:8], "big", signed=True), i, 1, i, str(i)) for i in range(400)]
+    entries = spark.createDataFrame(rows, "key long, entry long, n long, top long, text string").repartition(3)
+    names = {k: k for k in ("key", "entry", "n", "top")}
+    from pyspark.sql import functions as F
+
+    dealt = dedup.owners(entries, names, "text", 10, 2).withColumn("task", F.spark_partition_id()).collect()
+    key = {r[1]: r[0] % (1 << 64) for r in rows}
+    spans = {}
+    for r in dealt:
+        spans.setdefault(r["task"], []).append(key[r["entry"]])
+    edges = sorted((min(k), max(k)) for k in spans.values())
+    assert len(edges) > 1 and all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
