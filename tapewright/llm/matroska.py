@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .shared import Work
 from .text import blocks
 
 # Element ids of EBML and Matroska.
@@ -297,13 +298,14 @@ def padded(text: str | None) -> tuple[bytes, int]:
 
 
 def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col and `media`: each text as a Matroska file."""
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("media", T.BinaryType())])
+    """id_col, `n_bytes` (of the text) and `media`: each text as a Matroska file."""
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
 
     def store(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, text_col):
-                yield pa.RecordBatch.from_arrays([block.column(id_col), pa.array([write(padded(t.as_py())[0]) for t in block.column(text_col)], pa.binary())], [id_col, "media"])
+                held = [padded(t.as_py()) for t in block.column(text_col)]
+                yield pa.RecordBatch.from_arrays([block.column(id_col), pa.array([n for _, n in held], pa.int64()), pa.array([write(x) for x, _ in held], pa.binary())], schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(store, schema)
 
@@ -343,36 +345,39 @@ def probe(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") ->
     return media.select(id_col, media_col).mapInArrow(table, schema)
 
 
-def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Store each text, read the stored bytes back through the packet table, and describe what was read.
+def features(media: DataFrame, id_col: str = "doc_id", media_col: str = "media", size_col: str = "n_bytes") -> DataFrame:
+    """What the packet tables of stored files lead to: id_col, n_bytes, payload_bytes, payload_sha256, tail_crc32,
+    media_bytes, media_sha256, feature. A damaged file is an error.
 
-    id_col, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature. The feature is
-    the number of packets, blocks, clusters and cues that point at a cluster, the duration in ms, and the mean
+    The feature is the number of packets, blocks, clusters and cues that point at a cluster, the duration in ms, and the mean
     and mean absolute step of the samples.
     """
     kinds = (("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType()))
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(n, t) for n, t in kinds)])
+    schema = T.StructType([T.StructField(id_col, media.schema[id_col].dataType), *(T.StructField(n, t) for n, t in kinds)])
 
-    def describe(text: str | None) -> tuple:
-        payload, n_bytes = padded(text)
-        media = write(payload)
-        file = read(media)
+    def describe(data: bytes) -> tuple:
+        file = read(data)
         if file.damage:
             raise ValueError(file.damage)
-        view = memoryview(media)
+        view = memoryview(data)
         back = b"".join([view[p[2] : p[2] + p[3]] for p in file.packets])
         samples = np.frombuffer(back, np.uint8).astype(np.int64)
         places = {a for a, _ in file.clusters}
-        good = sum(1 for time, track, place in file.cues if read_size(media, read_id(media, place)[1])[1] in places)
+        good = sum(1 for time, track, place in file.cues if read_size(data, read_id(data, place)[1])[1] in places)
         end = file.packets[-1][1] // 1_000_000 + FRAME * 1000 // SAMPLE_RATE
         feature = f"packets={len(file.packets)};blocks={file.blocks};clusters={len(file.clusters)};cues={good};ms={end};mean={samples.sum() / len(samples):.3f};step={np.abs(np.diff(samples)).sum() / (len(samples) - 1):.3f}"
-        return n_bytes, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature
+        return len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, text_col):
-                rows = zip(*(describe(t.as_py()) for t in block.column(text_col)))
-                types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                yield pa.RecordBatch.from_arrays([block.column(id_col), *(pa.array(x, t) for x, t in zip(rows, types))], [id_col, *(n for n, _ in kinds)])
+            for block in blocks(batch, media_col):
+                rows = zip(*(describe(x.as_py()) for x in block.column(media_col)))
+                types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([block.column(id_col), block.column(size_col), *(pa.array(x, t) for x, t in zip(rows, types))], schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return media.select(id_col, size_col, media_col).mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each text stored as a file in a media column of the shared folder, and what the stored bytes say (see `features`)."""
+    return features(Work(docs.sparkSession).stored(store_texts(docs, id_col, text_col), "media", compression="zstd"), id_col)

@@ -32,11 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, folder: str | None = None, **options: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the table that reads it."""
     spark = df.sparkSession
     path = f"{folder or new_folder(spark)}/{name}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -73,9 +73,9 @@ class Work:
     def __init__(self, spark: SparkSession):
         self.spark, self.folder, self.names = spark, new_folder(spark), []
 
-    def stored(self, df: DataFrame, name: str) -> DataFrame:
+    def stored(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         self.names.append(name)
-        return stored(df, name, self.folder)
+        return stored(df, name, self.folder, **options)
 
     def drop(self, *names: str) -> None:
         """Remove tables that no later step reads."""

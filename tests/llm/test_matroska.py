@@ -84,3 +84,13 @@ def test_tables_and_edge_cases(spark):
     assert mk.round_trip(docs.limit(0)).collect() == []
     trip = {(r.payload_bytes, r.feature) for r in mk.round_trip(docs).collect()}
     assert len(trip) == 2
+
+
+def test_features_come_from_the_stored_column_and_damage_is_an_error(spark):
+    docs = spark.createDataFrame([(1, "abc"), (2, "x" * 500)], "doc_id long, text string")
+    media = mk.store_texts(docs)
+    assert [(r.doc_id, r.n_bytes) for r in media.orderBy("doc_id").collect()] == [(1, 3), (2, 500)]
+    assert {tuple(r) for r in mk.features(media).collect()} == {tuple(r) for r in mk.round_trip(docs).collect()}
+    broken = media.selectExpr("doc_id", "n_bytes", "substring(media, 1, 300) as media")
+    with pytest.raises(Exception, match="cut short|element"):
+        mk.features(broken).collect()
