@@ -14,12 +14,13 @@ otherwise the level is one less, and none if c is 1.
 
 How it runs:
 1. Texts are read once and cut into blocks of bounded size. A block keeps its texts (compressed), its sorted distinct word
-   hashes and its sorted bigram fingerprints with their training counts, both cut into key ranges (segments).
+   hashes and its sorted bigram fingerprints with their training counts, both cut into key ranges (segments). Only
+   ranges in which a block has keys become messages, so there are never more messages than keys: both grow with the text.
 2. A task for each segment adds up the counts of all blocks. For words it answers every block with the exact
    counts of the words that the block asked for; nothing but these answers goes back. For bigrams it makes its
    part of the filter.
 3. The filter is broadcast if its size, which is known by then, is within `MOST_FILTER`. Beyond that the
-   segments answer the blocks from their own part of the filter; results are the same.
+   segments answer the blocks from their own part of the filter, which is built once; results are the same.
 4. Each block meets its answers and scores its texts.
 Word counts are exact but for collisions of 64-bit hashes; a frequent word is one entry a block, never rows.
 
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import stored
+from .shared import Work
 from .text import LOWER, Words, blocks, joined, mix
 
 BLOCK = 8_000_000
@@ -49,8 +50,8 @@ BLOCK = 8_000_000
 PER_SEGMENT, LEAST_SEGMENTS = 16_000_000, 64
 #: Counts from which bigrams are held, the base of the levels, bits for each entry and probes.
 LEAST, BASE, BITS, PROBES = 1, 1.5, 12, 6
-#: Bytes of filter that are broadcast at most.
-MOST_FILTER = 256_000_000
+#: Bytes of filter that are broadcast at most, and bytes of text for each of them from which it is plain that a filter is larger.
+MOST_FILTER, TEXT_PER_FILTER = 64_000_000, 48
 #: Keys that are probed at once.
 RUN = 1 << 16
 FINGERPRINT = 40
@@ -84,11 +85,12 @@ def _unpack_keys(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(both[:n], dtype=np.uint64), both[n:].astype(np.int64)
 
 
-def _segmented(keys: np.ndarray, counts: np.ndarray, width: int, segments: int) -> list[bytes]:
-    """Payloads of sorted keys of ``width`` bits for each segment."""
+def _segmented(keys: np.ndarray, counts: np.ndarray, width: int, segments: int) -> list[dict]:
+    """Payloads of sorted keys of ``width`` bits for each segment that has any."""
     step = np.uint64(width - (segments.bit_length() - 1))
-    edges = np.searchsorted(keys >> step, np.arange(segments + 1).astype(np.uint64))
-    return [_pack_keys(keys[a:b], counts[a:b]) for a, b in zip(edges, edges[1:])]
+    full, first = np.unique(keys >> step, return_index=True)
+    edges = np.append(first, len(keys))
+    return [{"segment": int(s), "payload": _pack_keys(keys[a:b], counts[a:b])} for s, a, b in zip(full, edges, edges[1:])]
 
 
 def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,8 +156,8 @@ class Filter:
     def _holds(self, keys: np.ndarray, level: int) -> np.ndarray:
         part = (keys >> self.shift).astype(np.int64)
         bits, start = self.bits[part], self.start[part]
-        inside = np.arange(len(keys))
-        for at in self.places(keys, level, bits):
+        inside = np.flatnonzero(bits)
+        for at in self.places(keys, level, np.maximum(bits, np.uint64(1))):
             at = at[inside].astype(np.int64) + start[inside]
             inside = inside[self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
             if not len(inside):
@@ -198,7 +200,8 @@ def count_of(levels: np.ndarray) -> np.ndarray:
 def cut_in_blocks(docs: DataFrame, id_col: str, text_col: str, segments: int) -> DataFrame:
     """Blocks: block, ids, sizes and texts (compressed), and payloads of words and bigrams by segment."""
     id_type = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)), T.StructField("sizes", T.BinaryType()), T.StructField("texts", T.BinaryType()), T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("pairs", T.ArrayType(T.BinaryType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+    pieces = T.ArrayType(T.StructType([T.StructField("segment", T.IntegerType()), T.StructField("payload", T.BinaryType())]))
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)), T.StructField("sizes", T.BinaryType()), T.StructField("texts", T.BinaryType()), T.StructField("words", pieces), T.StructField("pairs", pieces), T.StructField("counts", T.ArrayType(T.LongType()))])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -215,7 +218,8 @@ def cut_in_blocks(docs: DataFrame, id_col: str, text_col: str, segments: int) ->
                 row = [number, ids.to_pylist(), _pack(np.diff(offsets)), zstandard.ZstdCompressor(level=3).compress(data.tobytes())]
                 row += [_segmented(*_counted(tokens.key, learns), 64, segments), _segmented(*_counted(tokens.pair, learns), FINGERPRINT, segments)]
                 row.append([int(learns.sum()), int(train.sum())])
-                kinds = (pa.int64(), pa.list_(ids.type), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int64()))
+                piece = pa.list_(pa.struct([("segment", pa.int32()), ("payload", pa.binary())]))
+                kinds = (pa.int64(), pa.list_(ids.type), pa.binary(), pa.binary(), piece, piece, pa.list_(pa.int64()))
                 number += 1
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], schema.names)
 
@@ -230,6 +234,11 @@ def _sums(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarra
     return keys, sums, np.split(back, np.cumsum([len(k) for k, _ in read])[:-1])
 
 
+def _messages(cut: DataFrame, kind: str) -> DataFrame:
+    """One row for each block and segment: block, segment, payload."""
+    return cut.select("block", F.explode(kind).alias("_piece")).select("block", "_piece.segment", "_piece.payload")
+
+
 def word_answers(cut: DataFrame) -> DataFrame:
     """For each block and segment the training counts of the block's words: block, segment, answer, distinct.
 
@@ -241,8 +250,7 @@ def word_answers(cut: DataFrame) -> DataFrame:
         distinct = [int((sums > 0).sum())] + [0] * (len(places) - 1)
         return pa.table({"block": table["block"], "segment": table["segment"], "answer": pa.array([_pack(sums[p]) for p in places], pa.binary()), "distinct": pa.array(distinct, pa.int64())})
 
-    asked = cut.select("block", F.posexplode("words").alias("segment", "payload"))
-    return asked.groupBy("segment").applyInArrow(answer, "block long, segment int, answer binary, distinct long")
+    return _messages(cut, "words").groupBy("segment").applyInArrow(answer, "block long, segment int, answer binary, distinct long")
 
 
 def filter_parts(cut: DataFrame) -> DataFrame:
@@ -253,23 +261,33 @@ def filter_parts(cut: DataFrame) -> DataFrame:
         held = sums >= LEAST
         return pa.table({"segment": pa.array([table["segment"][0].as_py()], pa.int32()), "part": pa.array([Filter.part(keys[held], sums[held])], pa.binary())})
 
-    return cut.select(F.posexplode("pairs").alias("segment", "payload")).groupBy("segment").applyInArrow(build, "segment int, part binary")
+    return _messages(cut, "pairs").drop("block").groupBy("segment").applyInArrow(build, "segment int, part binary")
 
 
-def pair_answers(cut: DataFrame) -> DataFrame:
+def pair_answers(cut: DataFrame, parts: DataFrame | None = None) -> DataFrame:
     """The way beyond the broadcast: levels of each block's bigrams from the segment's own part of the filter, times 2,
-    and 1 more where leaving one out takes a level."""
+    and 1 more where leaving one out takes a level. Parts that are there are used, others are built on the way."""
+
+    def levels_in(part: bytes, keys: np.ndarray) -> np.ndarray:
+        held = Filter([part], 1)
+        held.shift = np.uint64(FINGERPRINT)
+        found = held.levels(keys)
+        return 2 * found + (found - held.left_out(keys, found))
+
+    def told(table: pa.Table, levels: list[np.ndarray]) -> pa.Table:
+        return pa.table({"block": table["block"], "segment": table["segment"], "answer": pa.array([_pack(x) for x in levels], pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
         keys, sums, places = _sums(table["payload"].to_pylist())
         held = sums >= LEAST
-        levels = Filter([Filter.part(keys[held], sums[held])], 1)
-        levels.shift = np.uint64(FINGERPRINT)
-        found = levels.levels(keys)
-        found = 2 * found + (found - levels.left_out(keys, found))
-        return pa.table({"block": table["block"], "segment": table["segment"], "answer": pa.array([_pack(found[p]) for p in places], pa.binary())})
+        found = levels_in(Filter.part(keys[held], sums[held]), keys)
+        return told(table, [found[p] for p in places])
+
+    def look_up(table: pa.Table, part: pa.Table) -> pa.Table:
+        return told(table, [levels_in(part["part"][0].as_py(), _unpack_keys(x)[0]) for x in table["payload"].to_pylist()])
 
-    return cut.select("block", F.posexplode("pairs").alias("segment", "payload")).groupBy("segment").applyInArrow(answer, "block long, segment int, answer binary")
+    asked, schema = _messages(cut, "pairs").groupBy("segment"), "block long, segment int, answer binary"
+    return asked.applyInArrow(answer, schema) if parts is None else asked.cogroup(parts.groupBy("segment")).applyInArrow(look_up, schema)
 
 
 def ratio(bins: np.ndarray) -> np.ndarray:
@@ -293,19 +311,21 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     segments = max(LEAST_SEGMENTS, 1 << math.ceil(math.log2(max(1, size / PER_SEGMENT))))
-    cut = stored(cut_in_blocks(docs, id_col, text_col, segments), "blocks")
+    work = Work(spark)
+    cut = work.stored(cut_in_blocks(docs, id_col, text_col, segments), "blocks")
     train_tokens, train_texts = (int(x or 0) for x in cut.agg(F.sum(F.col("counts")[0]), F.sum(F.col("counts")[1])).first())
-    answers = stored(word_answers(cut), "word-answers")
+    answers = work.stored(word_answers(cut), "word-answers")
     distinct = int(answers.agg(F.sum("distinct")).first()[0] or 0)
-    parts = stored(filter_parts(cut), "filter")
-    filter_size = int(parts.agg(F.sum(F.octet_length("part"))).first()[0] or 0)
-    sent = None
+    sent, parts = None, None
     told = answers.select("block", "segment", "answer", F.lit(0).alias("kind"))
-    if filter_size <= most_filter:
+    if size <= TEXT_PER_FILTER * most_filter:
+        parts = work.stored(filter_parts(cut), "filter")
+        filter_size = int(parts.agg(F.sum(F.octet_length("part"))).first()[0] or 0)
+    if parts is not None and filter_size <= most_filter:
         rows = {r["segment"]: r["part"] for r in parts.toLocalIterator()}
-        sent = spark.sparkContext.broadcast(Filter([rows.pop(s) for s in sorted(rows)], segments) if rows else None)
+        sent = spark.sparkContext.broadcast(Filter([rows.pop(s, b"") for s in range(segments)], segments) if rows else None)
     else:
-        told = told.union(pair_answers(cut).select("block", "segment", "answer", F.lit(1)))
+        told = told.union(pair_answers(cut, parts).select("block", "segment", "answer", F.lit(1)))
     id_type = docs.schema[id_col].dataType
     kinds = (("held_out", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("cells", T.BinaryType()), ("train", T.BinaryType()))
     schema = T.StructType([T.StructField(id_col, id_type), *(T.StructField(n, t) for n, t in kinds)])
@@ -354,7 +374,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_
         return pa.table({id_col: ids, "held_out": pa.array(held), "n_tokens": pa.array(tokens.per.astype(np.int64)), "n_known": pa.array(known), "base_score": pa.array(base), "cells": pa.array(packed, pa.binary()), "train": pa.array(train, pa.binary())})
 
     met = cut.select("block", "ids", "sizes", "texts").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(meet, schema)
-    met = stored(met, "met")
+    met = work.stored(met, "met")
+    work.drop_but("met")
     if sent is not None:
         sent.destroy()
 
