@@ -90,8 +90,11 @@ def scored(values: DataFrame, params: Sequence[MetricParams] = METRICS, whole_da
     return found.withColumn("ready", ready).withColumn("anomalous", F.col("detect") & ready & hit)
 
 
-def statistical_issues(values: DataFrame, files: DataFrame, as_of: Column, params: Sequence[MetricParams] = METRICS, whole_day: bool = False) -> DataFrame:
-    """Issues of the statistical rule. files: listing_id, minute, security_id, exchange_id, schema, n_records."""
-    hits = scored(values, params, whole_day).where("anomalous").join(files.select("listing_id", "minute", "security_id", "exchange_id", "schema", "n_records"), ["listing_id", "minute"])
+def statistical_issues(values: DataFrame, files: DataFrame | None, as_of: Column, params: Sequence[MetricParams] = METRICS, whole_day: bool = False) -> DataFrame:
+    """Issues of the statistical rule. files: listing_id, minute, security_id, exchange_id, schema, n_records; None where the
+    values hold these columns themselves."""
+    hits = scored(values, params, whole_day).where("anomalous")
+    if files is not None:
+        hits = hits.join(files.select("listing_id", "minute", "security_id", "exchange_id", "schema", "n_records"), ["listing_id", "minute"])
     text = fields.anomaly_text(F.col("metric"), F.col("direction"), F.col("value"), F.col("mean"), F.col("stddev"))
     return issue_rows(hits, F.col("rule"), text, F.col("n_records"), as_of)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,27 +35,28 @@ def bad_keys(inventory: DataFrame) -> DataFrame:
 
 
 def levels(entries_: DataFrame) -> DataFrame:
-    """All levels in one pass: level, its keys, files, minutes (distinct), size_bytes, days, pairs, exchanges, earliest, latest, schemas.
+    """All levels: level, its keys, files, minutes (distinct), size_bytes, days, earliest, latest.
 
-    Files of a minute are first summed by minute, which the map side does; the grouping sets then expand minutes, not files.
+    Files are first summed by minute. A minute that is distinct for a key is a row of that key's own sums, made from those
+    of the finer key, so distinct minutes are plain counts of ever fewer rows; dates part minutes, so levels without a
+    date add up their dates.
     """
-    minutes = entries_.groupBy(*_DIMS, "minute").agg(F.count("*").alias("files"), F.sum("size").alias("size"))
-    name = F.coalesce(*[F.when(F.grouping_id() == _mask(k), F.lit(n)) for n, k in LEVELS.items()])
-    grouped = minutes.groupingSets([[F.col(c) for c in k] for k in LEVELS.values()], *_DIMS)
-    return grouped.agg(
-        name.alias("level"),
-        F.sum("files").alias("files"),
-        F.count_distinct("minute").alias("minutes"),
-        F.sum("size").alias("size_bytes"),
-        F.count_distinct(F.to_date("minute")).alias("days"),
-        F.min(F.to_date("minute")).alias("earliest"),
-        F.max(F.to_date("minute")).alias("latest"),
-    )
 
+    def by_minute(rows: DataFrame, *key: str) -> DataFrame:
+        return rows.groupBy(*key, "date", "minute").agg(F.sum("files").alias("files"), F.sum("size").alias("size"))
 
-def _mask(level: tuple[str, ...]) -> int:
-    """grouping_id of a level: a bit for each dimension that is not one of its keys."""
-    return sum(1 << (len(_DIMS) - 1 - i) for i, d in enumerate(_DIMS) if d not in level)
+    files = entries_.groupBy(*_DIMS, "minute").agg(F.count("*").alias("files"), F.sum("size").alias("size"))
+    pair, security_schema = by_minute(files, "security_id", "exchange_id"), by_minute(files, "security_id", "schema")
+    security, schema = by_minute(pair, "security_id"), by_minute(security_schema, "schema")
+    finest = {"pair_date_schema": files, "pair_date": pair, "security_date_schema": security_schema, "security_date": security, "schema": schema, "pair": pair, "security": security, "global": by_minute(security)}
+    kinds = {"security_id": "int", "exchange_id": "int", "schema": "string", "date": "date"}
+    parts = []
+    for name, key in LEVELS.items():
+        own = tuple(k for k in key if k != "date")
+        daily = finest[name].groupBy(*own, "date").agg(F.sum("files").alias("files"), F.count("*").alias("minutes"), F.sum("size").alias("size_bytes"))
+        found = daily.groupBy(F.lit(name).alias("level"), *key).agg(*(F.sum(c).alias(c) for c in ("files", "minutes", "size_bytes")), F.count("*").alias("days"), F.min("date").alias("earliest"), F.max("date").alias("latest"))
+        parts.append(found.select(*(F.col(c) if c in key else F.lit(None).cast(t).alias(c) for c, t in kinds.items()), "level", "files", "minutes", "size_bytes", "days", "earliest", "latest"))
+    return reduce(DataFrame.union, parts)
 
 
 def global_summary(entries_: DataFrame) -> DataFrame:
@@ -82,44 +85,61 @@ def per_date(entries_: DataFrame, *key: str) -> DataFrame:
     return entries_.groupBy(*key, "date").agg(F.count_distinct("minute").alias("minutes"), F.sum("size").alias("size_bytes"))
 
 
-def _schema_map(entries_: DataFrame, *key: str) -> DataFrame:
-    item = F.struct(F.lit(True).alias("hasCoverage"), F.col("minutes"), F.col("size_bytes").alias("sizeBytes"))
-    return per_date(entries_, *key, "schema").groupBy(*key, "date").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("schema", item)))).alias("schemaTypes"))
+def _map(*pair: Column | str, ordered: bool = True) -> Column:
+    """A map of a group's rows, in the order of its keys unless values have no order (maps)."""
+    pairs = F.collect_list(F.struct(*pair))
+    return F.map_from_entries(F.array_sort(pairs) if ordered else pairs)
 
 
-def records(entries_: DataFrame, as_of: Column) -> DataFrame:
-    """Coverage rows (pk, sk, data as JSON, last_updated, version): summaries and dates of all levels.
+def records(levels_: DataFrame, as_of: Column) -> DataFrame:
+    """Coverage rows (pk, sk, data as JSON, last_updated, version) of a stored table of `levels`: summaries and dates.
 
-    Each document holds maps over schemas, exchanges or pairs of one key and date, which are few by nature.
+    Each document holds maps over schemas, exchanges or pairs of one key and date, which are few by nature; that of all
+    pairs has an entry for each listing.
     """
-    pairs = by_pair(entries_).withColumn("name", F.concat_ws("-", "security_id", "exchange_id"))
-    item = F.struct(F.col("security_id").alias("securityId"), F.col("exchange_id").alias("exchangeId"), F.col("file_count").alias("fileCount"), F.col("minute_count").alias("minuteCount"), F.col("size_bytes").alias("sizeBytes"), F.col("earliest_date").alias("earliestDate"), F.col("latest_date").alias("latestDate"), F.col("schema_types").alias("schemaTypes"))
-    securities = pairs.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", item)))).alias("securities"))
-    schemas = by_schema(entries_).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("schema", F.struct(F.col("file_count").alias("fileCount"), F.col("minute_count").alias("minuteCount"), F.col("size_bytes").alias("sizeBytes")))))).alias("schemaTypes"))
+    of = lambda name: levels_.where(F.col("level") == name)
+    pair, security = ["security_id", "exchange_id"], ["security_id"]
+    camel = {"totalDays": "days", "totalMinutes": "minutes", "totalSizeBytes": "size_bytes", "earliestDate": "earliest", "latestDate": "latest", "schemaTypes": "schema_types"}
+    totals = [F.col(c).alias(n) for n, c in camel.items()]
+    types = lambda name, key: of(name).groupBy(*key).agg(_schemas().alias("schema_types"))
+    pairs = of("pair").drop("schema").join(types("pair_date_schema", pair), pair)
+
+    item = F.struct("securityId", "exchangeId", "fileCount", "minuteCount", "sizeBytes", "earliestDate", "latestDate", "schemaTypes")
+    named = pairs.withColumnsRenamed({"files": "fileCount", "minutes": "minuteCount", "size_bytes": "sizeBytes", "earliest": "earliestDate", "latest": "latestDate", "schema_types": "schemaTypes"}).withColumns({"securityId": F.col("security_id"), "exchangeId": F.col("exchange_id")})
+    securities = named.agg(_map(F.concat_ws("-", "security_id", "exchange_id").alias("name"), item).alias("securities"), F.count("*").alias("securityExchangeCount"))
+    schemas = of("schema").agg(_map("schema", F.struct(F.col("files").alias("fileCount"), F.col("minutes").alias("minuteCount"), F.col("size_bytes").alias("sizeBytes"))).alias("schemaTypes"))
     one = F.lit(1).alias("_one")
-    top = global_summary(entries_).where("total_files > 0").select("*", one).join(securities.select("*", one), "_one").join(schemas.select("*", one), "_one")
-    data = F.to_json(F.struct(F.col("total_files").alias("totalFiles"), F.col("total_minutes").alias("totalMinutes"), F.col("total_size_bytes").alias("totalSizeBytes"), F.col("security_exchange_count").alias("securityExchangeCount"), F.col("earliest_date").alias("earliestDate"), F.col("latest_date").alias("latestDate"), "securities", "schemaTypes"))
+    top = of("global").select("*", one).join(securities.select("*", one), "_one").join(schemas.select("*", one), "_one")
+    data = F.to_json(F.struct(F.col("files").alias("totalFiles"), F.col("minutes").alias("totalMinutes"), F.col("size_bytes").alias("totalSizeBytes"), "securityExchangeCount", F.col("earliest").alias("earliestDate"), F.col("latest").alias("latestDate"), "securities", "schemaTypes"))
     out = top.select(keys.coverage_pk().alias("pk"), keys.coverage_sk().alias("sk"), data.alias("data"))
 
-    def totals(*more: Column) -> Column:
-        return F.to_json(F.struct(F.col("total_days").alias("totalDays"), F.col("total_minutes").alias("totalMinutes"), F.col("total_size_bytes").alias("totalSizeBytes"), F.col("earliest_date").alias("earliestDate"), F.col("latest_date").alias("latestDate"), F.col("schema_types").alias("schemaTypes"), *more))
-
-    each = summary(entries_, "security_id", "exchange_id")
-    exchange = F.struct(F.col("total_days").alias("totalDays"), F.col("total_minutes").alias("totalMinutes"), F.col("total_size_bytes").alias("totalSizeBytes"), F.col("earliest_date").alias("earliestDate"), F.col("latest_date").alias("latestDate"), F.col("schema_types").alias("schemaTypes"))
-    exchanges = each.groupBy("security_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("exchange_id").cast("string"), exchange)))).alias("exchanges"))
-    security = summary(entries_, "security_id").join(exchanges, "security_id")
-    out = out.union(security.select(keys.coverage_pk(F.col("security_id")), keys.coverage_sk(), totals(F.col("total_exchanges").alias("totalExchanges"), F.col("exchanges"))))
-    out = out.union(each.select(keys.coverage_pk(F.col("security_id"), F.col("exchange_id")), keys.coverage_sk(), totals()))
-
-    pair_dates = per_date(entries_, "security_id", "exchange_id").join(_schema_map(entries_, "security_id", "exchange_id"), ["security_id", "exchange_id", "date"])
-    document = F.struct(F.lit(True).alias("hasCoverage"), F.col("minutes").alias("totalMinutes"), "schemaTypes")
-    by_exchange = pair_dates.groupBy("security_id", "date").agg(F.map_from_entries(F.collect_list(F.struct(F.col("exchange_id").cast("string"), F.struct("schemaTypes", F.col("minutes").alias("totalMinutes"))))).alias("exchanges"))
-    security_dates = per_date(entries_, "security_id").join(_schema_map(entries_, "security_id"), ["security_id", "date"]).join(by_exchange, ["security_id", "date"])
-    out = out.union(security_dates.select(keys.coverage_pk(F.col("security_id")), keys.coverage_sk(F.col("date")), F.to_json(F.struct(F.lit(True).alias("hasCoverage"), F.col("minutes").alias("totalMinutes"), "schemaTypes", "exchanges"))))
-    out = out.union(pair_dates.select(keys.coverage_pk(F.col("security_id"), F.col("exchange_id")), keys.coverage_sk(F.col("date")), F.to_json(document)))
+    exchanges = pairs.groupBy("security_id").agg(_map(F.col("exchange_id").cast("string").alias("name"), F.struct(*totals)).alias("exchanges"), F.count("*").alias("totalExchanges"))
+    whole = of("security").drop("exchange_id", "schema").join(types("security_date_schema", security), security).join(exchanges, security)
+    out = out.union(whole.select(keys.coverage_pk(F.col("security_id")), keys.coverage_sk(), F.to_json(F.struct(*totals, "totalExchanges", "exchanges"))))
+    out = out.union(pairs.select(keys.coverage_pk(F.col("security_id"), F.col("exchange_id")), keys.coverage_sk(), F.to_json(F.struct(*totals))))
+
+    held = F.struct(F.lit(True).alias("hasCoverage"), F.col("minutes"), F.col("size_bytes").alias("sizeBytes"))
+    dated = lambda name, key: of(name).select(*key, "date", "minutes").join(of(f"{name}_schema").groupBy(*key, "date").agg(_map("schema", held).alias("schemaTypes")), [*key, "date"])
+    pair_dates = dated("pair_date", pair)
+    by_exchange = pair_dates.groupBy("security_id", "date").agg(_map(F.col("exchange_id").cast("string").alias("name"), F.struct("schemaTypes", F.col("minutes").alias("totalMinutes")), ordered=False).alias("exchanges"))
+    document = [F.lit(True).alias("hasCoverage"), F.col("minutes").alias("totalMinutes"), F.col("schemaTypes")]
+    security_dates = dated("security_date", security).join(by_exchange, ["security_id", "date"])
+    out = out.union(security_dates.select(keys.coverage_pk(F.col("security_id")), keys.coverage_sk(F.col("date")), F.to_json(F.struct(*document, "exchanges"))))
+    out = out.union(pair_dates.select(keys.coverage_pk(F.col("security_id"), F.col("exchange_id")), keys.coverage_sk(F.col("date")), F.to_json(F.struct(*document))))
     return out.select("*", as_of.alias("last_updated"), F.lit("1.0").alias("version"))
 
 
+# Fixed value: what an empty summary says.
+NO_COVERAGE = "No coverage data available"
+
+
+def summary_answer(table: DataFrame) -> DataFrame:
+    """One row for the summary of a coverage table: its totals and time, or zeros and an error where it has none."""
+    own = table.where("pk = 'GLOBAL' and sk = 'SUMMARY'")
+    number = lambda name: F.coalesce(F.first(F.get_json_object("data", f"$.{name}").cast("long")), F.lit(0))
+    return own.agg(number("totalFiles").alias("total_files"), number("totalMinutes").alias("total_minutes"), number("totalSizeBytes").alias("total_size_bytes"), number("securityExchangeCount").alias("pairs"), F.first("last_updated").alias("last_inventory_date"), F.when(F.count("*") == 0, NO_COVERAGE).alias("error"))
+
+
 def read_documents(table: DataFrame, pk: Column) -> DataFrame:
     """The summary of a key with its dates: pk, summary, coverage (map of date to document); no row for an unknown key."""
     own = table.where(F.col("pk") == pk)

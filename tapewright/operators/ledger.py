@@ -50,17 +50,48 @@ def job_minutes(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("source_minute", F.explode(F.sequence(start, F.timestamp_seconds(F.unix_timestamp(start) + (n - 1) * 60), step)))
 
 
+#: What tells the output and the input of jobs apart.
+OF_JOB = ("job_id", "job_minute")
+
+
 def job_input(jobs: DataFrame, ticks: DataFrame, schema: str) -> DataFrame:
-    """Ticks that the jobs of one schema read. Hourly jobs join by hour, so their minutes are not listed."""
+    """Ticks that the jobs of one schema read, with job_id and job_minute. Hourly jobs join by hour, so their minutes are not
+    listed."""
     hourly = schema == "ohlcv-1h"
     bucket = (lambda c: F.date_trunc("hour", c)) if hourly else (lambda c: c)
-    wanted = jobs.select("listing_id", bucket(F.col("minute")).alias("_bucket")).distinct()
-    return ticks.withColumn("_bucket", bucket(F.col("minute"))).join(wanted, ["listing_id", "_bucket"], "left_semi").drop("_bucket")
+    wanted = jobs.select("job_id", F.col("minute").alias("job_minute"), "listing_id", bucket(F.col("minute")).alias("_bucket"))
+    return ticks.withColumn("_bucket", bucket(F.col("minute"))).join(wanted, ["listing_id", "_bucket"]).drop("_bucket")
+
 
+def unreadable(ticks: DataFrame) -> Column:
+    """Records that no conversion can place: without event time or action, or trades without price or size."""
+    there = set(ticks.columns)
+    bad = F.lit(False)
+    for c in {"ts_event_ns", "action"} & there:
+        bad = bad | F.col(c).isNull()
+    for c in {"price", "size"} & there:
+        bad = bad | (F.coalesce(F.col("action") == "Trade", F.lit(False)) & F.col(c).isNull())
+    return bad
 
-def converted(jobs: DataFrame, ticks: DataFrame, schema: str, source: str = "mbp-10") -> DataFrame:
-    """Output of all pending jobs of a schema in one plan; a job without input has none."""
-    return convert.convert(job_input(jobs, ticks, schema), source, schema)
+
+def failures(jobs: DataFrame, given: DataFrame, listings: DataFrame | None = None) -> DataFrame:
+    """Jobs that can't be done, each with its own error, so that one does not end the others: (job_id, minute, error_message).
+
+    given: `job_input` of the jobs. A job fails if its listing is unknown (where listings are given) or its input holds
+    records that can't be read; a job without input does not.
+    """
+    counts = given.groupBy(*OF_JOB).agg(F.count("*").alias("n"), F.count_if(unreadable(given)).alias("bad")).where("bad > 0")
+    found = counts.select("job_id", F.col("job_minute").alias("minute"), F.format_string("%d of %d records can't be read", "bad", "n").alias("error_message"))
+    if listings is None:
+        return found
+    unknown = jobs.join(listings.select("listing_id").distinct(), "listing_id", "left_anti")
+    unknown = unknown.select(*JOB, F.format_string("no such listing: %d", "listing_id").alias("error_message"))
+    return found.join(unknown, list(JOB), "left_anti").union(unknown)
+
+
+def converted(given: DataFrame, schema: str, source: str = "mbp-10") -> DataFrame:
+    """Output of `job_input` in one plan, apart for each job; a job without input has none."""
+    return convert.convert(given, source, schema, OF_JOB)
 
 
 def closed(jobs: DataFrame, as_of: Column, failed: DataFrame | None = None) -> DataFrame:

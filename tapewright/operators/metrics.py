@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +37,14 @@ def aggregates() -> dict[str, Column]:
     }
 
 
-def wide(ticks: DataFrame, cycle: tuple[str, ...] = CYCLE) -> DataFrame:
-    """One row per file with all metrics: a single partial and final aggregate serves them all."""
-    return ticks.groupBy(*cycle).agg(*(c.alias(n) for n, c in aggregates().items()))
+#: Metrics of one's own by name, as aggregates over the ticks of a file.
+Own = Mapping[str, Callable[[], Column]]
+
+
+def wide(ticks: DataFrame, cycle: tuple[str, ...] = CYCLE, more: Own | None = None) -> DataFrame:
+    """One row per file with all metrics, and ``more`` of them: a single partial and final aggregate serves them all."""
+    own = {n: made().cast("double") for n, made in (more or {}).items()}
+    return ticks.groupBy(*cycle).agg(*(c.alias(n) for n, c in (aggregates() | own).items()))
 
 
 def with_empty_files(metrics: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -48,16 +55,26 @@ def with_empty_files(metrics: DataFrame, manifest: DataFrame) -> DataFrame:
     return joined.withColumn("tickCount", F.coalesce("tickCount", F.lit(0.0))).withColumns({m: F.when(traded, F.coalesce(m, F.lit(0.0))) for m in ("tradeVolume", "tradeFrequency")})
 
 
-def long(metrics: DataFrame) -> DataFrame:
-    """One row per metric that has a value: listing_id, minute, metric, value."""
-    names = list(aggregates())
-    stacked = metrics.select("listing_id", "minute", F.explode(F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*names))).alias("metric", "value"))
+def long(metrics: DataFrame, more: Own | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per metric that has a value: listing_id, minute, carried columns, metric, value."""
+    names = [*aggregates(), *(more or {})]
+    stacked = metrics.select("listing_id", "minute", *carry, F.explode(F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*names))).alias("metric", "value"))
     return stacked.where("value is not null and not isnan(value)")
 
 
-def minute_metrics(ticks: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
-    found = wide(ticks)
-    return long(found if manifest is None else with_empty_files(found, manifest))
+def minute_metrics(ticks: DataFrame, manifest: DataFrame | None = None, more: Own | None = None) -> DataFrame:
+    found = wide(ticks, more=more)
+    return long(found if manifest is None else with_empty_files(found, manifest), more)
+
+
+#: Columns that name a file beside its listing and minute.
+FILE = ("security_id", "exchange_id", "schema", "n_records")
+
+
+def file_metrics(ticks: DataFrame, more: Own | None = None) -> DataFrame:
+    """`minute_metrics` with the columns of `FILE`, from the same aggregate."""
+    found = wide(ticks, (*CYCLE, "security_id", "exchange_id"), more)
+    return long(found.withColumn("n_records", F.col("tickCount").cast("long")), more, FILE)
 
 
 def hourly_stats(values: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,18 +14,29 @@ from ..functions import fields, keys
 FILE = ("listing_id", "security_id", "exchange_id", "schema", "minute")
 
 
-def measures(ticks: DataFrame, seconds: int = 60) -> DataFrame:
+@dataclass(frozen=True)
+class Rule:
+    """A rule over files: when it is hit and what it says (given the seconds of a file), as expressions over the measures of
+    a file, and further measures as aggregates over its ticks."""
+
+    name: str
+    hit: Callable[[], Column]
+    details: Callable[[int], Column]
+    measures: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
+
+
+def measures(ticks: DataFrame, seconds: int = 60, more: Mapping[str, Callable[[], Column]] | None = None) -> DataFrame:
     """What the static rules need of each file, from one shuffle by file.
 
     total, misaligned (event time outside [minute, minute + seconds), in ns), decreases of the sequence number in
-    file order, and the counts of both flags (null for schemas without them).
+    file order, the counts of both flags (null for schemas without them), and ``more``.
     """
     start = F.unix_timestamp("minute") * F.lit(1_000_000_000)
     outside = (F.col("ts_event_ns") < start) | (F.col("ts_event_ns") >= start + F.lit(seconds * 1_000_000_000))
     before = F.lag("sequence").over(Window.partitionBy(*FILE).orderBy("pos"))
     flag = lambda c: F.when(F.first("schema").isin(*TRADE_SCHEMAS), F.count_if(F.col(c)))
     rows = ticks.withColumn("_down", F.col("sequence") < before)
-    return rows.groupBy(*FILE).agg(F.count("*").alias("total"), F.count_if(outside).alias("misaligned"), F.count_if(F.col("_down")).alias("decreases"), flag("maybe_bad_book").alias("bad_book"), flag("bad_ts_recv").alias("bad_recv"))
+    return rows.groupBy(*FILE).agg(F.count("*").alias("total"), F.count_if(outside).alias("misaligned"), F.count_if(F.col("_down")).alias("decreases"), flag("maybe_bad_book").alias("bad_book"), flag("bad_ts_recv").alias("bad_recv"), *(made().alias(name) for name, made in (more or {}).items()))
 
 
 def misaligned(found: DataFrame) -> DataFrame:
@@ -54,16 +68,28 @@ def issue_rows(found: DataFrame, rule: Column, details: Column, total: Column, a
     )
 
 
-def static_issues(ticks: DataFrame, as_of: Column, seconds: int = 60) -> DataFrame:
-    """Issues of the three static rules; one row each, made from a single aggregate."""
-    found = measures(ticks, seconds)
-    total = F.col("total")
-    end = F.col("minute") + F.expr(f"interval {seconds} seconds")
-    rule = lambda name, when, details: F.when(when, F.struct(F.lit(name).alias("rule"), details.alias("details")))
-    hits = F.array(
-        rule("TIMESTAMP_ALIGNMENT", F.col("misaligned") > 0, fields.alignment_text(F.col("misaligned"), total, F.col("minute"), end)),
-        rule("SEQUENCE_MONOTONICITY", (total >= 2) & (F.try_divide("decreases", total - 1) > SEQUENCE_RATIO), fields.sequence_text(F.col("decreases"), total)),
-        rule("BAD_DATA_FLAGS", (F.col("bad_book") > 0) | (F.col("bad_recv") > 0), fields.flags_text(F.col("bad_book"), F.col("bad_recv"), total)),
-    )
-    rows = found.withColumn("_hit", F.explode(F.filter(hits, lambda x: x.isNotNull())))
-    return issue_rows(rows, F.col("_hit.rule"), F.col("_hit.details"), total, as_of)
+def _flags() -> Column:
+    return (F.col("bad_book") > 0) | (F.col("bad_recv") > 0)
+
+
+def _not_monotonic() -> Column:
+    return (F.col("total") >= 2) & (F.try_divide("decreases", F.col("total") - 1) > SEQUENCE_RATIO)
+
+
+def _alignment(seconds: int) -> Column:
+    return fields.alignment_text(F.col("misaligned"), F.col("total"), F.col("minute"), F.col("minute") + F.expr(f"interval {seconds} seconds"))
+
+
+STATIC: tuple[Rule, ...] = (
+    Rule("TIMESTAMP_ALIGNMENT", lambda: F.col("misaligned") > 0, _alignment),
+    Rule("SEQUENCE_MONOTONICITY", _not_monotonic, lambda seconds: fields.sequence_text(F.col("decreases"), F.col("total"))),
+    Rule("BAD_DATA_FLAGS", _flags, lambda seconds: fields.flags_text(F.col("bad_book"), F.col("bad_recv"), F.col("total"))),
+)
+
+
+def static_issues(ticks: DataFrame, as_of: Column, seconds: int = 60, rules: Sequence[Rule] = STATIC) -> DataFrame:
+    """Issues of rules over files; one row each, made from a single aggregate however many rules there are."""
+    more = {name: made for rule in rules for name, made in rule.measures.items()}
+    hits = F.array(*(F.when(rule.hit(), F.struct(F.lit(rule.name).alias("rule"), rule.details(seconds).alias("details"))) for rule in rules))
+    rows = measures(ticks, seconds, more).withColumn("_hit", F.explode(F.filter(hits, lambda x: x.isNotNull())))
+    return issue_rows(rows, F.col("_hit.rule"), F.col("_hit.details"), F.col("total"), as_of)

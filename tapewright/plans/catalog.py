@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import METRICS, MetricParams
-from ..functions import keys
+from ..functions import fields, keys
 from ..operators import baseline, convert, coverage, gaps, ledger, merge, metrics, rules, tables
 from ..sources import io
-from ..sources.work import stored, work_dir
+from ..sources.work import ordered, stored, work_dir
 from ..streaming import jobs as streams
 from . import harness, jobs
 
@@ -356,9 +356,52 @@ def t03_coverage_levels(spark, sf):
 
 @query
 def q09_coverage_records(spark, sf):
-    """Keys of all coverage rows with a few fields of their documents."""
-    found = jobs.coverage_tables(io.inventory_lines(_inventory(spark, sf)), as_of())
-    return found.select("pk", "sk", F.get_json_object("data", "$.totalMinutes").cast("long").alias("total_minutes"), "version")
+    """All coverage rows with the fields of their documents."""
+    return _documents(jobs.coverage_tables(io.inventory_lines(_inventory(spark, sf)), as_of()))
+
+
+def _documents(found: DataFrame) -> DataFrame:
+    field = lambda n: F.get_json_object("data", f"$.{n}")
+    number = lambda n: field(n).cast("long")
+    per_schema = F.when(~F.col("sk").startswith("DATE"), F.lit(None)).otherwise(number("schemaTypes.trades.minutes"))
+    return found.select(
+        "pk", "sk", number("totalMinutes").alias("total_minutes"), number("totalDays").alias("total_days"), number("totalSizeBytes").alias("total_size_bytes"), field("earliestDate").alias("earliest_date"), field("latestDate").alias("latest_date"), field("hasCoverage").alias("has_coverage"),
+        per_schema.alias("trade_minutes"), F.when(F.col("sk").startswith("DATE"), number("schemaTypes.trades.sizeBytes")).alias("trade_bytes"), number("exchanges.0.totalMinutes").alias("minutes_at_0"), number("totalExchanges").alias("total_exchanges"), "version", epoch("last_updated"),
+    )
+
+
+@query
+def s10_stored_coverage(spark, sf):
+    """The coverage table as a job leaves it, run twice."""
+    path = work_dir(spark, "coverage")
+    for _ in range(2):
+        jobs.store_coverage(io.inventory_lines(_inventory(spark, sf)), as_of(), path)
+    return _documents(spark.read.parquet(path))
+
+
+@query
+def x11_streamed_coverage(spark, sf):
+    """An inventory snapshot that arrives as text files, streamed into the coverage table."""
+    landing, path = work_dir(spark, "inventory"), work_dir(spark, "coverage")
+    _inventory(spark, sf).write.text(landing)
+    streams.run_available(streams.inventory_snapshots(spark, landing), jobs.coverage_sink(path, as_of()))
+    return _documents(spark.read.parquet(path))
+
+
+@query
+def q10_empty_summary(spark, sf):
+    """What the summary says where the given inventory has no line that can be read."""
+    lines = _inventory(spark, sf).where("value = 'short,line'")
+    return _answer(jobs.coverage_tables(io.inventory_lines(lines), as_of()))
+
+
+@query
+def q10_summary_answer(spark, sf):
+    return _answer(jobs.coverage_tables(io.inventory_lines(_inventory(spark, sf)), as_of()))
+
+
+def _answer(table: DataFrame) -> DataFrame:
+    return coverage.summary_answer(table).select("total_files", "total_minutes", "total_size_bytes", "pairs", epoch("last_inventory_date"), "error")
 
 
 @query
@@ -483,7 +526,51 @@ def q02_created_jobs(spark, sf):
 @query
 def q03_run_jobs(spark, sf):
     ticks = harness.ticks(spark, sf, "minute")
-    return jobs.run_jobs(_jobs(spark, sf), ticks, "ohlcv-1h", as_of())[0]
+    return in_epochs(jobs.run_jobs(_jobs(spark, sf), ticks, "ohlcv-1h", as_of())[0], "job_minute")
+
+
+@query
+def q03_run_jobs_in_parts(spark, sf):
+    """A limited run, and another of what it left: the output of each job is that of one run."""
+    ticks, ledger_ = harness.ticks(spark, sf, "minute"), stored(_jobs(spark, sf), "jobs")
+    first, closed = jobs.run_jobs(ledger_, ticks, "ohlcv-1h", as_of(), limit=50)
+    second, _ = jobs.run_jobs(stored(tables.put(ledger_, closed, *ledger.JOB), "jobs"), ticks, "ohlcv-1h", as_of())
+    return in_epochs(first.union(second), "job_minute")
+
+
+def _some_fail(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """A run in which some records have no event time and one listing is unknown."""
+    ticks = harness.ticks(spark, sf, "minute")
+    broken = ticks.withColumn("ts_event_ns", F.when(F.col("pos") % 997 != 0, F.col("ts_event_ns")))
+    return jobs.run_jobs(_jobs(spark, sf), broken, "ohlcv-1h", as_of(), listings=harness.listings(ticks).where("listing_id <> 1"))
+
+
+@query
+def q03_isolated_output(spark, sf):
+    return in_epochs(_some_fail(spark, sf)[0], "job_minute")
+
+
+@query
+def u04_failed_jobs(spark, sf):
+    return _some_fail(spark, sf)[1].select("job_id", epoch(), "status", "error_message")
+
+
+@query
+def l06_limited_run(spark, sf):
+    """Jobs that a run of at most 40 closes: the earliest."""
+    ticks = harness.ticks(spark, sf, "minute")
+    return jobs.run_jobs(_jobs(spark, sf), ticks, "trades", as_of(), limit=40)[1].select("job_id", epoch(), "status")
+
+
+@query
+def x05_converted_entries(spark, sf):
+    """Merged entries that arrive in files, streamed through job creation and conversion."""
+    landing, ledger_, out = (work_dir(spark, n) for n in ("entries", "jobs", "bars"))
+    ticks = harness.ticks(spark, sf, "minute")
+    entries = _entries_of(spark, sf)
+    ordered(entries.repartitionByRange(3, "minute"), landing)
+    streams.run_available(streams.file_stream(spark, landing, entries.schema, files=1), jobs.conversion_sink(ledger_, out, ticks, harness.listings(ticks), "ohlcv-1m", as_of()))
+    return in_epochs(spark.read.parquet(out).drop("version"), "job_minute")
 
 
 @query
@@ -637,14 +724,15 @@ def j01_entries_with_listing(spark, sf):
 
 
 def _tick_stream(spark, sf, cycle="minute") -> DataFrame:
-    """The ticks in five files, written from the given events in their order, as a stream that takes one file at a time."""
+    """The ticks in files of bounded size, written once from the given events in their order, as a stream of five batches."""
     ticks = harness.ticks(spark, sf, cycle).withColumn("event_time", F.timestamp_micros((F.col("ts_event_ns") / 1000).cast("long")))
+    return _landed(spark, ticks, "pos")
+
+
+def _landed(spark, rows: DataFrame, by: str) -> DataFrame:
     path = work_dir(spark, "landing")
-    low, high = ticks.agg(F.min("pos"), F.max("pos")).first()
-    for part in range(5):
-        edge = lambda k: low + (high + 1 - low) * k // 5
-        ticks.where((F.col("pos") >= edge(part)) & (F.col("pos") < edge(part + 1))).coalesce(1).write.mode("append").parquet(path)
-    return streams.file_stream(spark, path, ticks.schema, files=1)
+    files = ordered(rows.repartitionByRange(5 * max(1, rows.count() // 5_000_000), by), path)
+    return streams.file_stream(spark, path, rows.schema, files=-(-files // 5))
 
 
 @query
@@ -673,6 +761,147 @@ def x08_gaps_on_arrival(spark, sf):
     return spark.read.parquet(path).select("listing_id", "previous", "minute", "missing")
 
 
+@query
+def x03_gaps_after_late_data(spark, sf):
+    """Minutes arrive in five batches, a seventh of them one batch late: gaps are looked for 15 minutes behind, and taken back."""
+    ticks = harness.ticks(spark, sf, "minute").select("listing_id", "minute", "pos")
+    span = ticks.agg(F.max("pos") - F.min("pos")).first()[0]
+    late = ticks.withColumn("pos", F.col("pos") + F.when(F.col("pos") % 7 == 0, F.lit(span // 5)).otherwise(F.lit(0)))
+    seen, found = work_dir(spark, "seen"), work_dir(spark, "found")
+    streams.run_available(_landed(spark, late, "pos"), streams.gap_sink(seen, found, search_minutes=120))
+    return in_epochs(streams.current_gaps(spark, found), "minute")
+
+
+@query
+def x09_streamed_notifications(spark, sf):
+    """Repeated and malformed notifications as a stream: each key once."""
+    messages = _messages(spark, sf).withColumn("received", as_of())
+    path = work_dir(spark, "keys")
+    streams.run_available(streams.distinct_notifications(_landed(spark, messages, "body"), "received"), streams.fan_out(streams.versions_sink(path)))
+    return spark.read.parquet(path).select("key")
+
+
+# ---------------------------------------------------------------- tables that jobs leave, own rules and metrics, further scans
+
+
+@query
+def s11_stored_issues(spark, sf):
+    """Issues are put, some of them are reviewed, and all are put again: reviews stay."""
+    path = work_dir(spark, "issues")
+    found = rules.static_issues(harness.ticks(spark, sf), as_of(), 3600)
+    jobs.store_issues(found, path)
+    seen = found.where(F.pmod(F.unix_timestamp("minute") / 3600, F.lit(4)) == 0).withColumns({"status": F.lit("REVIEWED"), "note": F.lit("seen")})
+    jobs.store_issues(seen, path)
+    jobs.store_issues(found, path)
+    return spark.read.parquet(path).select("listing_id", "issue_id", "status", "note")
+
+
+@query
+def s12_stored_gaps(spark, sf):
+    """Gap rows put twice, among them rows that lack a part of the key."""
+    path = work_dir(spark, "gaps")
+    found = gaps.gap_rows(gaps.reported(_observed(spark, sf), search_minutes=120), as_of())
+    broken = found.where(F.col("listing_id") == LISTING).withColumn("listing_id", F.lit(None).cast("int"))
+    jobs.store_gaps(found, path)
+    jobs.store_gaps(found.union(broken), path)
+    return spark.read.parquet(path).select("listing_id", epoch(), "status")
+
+
+@query
+def s12_rejected_gaps(spark, sf):
+    found = gaps.gap_rows(gaps.reported(_observed(spark, sf), search_minutes=120), as_of())
+    broken = found.where(F.col("listing_id") == LISTING).withColumn("listing_id", F.lit(None).cast("int"))
+    return jobs.store_gaps(found.union(broken), work_dir(spark, "gaps")).select(epoch(), "error")
+
+
+@query
+def e01_own_rule(spark, sf):
+    crossed = rules.Rule("CROSSED_BOOK", lambda: F.col("crossed") > 0, lambda seconds: F.format_string("%d of %d records are crossed", "crossed", "total"), {"crossed": lambda: F.count_if(F.col("ask_px_0") < F.col("bid_px_0"))})
+    found = rules.static_issues(harness.ticks(spark, sf), as_of(), 3600, [crossed, rules.STATIC[2]])
+    return found.select("listing_id", "issue_id", "rule_type", "details", "record_count")
+
+
+@query
+def e02_own_metric(spark, sf):
+    largest = {"largestTrade": lambda: F.max(F.when(F.col("action") == "Trade", F.col("size")))}
+    return metrics.minute_metrics(harness.ticks(spark, sf), more=largest).where("metric in ('largestTrade', 'tickCount')").select("listing_id", epoch(), "metric", "value")
+
+
+@query
+def r09_issue_details(spark, sf):
+    """What static issues say; the share of transitions is left to its rounding."""
+    found = rules.static_issues(harness.ticks(spark, sf), as_of(), 3600)
+    return found.select("listing_id", "issue_id", F.regexp_replace("details", r" \(\d+\.\d%\)", "").alias("details"), "note", epoch("created_at"))
+
+
+@query
+def p13_fields_of_schemas(spark, sf):
+    schema = F.get(F.array(F.lit("mbo"), F.lit("mbp-10"), F.lit("trades")), (F.col("pos") % 3).cast("int"))
+    trade = fields.trade_fields(schema, F.col("price"), F.col("size"), F.col("action"))
+    book, flags = fields.book_fields(schema, F.col("bid_px_0"), F.col("ask_px_0")), fields.flag_fields(schema, F.col("maybe_bad_book"), F.col("bad_ts_recv"))
+    size = fields.without_sentinel(F.col("size"), 7)
+    return harness.ticks(spark, sf).select("pos", schema.alias("schema"), trade["price"].alias("price"), trade["action"].alias("action"), book["bid_px_0"].alias("bid"), flags["bad_ts_recv"].alias("bad"), size.alias("size"), F.round(fields.price(F.col("price")), 6).alias("units"), fields.size(F.col("size")).alias("lots"))
+
+
+@query
+def s01_captures_of_minute(spark, sf):
+    return io.captures(harness.ticks(spark, sf), 1, 0, harness.SOURCE, F.timestamp_seconds(F.lit(CENTER))).select("capture_id", "pos", "sequence")
+
+
+@query
+def s13_listing_by_id(spark, sf):
+    ticks = harness.ticks(spark, sf, "minute")
+    return io.with_pair(ticks.select("listing_id", "pos"), harness.listings(ticks).where("exchange_id = 0")).select("pos", "security_id", "exchange_id", "source_schema")
+
+
+@query
+def l01_sorted_entries(spark, sf):
+    return in_epochs(io.sorted_entries(harness.manifest(harness.ticks(spark, sf, "minute")), "listing_id").select("listing_id", "minute", "n_records"), "minute")
+
+
+@query
+def l05_next_page_of_jobs(spark, sf):
+    page = tables.after("minute", "job_id", F.timestamp_seconds(F.lit(CENTER)), F.lit("10-trades"))
+    return tables.listed(_jobs(spark, sf), F.col("schema") == "trades", F.col("status") == "PENDING", page, tie=("job_id",)).select("job_id", epoch(), "status")
+
+
+@query
+def l05_next_page_of_issues(spark, sf):
+    page = tables.after("minute", "issue_id", F.timestamp_seconds(F.lit(CENTER)), F.lit(f"{CENTER}#BAD_DATA_FLAGS"))
+    return tables.listed(_issues(spark, sf), F.col("listing_id") == LISTING, page, tie=("issue_id",)).select("issue_id", epoch(), "rule_type")
+
+
+@query
+def c06_bbo_1s(spark, sf):
+    return convert.convert(harness.ticks(spark, sf), "mbp-10", "bbo-1s")
+
+
+@query
+def c10_bars_of_mbp1(spark, sf):
+    return convert.convert(convert.to_mbp1(harness.ticks(spark, sf)), "mbp-1", "ohlcv-1m")
+
+
+@query
+def r08_statistics_mode(spark, sf):
+    """Values only: no issue is made."""
+    found = jobs.quality_check(harness.ticks(spark, sf), as_of(), "statistics", TUNED, 3600)
+    return found.values.select("listing_id", epoch(), "metric", rounded("value")).join(found.issues.select(F.col("listing_id").alias("_l")), F.col("listing_id") == F.col("_l"), "left_anti")
+
+
+@query
+def r08_issues_mode(spark, sf):
+    """Issues against baselines of whole days."""
+    found = jobs.quality_check(harness.ticks(spark, sf), as_of(), "issues", TUNED, 3600).issues
+    return found.select("listing_id", "issue_id", "rule_type", epoch(), "record_count")
+
+
+@query
+def q06_backfill_of_a_day(spark, sf):
+    day = F.to_date(F.lit(DAY))
+    found, _ = jobs.backfill(harness.ticks(spark, sf), LISTING, day, day, as_of(), "all", TUNED, 3600)
+    return found.issues.select("issue_id", "rule_type", epoch(), "record_count")
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Quality issues of all files: static rules, and metric values against baselines as of each minute."""
     return q05_quality_check(spark, sf)

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import METRICS, MetricParams
 from ..operators import baseline, coverage, gaps, ledger, merge, metrics, rules, tables
 from ..sources import io
-from ..sources.work import stored
+from ..sources.work import exists, stored
+from ..streaming import jobs as streams
 
 MODES = ("statistics", "issues", "all")
 
@@ -27,10 +29,17 @@ def create_jobs(entries: DataFrame, listings: DataFrame, jobs: DataFrame, as_of:
     return ledger.created(entries, listings, jobs, as_of)
 
 
-def run_jobs(jobs: DataFrame, ticks: DataFrame, schema: str, as_of: Column, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Output of the pending jobs of a schema, and the new versions of these jobs."""
+def run_jobs(jobs: DataFrame, ticks: DataFrame, schema: str, as_of: Column, limit: int | None = None, listings: DataFrame | None = None, source: str = "mbp-10") -> tuple[DataFrame, DataFrame]:
+    """Output of the pending jobs of a schema, apart for each job, and the new versions of these jobs.
+
+    A job whose input can't be read, or whose listing is not among ``listings``, is FAILED and has no output; the others are
+    not held up by it. ``limit`` takes the earliest jobs only (the reference's runs stop at 10,000; the default is all).
+    """
     due = ledger.pending(jobs, schema, limit)
-    return ledger.converted(due, ticks, schema), ledger.closed(due, as_of)
+    given = ledger.job_input(due, ticks, schema)
+    failed = ledger.failures(due, given, listings)
+    good = given.join(failed.select("job_id", F.col("minute").alias("job_minute")), list(ledger.OF_JOB), "left_anti")
+    return ledger.converted(good, schema, source), ledger.closed(due, as_of, failed)
 
 
 def detect_gaps(manifest: DataFrame, jobs: DataFrame | None, values: DataFrame, as_of: Column) -> DataFrame:
@@ -48,12 +57,13 @@ def quality_check(ticks: DataFrame, as_of: Column, mode: str = "all", params: Se
     """Issues and metric values of files. Modes: all; statistics (values only); issues (scored against the whole day's table)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}: {mode}")
-    values = metrics.minute_metrics(ticks, manifest)
     found = rules.static_issues(ticks, as_of, seconds)
+    # metrics come with the file's own columns, unless files without a record are to be scored too
+    values, files = (metrics.file_metrics(ticks), None) if manifest is None else (metrics.minute_metrics(ticks, manifest), manifest)
+    plain = values.drop(*metrics.FILE) if manifest is None else values
     if mode == "statistics":
-        return Quality(found.limit(0), values)
-    files = ticks.groupBy("listing_id", "minute", "security_id", "exchange_id", "schema").agg(F.count("*").alias("n_records"))
-    return Quality(found.unionByName(baseline.statistical_issues(values, files, as_of, params, whole_day=mode == "issues")), values)
+        return Quality(found.limit(0), plain)
+    return Quality(found.unionByName(baseline.statistical_issues(values, files, as_of, params, whole_day=mode == "issues")), plain)
 
 
 def backfill(ticks: DataFrame, listing_id: int, start: Column, end: Column, as_of: Column, mode: str = "all", params: Sequence[MetricParams] = METRICS, seconds: int = 60) -> tuple[Quality, DataFrame]:
@@ -98,5 +108,46 @@ def investigate(values: DataFrame, manifest: DataFrame, issues: DataFrame, listi
 
 
 def coverage_tables(inventory: DataFrame, as_of: Column) -> DataFrame:
-    """Coverage rows of a snapshot. The parsed entries are written once, as every level reads them."""
-    return coverage.records(stored(coverage.entries(inventory), "entries"), as_of)
+    """Coverage rows of a snapshot. The levels are written once, as all documents are made of them."""
+    return coverage.records(stored(coverage.levels(coverage.entries(inventory)), "levels"), as_of)
+
+
+# Jobs that end in tables.
+
+
+def store_coverage(inventory: DataFrame, as_of: Column, path: str) -> None:
+    """The coverage table of a snapshot, in place of the one before."""
+    io.snapshot(coverage_tables(inventory, as_of), path)
+
+
+def coverage_sink(path: str, as_of: Column) -> Callable[[DataFrame, int], None]:
+    """For a stream of inventory snapshots: each replaces the coverage table."""
+    return lambda snapshot, number: store_coverage(snapshot, as_of, path)
+
+
+def store_issues(issues: DataFrame, path: str) -> DataFrame:
+    """Put issues into their table; reviewed ones stay. Returns rows without a key, with the error."""
+    return io.upsert(issues.withColumn("date", F.to_date("minute")), path, "listing_id", "issue_id", keep_reviewed=True)
+
+
+def store_gaps(found: DataFrame, path: str) -> DataFrame:
+    """Put gap rows into their table; reviewed ones stay. Returns rows without a key, with the error."""
+    return io.upsert(found.withColumn("date", F.to_date("minute")), path, "listing_id", "minute", keep_reviewed=True)
+
+
+def conversion_sink(jobs_path: str, out_path: str, ticks: DataFrame, listings: DataFrame, schema: str, as_of: Column) -> Callable[[DataFrame, int], None]:
+    """For a stream of merged entries: their jobs are created, run, and closed in the ledger; output is written by batch.
+
+    The ledger and the output are versions by batch, so a repeated batch replaces itself; it sees the ledger of those before.
+    """
+    keep, give = streams.versions_sink(jobs_path), streams.versions_sink(out_path)
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = spark.read.parquet(jobs_path).where(F.col("version") < number) if exists(spark, jobs_path) else spark.createDataFrame([], schemas.struct(schemas.JOBS))
+        new = stored(ledger.created(batch, listings, known.select("job_id", "minute").distinct(), as_of, strict=False), "created")
+        out, closed = run_jobs(new, ticks, schema, as_of, listings=listings)
+        give(out, number)
+        keep(tables.put(new, closed, "job_id", "minute"), number)
+
+    return write

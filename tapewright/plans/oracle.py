@@ -181,18 +181,26 @@ SQL["t03_coverage_levels"] = cover(" UNION ALL ".join(
 _PAIR = "'SEC#' || CAST(security_id AS VARCHAR) || '#EX#' || CAST(exchange_id AS VARCHAR)"
 _SEC = "'SEC#' || CAST(security_id AS VARCHAR)"
 SQL["q09_coverage_records"] = cover(" UNION ALL ".join(
-    f"SELECT {pk} AS pk, {sk} AS sk, count(DISTINCT minute) AS total_minutes, '1.0' AS version FROM en" + (f" GROUP BY {g}" if g else "")
+    f"""SELECT {pk} AS pk, {sk} AS sk, count(DISTINCT minute) AS total_minutes, {'NULL' if not g or 'date' in g else 'count(DISTINCT en.date)'} AS total_days, {'NULL' if 'date' in g else 'CAST(sum(size) AS BIGINT)'} AS total_size_bytes,
+      {'NULL' if 'date' in g else 'CAST(min(en.date) AS VARCHAR)'} AS earliest_date, {'NULL' if 'date' in g else 'CAST(max(en.date) AS VARCHAR)'} AS latest_date, {"'true'" if 'date' in g else 'NULL'} AS has_coverage,
+      {"nullif(count(DISTINCT minute) FILTER (schema = 'trades'), 0)" if 'date' in g else 'NULL'} AS trade_minutes, {"CAST(sum(size) FILTER (schema = 'trades') AS BIGINT)" if 'date' in g else 'NULL'} AS trade_bytes,
+      {"nullif(count(DISTINCT minute) FILTER (exchange_id = 0), 0)" if g.startswith('security_id') and 'exchange' not in g else 'NULL'} AS minutes_at_0, {'count(DISTINCT exchange_id)' if g == 'security_id' else 'NULL'} AS total_exchanges,
+      '1.0' AS version, CAST({AS_OF} AS BIGINT) AS last_updated FROM en""" + (f" GROUP BY {g}" if g else "")
     for pk, sk, g in (("'GLOBAL'", "'SUMMARY'", ""), (_SEC, "'SUMMARY'", "security_id"), (_PAIR, "'SUMMARY'", "security_id, exchange_id"), (_SEC, "'DATE#' || CAST(date AS VARCHAR)", "security_id, date"), (_PAIR, "'DATE#' || CAST(date AS VARCHAR)", "security_id, exchange_id, date"))
 ))
+SQL["s10_stored_coverage"] = SQL["x11_streamed_coverage"] = SQL["q09_coverage_records"]
+_ANSWER = "SELECT count(*) AS total_files, count(DISTINCT minute) AS total_minutes, CAST(coalesce(sum(size), 0) AS BIGINT) AS total_size_bytes, count(DISTINCT (security_id, exchange_id)) AS pairs, CASE WHEN count(*) > 0 THEN CAST(%d AS BIGINT) END AS last_inventory_date, CASE WHEN count(*) = 0 THEN 'No coverage data available' END AS error FROM en" % AS_OF
+SQL["q10_summary_answer"] = cover(_ANSWER)
+SQL["q10_empty_summary"] = cover(_ANSWER + " WHERE false")
 SQL["q10_coverage_summary"] = cover(f"SELECT count(*) AS total_files, count(DISTINCT (security_id, exchange_id)) AS pairs, count(*) FILTER (schema = 'trades') AS trade_files, CAST({AS_OF} AS BIGINT) AS last_updated FROM en")
 SQL["q11_coverage_of_security"] = cover("SELECT 'SEC#1' AS pk, (SELECT count(DISTINCT exchange_id) FROM en WHERE security_id = 1) AS total_exchanges, CAST(date AS VARCHAR) AS date, count(DISTINCT minute) AS total_minutes, nullif(count(DISTINCT CASE WHEN schema = 'trades' THEN minute END), 0) AS trade_minutes FROM en WHERE security_id = 1 GROUP BY date")
 SQL["q12_coverage_of_pair"] = cover("SELECT 'SEC#1#EX#0' AS pk, (SELECT count(DISTINCT date) FROM en WHERE security_id = 1 AND exchange_id = 0) AS total_days, CAST(date AS VARCHAR) AS date, count(DISTINCT minute) AS total_minutes FROM en WHERE security_id = 1 AND exchange_id = 0 GROUP BY date")
 
 
-def bars(seconds: int, price: str = "price", where: str = "action = 'Trade'") -> str:
-    return f"""bars AS (SELECT security_id, exchange_id, CAST(ts_event_ns // {seconds * 10**9} AS BIGINT) * {seconds} AS bar_start,
+def bars(seconds: int, price: str = "price", where: str = "action = 'Trade'", source: str = "ticks", by: str = "") -> str:
+    return f"""bars AS (SELECT {by}security_id, exchange_id, CAST(ts_event_ns // {seconds * 10**9} AS BIGINT) * {seconds} AS bar_start,
       arg_min({price}, (ts_event_ns, pos)) AS open, max({price}) AS high, min({price}) AS low, arg_max({price}, (ts_event_ns, pos)) AS close, CAST(sum(size) AS BIGINT) AS volume, count(*) AS n_records
-    FROM ticks WHERE {where} AND {price} IS NOT NULL GROUP BY 1, 2, 3)"""
+    FROM {source} WHERE {where} AND {price} IS NOT NULL GROUP BY ALL)"""
 
 
 SQL["c01_mbp1"] = _with("SELECT listing_id, 'mbp-1' AS schema, minute, sequence, bid_px_0, ask_px_0 FROM ticks")
@@ -221,7 +229,18 @@ def ledger(body: str, *more: str) -> str:
 
 SQL["j06_convertible_targets"] = ledger("SELECT listing_id, minute, schema FROM jb")
 SQL["q02_created_jobs"] = ledger(f"SELECT job_id, minute, listing_id, schema, 'PENDING' AS status, CAST({AS_OF} AS BIGINT) AS created_at FROM jb WHERE schema NOT IN ('trades', 'bbo-1s')")
-SQL["q03_run_jobs"] = ledger("SELECT bars.* FROM bars", "kept AS (SELECT t.* FROM ticks t SEMI JOIN (SELECT listing_id AS l, minute // 3600 AS h FROM jb WHERE schema = 'ohlcv-1h' AND status = 'PENDING') j ON t.listing_id = j.l AND t.minute // 3600 = j.h)", bars(3600).replace("FROM ticks", "FROM kept"))
+def of_jobs(schema: str, bucket: str, which: str) -> str:
+    return f"kept AS (SELECT t.*, j.job_id, j.jm AS job_minute FROM ticks t JOIN (SELECT job_id, listing_id AS l, minute AS jm, {bucket} AS h FROM jb WHERE schema = '{schema}' AND {which}) j ON t.listing_id = j.l AND t.{bucket} = j.h)"
+
+
+HOURLY = of_jobs("ohlcv-1h", "minute // 3600", "status = 'PENDING'")
+SQL["q03_run_jobs"] = SQL["q03_run_jobs_in_parts"] = ledger("SELECT bars.* FROM bars", HOURLY, bars(3600, source="kept", by="job_id, job_minute, "))
+SQL["x05_converted_entries"] = ledger("SELECT bars.* FROM bars", of_jobs("ohlcv-1m", "minute // 60", "true"), bars(60, source="kept", by="job_id, job_minute, "))
+FAILED = "fl AS (SELECT job_id, job_minute, count(*) AS n, count(*) FILTER (pos % 997 = 0 OR action IS NULL OR (action = 'Trade' AND (price IS NULL OR size IS NULL))) AS bad, any_value(listing_id) AS listing FROM kept GROUP BY ALL)"
+SQL["q03_isolated_output"] = ledger("SELECT bars.* FROM bars", HOURLY, FAILED, "good AS (SELECT kept.* FROM kept SEMI JOIN (SELECT * FROM fl WHERE bad = 0 AND listing <> 1) f USING (job_id, job_minute))", bars(3600, source="good", by="job_id, job_minute, "))
+SQL["u04_failed_jobs"] = ledger("SELECT jb.job_id, jb.minute, CASE WHEN listing_id = 1 OR bad > 0 THEN 'FAILED' ELSE 'COMPLETE' END AS status, CASE WHEN listing_id = 1 THEN 'no such listing: 1' WHEN bad > 0 THEN CAST(bad AS VARCHAR) || ' of ' || CAST(n AS VARCHAR) || ' records can''t be read' END AS error_message FROM jb LEFT JOIN fl ON fl.job_id = jb.job_id AND fl.job_minute = jb.minute WHERE schema = 'ohlcv-1h' AND status = 'PENDING'", HOURLY, FAILED)
+SQL["l06_limited_run"] = ledger("SELECT job_id, minute, 'COMPLETE' AS status FROM jb WHERE schema = 'trades' AND status = 'PENDING' ORDER BY minute, job_id LIMIT 40")
+SQL["l05_next_page_of_jobs"] = ledger(f"SELECT job_id, minute, status FROM jb WHERE schema = 'trades' AND status = 'PENDING' AND (minute < {CENTER} OR (minute = {CENTER} AND job_id < '10-trades')) ORDER BY minute DESC, job_id DESC LIMIT 100")
 SQL["u04_closed_jobs"] = ledger(f"SELECT job_id, minute, 'COMPLETE' AS status, CAST({AS_OF} AS BIGINT) AS processed_at, CAST({AS_OF + 604800} AS BIGINT) AS expires_at FROM jb WHERE schema = 'trades' AND status = 'PENDING'")
 SQL["q21_list_jobs"] = ledger("SELECT job_id, minute, status FROM jb WHERE schema = 'trades' AND status = 'PENDING' ORDER BY minute DESC, job_id DESC LIMIT 100")
 SQL["q22_search_jobs"] = ledger(f"SELECT job_id, minute, status FROM jb WHERE listing_id = {LISTING} AND schema = 'ohlcv-1m' ORDER BY minute DESC, job_id DESC LIMIT 50")
@@ -261,3 +280,36 @@ SQL["j01_entries_with_listing"] = _with("SELECT DISTINCT listing_id, security_id
 SQL["x06_window_counts"] = _with("SELECT listing_id, CAST(ts_event_ns // 3600000000000 AS BIGINT) * 3600 AS start, count(*) AS n FROM ticks GROUP BY 1, 2")
 SQL["x07_running_statistics"] = _with(f"SELECT listing_id, CAST({day('minute')} AS VARCHAR) AS date, CAST(hour({at('minute')}) AS INTEGER) AS hour, count(*)::DOUBLE AS count, round(sum(price / 1e9), 8) AS sum, round(sum((price / 1e9) * (price / 1e9)), 8) AS sum_sq FROM ticks GROUP BY 1, 2, 3", cycle="minute")
 SQL["x08_gaps_on_arrival"] = _with("SELECT listing_id, previous, minute, missing FROM nb WHERE missing > 0", OBSERVED, LAST, near(2880), cycle="minute")
+
+ON_TIME = "ob AS (SELECT DISTINCT listing_id, minute FROM ticks WHERE minute <= (SELECT max(minute) FROM ticks) - 900)"
+SQL["x03_gaps_after_late_data"] = _with("SELECT listing_id, minute FROM gap_rows", ON_TIME, LAST, near(120), "rep AS (SELECT * FROM nb WHERE missing > 0)", GAP_ROWS, cycle="minute")
+SQL["x09_streamed_notifications"] = SQL["s08_notified_keys"]
+
+SQL["s11_stored_issues"] = _with("SELECT listing_id, issue_id, status, CASE WHEN status = 'REVIEWED' THEN 'seen' END AS note FROM iss", *REVIEWED)
+SQL["s12_stored_gaps"] = of_gaps("SELECT listing_id, minute, 'UNREVIEWED' AS status FROM gap_rows")
+SQL["s12_rejected_gaps"] = of_gaps(f"SELECT minute, 'listing_id and minute are required' AS error FROM gap_rows WHERE listing_id = {LISTING}")
+CROSSED = "cr AS (SELECT listing_id, minute, count(*) FILTER (ask_px_0 < bid_px_0) AS crossed FROM ticks GROUP BY ALL)"
+FLAG_TEXT = "printf('%d record(s) with maybeBadBook flag and %d record(s) with badTimestampRecv flag out of %d total', bad_book, bad_recv, total)"
+SQL["e01_own_rule"] = _with(
+    f"""SELECT listing_id, CAST(minute AS VARCHAR) || '#CROSSED_BOOK' AS issue_id, 'CROSSED_BOOK' AS rule_type, printf('%d of %d records are crossed', crossed, total) AS details, total AS record_count FROM m JOIN cr USING (listing_id, minute) WHERE crossed > 0
+    UNION ALL SELECT listing_id, CAST(minute AS VARCHAR) || '#BAD_DATA_FLAGS', 'BAD_DATA_FLAGS', {FLAG_TEXT}, total FROM m WHERE bad_book > 0 OR bad_recv > 0""",
+    LAGGED, measures(3600), CROSSED,
+)
+SQL["e02_own_metric"] = _with("SELECT listing_id, minute, 'tickCount' AS metric, count(*)::DOUBLE AS value FROM ticks GROUP BY ALL UNION ALL SELECT listing_id, minute, 'largestTrade', max(size)::DOUBLE FROM ticks WHERE action = 'Trade' AND size IS NOT NULL GROUP BY ALL")
+_ISO = "strftime(" + at("minute + {0}") + ", '%Y-%m-%dT%H:%M')"
+SQL["r09_issue_details"] = _with(
+    f"""SELECT listing_id, CAST(minute AS VARCHAR) || '#' || rule_type AS issue_id, CASE rule_type WHEN 'TIMESTAMP_ALIGNMENT' THEN printf('%d of %d records have timestamps outside the expected minute window [%s, %s)', misaligned, total, {_ISO.format(0)}, {_ISO.format(3600)})
+      WHEN 'SEQUENCE_MONOTONICITY' THEN printf('%d decrease(s) out of %d transitions in %d records', decreases, total - 1, total) ELSE {FLAG_TEXT} END AS details, CAST(NULL AS VARCHAR) AS note, CAST({AS_OF} AS BIGINT) AS created_at FROM hits""",
+    *static_issues(3600),
+)
+_SCHEMA = "['mbo', 'mbp-10', 'trades'][pos % 3 + 1]"
+SQL["p13_fields_of_schemas"] = _with(f"SELECT pos, {_SCHEMA} AS schema, CASE WHEN pos % 3 < 2 THEN price END AS price, CASE WHEN pos % 3 < 2 THEN action END AS action, CASE WHEN pos % 3 = 1 THEN bid_px_0 END AS bid, CASE WHEN pos % 3 < 2 THEN bad_ts_recv END AS bad, nullif(size, 7) AS size, round(price / 1e9, 6) AS units, size::DOUBLE AS lots FROM ticks")
+SQL["s01_captures_of_minute"] = _with(f"SELECT capture_id, pos, sequence FROM ticks WHERE security_id = 1 AND exchange_id = 0 AND minute = {CENTER}")
+SQL["s13_listing_by_id"] = _with(f"SELECT pos, security_id, exchange_id, '{SOURCE}' AS source_schema FROM ticks WHERE exchange_id = 0", cycle="minute")
+SQL["l01_sorted_entries"] = _with("SELECT listing_id, minute, count(*) AS n_records FROM ticks GROUP BY ALL ORDER BY minute, listing_id", cycle="minute")
+SQL["l05_next_page_of_issues"] = _with(f"SELECT issue_id, minute, rule_type FROM iss WHERE listing_id = {LISTING} AND (minute < {CENTER} OR (minute = {CENTER} AND issue_id < '{CENTER}#BAD_DATA_FLAGS')) ORDER BY minute DESC, issue_id DESC LIMIT 100", *REVIEWED)
+SQL["c06_bbo_1s"] = SQL["c06_bbo_1m"].replace("60000000000 AS BIGINT) * 60", "1000000000 AS BIGINT)")
+SQL["c10_bars_of_mbp1"] = SQL["c03_ohlcv_1m"]
+SQL["r08_statistics_mode"] = SQL["a08_minute_metrics"]
+SQL["r08_issues_mode"] = _with("SELECT * FROM all_issues", *V, baselines(TUNED, True), scores(TUNED), *static_issues(3600), ALL_ISSUES)
+SQL["q06_backfill_of_a_day"] = _with(f"SELECT issue_id, rule_type, minute, record_count FROM all_issues WHERE listing_id = {LISTING} AND {day('minute')} = DATE '{DAY}'", *CHECK)

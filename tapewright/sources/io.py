@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import keys
+from ..operators import tables
+from .work import exists, stored
 
 
 def read_ticks(spark: SparkSession, path: str, raw: bool = False) -> DataFrame:
@@ -39,6 +41,20 @@ def with_listing(entries: DataFrame, listings: DataFrame, missing: str = "skip")
     return joined.withColumn("listing_id", found.cast("int")).drop("_listing")
 
 
+def with_pair(entries: DataFrame, listings: DataFrame, missing: str = "skip") -> DataFrame:
+    """Rows that name a listing with its security, exchange and source schema; unknown listings as in `with_listing`."""
+    known = listings.select("listing_id", "security_id", "exchange_id", "source_schema", F.lit(True).alias("_known"))
+    joined = entries.join(known, "listing_id", "inner" if missing == "skip" else "left")
+    if missing != "skip":
+        joined = joined.withColumn("security_id", F.when(F.col("_known").isNull(), F.raise_error(F.lit("unknown listing"))).otherwise(F.col("security_id")))
+    return joined.drop("_known")
+
+
+def sorted_entries(entries: DataFrame, *tie: str) -> DataFrame:
+    """Entries by minute, then by further columns: ranges are dealt to tasks and sorted there."""
+    return entries.orderBy("minute", *tie)
+
+
 def inventory_lines(lines: DataFrame) -> DataFrame:
     """(key, size) of inventory lines (column `value`): lines of under five fields are left out; the sixth is the size, else 0."""
     field = lambda i: F.regexp_replace(F.get(F.col("_f"), F.lit(i)), '^"|"$', "")
@@ -85,6 +101,22 @@ def snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def upsert(new: DataFrame, path: str, *key: str, by: tuple[str, ...] = ("date",), keep_reviewed: bool = False) -> DataFrame:
+    """Put rows by key into a table partitioned by ``by``, of which only partitions that the rows touch are read and written.
+
+    With ``keep_reviewed`` reviewed rows stay as they are. Rows that lack a part of the key are not put but returned with an
+    `error`; the others are not held up by them. There is one writer for a table; putting again changes nothing.
+    """
+    spark = new.sparkSession
+    good = tables.valid_updates(new, key).dropDuplicates(list(key))
+    if exists(spark, path):
+        old = spark.read.parquet(path).join(good.select(*by).distinct(), list(by), "left_semi")
+        good = (tables.put_unreviewed if keep_reviewed else tables.put)(old.select(*good.columns), good, *key)
+    # written elsewhere first, as the table is read until then
+    overwrite_partitions(stored(good, "put"), path, *by)
+    return tables.invalid_updates(new, key)
+
+
 def statistics_range(stats: DataFrame, listing_id: int, start: Column, end: Column, hour: int | None = None) -> DataFrame:
     """Statistics of a listing in a date range, both ends included."""
     found = stats.where((F.col("listing_id") == listing_id) & F.col("date").between(start, end))

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import merge, metrics
+from ..config import GAP_SEARCH_MINUTES, METRICS
+from ..operators import gaps, merge, tables
 from ..sources import io
-from ..sources.work import work_dir
+from ..sources.work import exists, work_dir
 
 #: How long late captures are waited for before gaps are looked for.
 LATENESS = "15 minutes"
@@ -39,11 +40,12 @@ def file_stream(spark: SparkSession, path: str, schema: Any, fmt: str = "parquet
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files).load(path)
 
 
-def versions_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Each batch replaces its own partition, so that a repeated batch leaves one copy; the batch is the version."""
+def versions_sink(path: str, *by: str) -> Callable[[DataFrame, int], None]:
+    """Each batch replaces its own partition, so that a repeated batch leaves one copy; the batch is the version. ``by``
+    parts it further."""
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("version", F.lit(number)).write.partitionBy("version").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        batch.withColumn("version", F.lit(number)).write.partitionBy("version", *by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
     return write
 
@@ -53,9 +55,12 @@ def window_counts(ticks: DataFrame, event_time: str, length: str, lateness: str
     return ticks.withWatermark(event_time, lateness).groupBy(*keys, F.window(event_time, length).alias("window")).agg(F.count("*").alias("n"))
 
 
-def running_hourly(values: DataFrame) -> DataFrame:
-    """Sufficient statistics of metric values as streaming state, by listing, date, hour and metric."""
-    return metrics.hourly_stats(values)
+def running_hourly(values: DataFrame, lateness: str = "2 days") -> DataFrame:
+    """Sufficient statistics of metric values as streaming state, by listing, date, hour and metric, as in `metrics.hourly_stats`.
+    State of hours that lie further back than the lateness is dropped, so it does not grow for ever."""
+    hour = F.window("minute", "1 hour").alias("_hour")
+    sums = values.withWatermark("minute", lateness).groupBy("listing_id", hour, "metric").agg(F.count("*").cast("double").alias("count"), F.sum("value").alias("sum"), F.sum(F.col("value") * F.col("value")).alias("sum_sq"))
+    return sums.select("listing_id", F.to_date("_hour.start").alias("date"), F.hour("_hour.start").alias("hour"), "metric", "count", "sum", "sum_sq")
 
 
 def distinct_notifications(messages: DataFrame, received: str, lateness: str = LATENESS) -> DataFrame:
@@ -91,29 +96,32 @@ def gaps_on_arrival(minutes: DataFrame, search_minutes: int = 2880) -> DataFrame
 def merge_sink(raw_path: str, merged_path: str, strategy: str = "most_records") -> Callable[[DataFrame, int], None]:
     """Batches of notified raw entries: their minutes are merged again from all captures in the raw table and replaced.
 
-    Tables are partitioned by date and exchange; partitions that hold an affected minute are written as a whole.
+    The raw table is partitioned by date and exchange, the merged one by hour too; hours that hold an affected minute are
+    merged and written as a whole, others are not read further than their partition.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        minutes = merge.affected_minutes(batch).withColumn("date", F.to_date("minute"))
-        parts = minutes.select("date", "exchange_id").distinct()
-        raw = spark.read.parquet(raw_path).join(F.broadcast(parts), ["date", "exchange_id"], "left_semi")
-        io.overwrite_partitions(merge.merge(raw, strategy), merged_path, "date", "exchange_id")
+        hours = merge.affected_minutes(batch).select(F.to_date("minute").alias("date"), "exchange_id", F.hour("minute").alias("hour")).distinct()
+        raw = spark.read.parquet(raw_path).withColumn("hour", F.hour("minute")).join(hours, ["date", "exchange_id", "hour"], "left_semi")
+        io.overwrite_partitions(merge.merge(raw, strategy), merged_path, "date", "exchange_id", "hour")
 
     return write
 
 
-def score_sink(values_path: str, issues_path: str, score: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """Batches of metric values: appended as versions, then scored against the table as of each minute.
+def score_sink(values_path: str, issues_path: str, score: Callable[[DataFrame], DataFrame], lookback_days: int = max(p.lookback for p in METRICS)) -> Callable[[DataFrame, int], None]:
+    """Batches of metric values: appended as versions, then scored against the table as of each minute. Of the table only
+    listings of the batch and dates that a baseline of it can reach are read.
 
     A repeated batch replaces its own versions, and only the issues of its own minutes are given, so results equal those of a batch run.
     """
-    store, issues = versions_sink(values_path), versions_sink(issues_path)
+    store, issues = versions_sink(values_path, "date"), versions_sink(issues_path)
 
     def write(batch: DataFrame, number: int) -> None:
-        store(batch, number)
-        table = batch.sparkSession.read.parquet(values_path)
+        store(batch.withColumn("date", F.to_date("minute")), number)
+        first = batch.agg(F.to_date(F.min("minute"))).first()[0]
+        table = batch.sparkSession.read.parquet(values_path).where(F.col("date") >= F.date_sub(F.lit(first), lookback_days)).drop("date")
+        table = table.join(batch.select("listing_id").distinct(), "listing_id", "left_semi")
         newest = Window.partitionBy("listing_id", "minute", "metric").orderBy(F.col("version").desc())
         values = table.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", "version")
         fresh = batch.select("listing_id", "minute").distinct()
@@ -136,8 +144,49 @@ def fan_out(*sinks: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, in
     return write
 
 
-def delayed(stream: DataFrame, event_time: str, lateness: str = LATENESS) -> DataFrame:
-    return stream.withWatermark(event_time, lateness)
+def gap_sink(observed_path: str, gaps_path: str, tolerances: DataFrame | None = None, delay_minutes: int = 15, search_minutes: int = GAP_SEARCH_MINUTES) -> Callable[[DataFrame, int], None]:
+    """Batches of observed minutes (listing_id, minute): each minute is checked once the stream is ``delay_minutes`` past it, so
+    that late captures come first; gaps that a still later minute fills are taken back.
+
+    Both tables are versions by batch, and a repeated batch replaces its own. A batch looks again at its listings from the
+    earliest minute that is new or due, and reads the search span before that. `current_gaps` reads the result, which equals
+    that of `gaps.reported` over all minutes that are due.
+    """
+    keep, give = versions_sink(observed_path), versions_sink(gaps_path)
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        keep(batch.select("listing_id", "minute").distinct(), number)
+        seen = spark.read.parquet(observed_path).where(F.col("version") <= number)
+        clock = lambda rows: rows.agg(F.unix_timestamp(F.max("minute"))).first()[0]
+        until = lambda at: F.timestamp_seconds(F.lit(at - delay_minutes * 60))
+        last, before = clock(seen), clock(seen.where(F.col("version") < number))
+        if last is None:
+            return
+        search = F.expr(f"interval {search_minutes} minutes")
+        due = seen.where(F.col("minute") <= until(last))
+        fresh = due if before is None else due.where((F.col("version") == number) | (F.col("minute") > until(before)))
+        since = fresh.groupBy("listing_id").agg(F.min("minute").alias("since"))
+        own = due.join(since, "listing_id").where(F.col("minute") >= F.col("since") - search).select("listing_id", "minute", "since").distinct()
+        prior = own.where("minute < since").groupBy("listing_id").agg(F.max("minute").alias("prior"))
+        found = gaps.reported(own.select("listing_id", "minute"), tolerances, search_minutes).join(since, "listing_id").where("minute >= since")
+        step = F.expr("interval 1 minute")
+        rows = found.select("listing_id", F.explode(F.sequence(F.col("previous") + step, F.col("minute") - step, step)).alias("minute"), F.lit(True).alias("present"))
+        old = tables.latest(_gap_versions(spark, gaps_path).where(F.col("version") < number), "listing_id", "minute").where("present")
+        old = old.join(since, "listing_id").join(prior, "listing_id", "left").where(F.col("minute") > F.coalesce("prior", "since"))
+        give(rows.union(old.select("listing_id", "minute", F.lit(False)).join(rows, ["listing_id", "minute"], "left_anti")), number)
+
+    return write
+
+
+def _gap_versions(spark: SparkSession, gaps_path: str) -> DataFrame:
+    schema = "listing_id int, minute timestamp, present boolean, version int"
+    return spark.read.schema(schema).parquet(gaps_path) if exists(spark, gaps_path) else spark.createDataFrame([], schema)
+
+
+def current_gaps(spark: SparkSession, gaps_path: str) -> DataFrame:
+    """Minutes that are missing by the latest version: listing_id, minute."""
+    return tables.latest(_gap_versions(spark, gaps_path), "listing_id", "minute").where("present").select("listing_id", "minute")
 
 
 def inventory_snapshots(spark: SparkSession, path: str) -> DataFrame:

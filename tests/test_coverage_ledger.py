@@ -102,3 +102,29 @@ def test_keyed_tables(spark, at):
 def test_modes_and_backfill(spark, at):
     with pytest.raises(ValueError):
         jobs.quality_check(spark.range(1), at, mode="other")
+
+
+def test_one_failing_job_does_not_end_the_others(spark, at):
+    base = 1_705_312_800
+    due = spark.createDataFrame([(f"{n}-trades", base, n, "trades", "PENDING") for n in (7, 8, 9, 10)], "job_id string, s long, listing_id int, schema string, status string")
+    due = due.select("job_id", F.timestamp_seconds("s").alias("minute"), "listing_id", "schema", "status", at.alias("created_at"), F.lit(None).cast("timestamp").alias("processed_at"), F.lit(None).cast("string").alias("error_message"), F.lit(None).cast("bigint").alias("expires_at"))
+    rows = [(7, base * 10**9, "Trade", 5, 1), (8, None, "Trade", 5, 1), (8, base * 10**9, "Add", None, None), (9, base * 10**9, "Trade", 5, 1)]
+    ticks = spark.createDataFrame(rows, "listing_id int, ts_event_ns long, action string, price long, size long").withColumns({"minute": F.timestamp_seconds(F.lit(base)), "security_id": F.lit(1), "exchange_id": F.lit(1), "pos": F.lit(0)})
+    listings = spark.createDataFrame([(7, 1, 1, "mbp-10"), (8, 1, 1, "mbp-10"), (10, 1, 1, "mbp-10")], LISTINGS)
+    out, closed = jobs.run_jobs(due, ticks, "trades", at, listings=listings)
+    assert [r.job_id for r in out.collect()] == ["7-trades"]
+    assert {r.job_id: (r.status, r.error_message) for r in closed.collect()} == {"7-trades": ("COMPLETE", None), "8-trades": ("FAILED", "1 of 2 records can't be read"), "9-trades": ("FAILED", "no such listing: 9"), "10-trades": ("COMPLETE", None)}
+
+
+def test_tables_are_put_by_key_and_partition(spark, tmp_path):
+    path = str(tmp_path / "gaps")
+    rows = lambda *r: spark.createDataFrame(r, "listing_id int, at string, status string, note string").withColumn("minute", F.to_timestamp("at")).drop("at")
+    assert jobs.store_gaps(rows((1, "2024-01-01 10:00:00", "UNREVIEWED", "a"), (1, "2024-01-02 10:00:00", "REVIEWED", "b")), path).collect() == []
+    bad = jobs.store_gaps(rows((1, "2024-01-01 10:00:00", "UNREVIEWED", "c"), (1, "2024-01-02 10:00:00", "UNREVIEWED", "c"), (None, "2024-01-03 10:00:00", "UNREVIEWED", "c")), path)
+    assert [r.error for r in bad.collect()] == ["listing_id and minute are required"]
+    assert sorted((str(r.date), r.status, r.note) for r in spark.read.parquet(path).collect()) == [("2024-01-01", "UNREVIEWED", "c"), ("2024-01-02", "REVIEWED", "b")]
+
+
+def test_an_empty_coverage_table_says_so(spark, at):
+    row = coverage.summary_answer(jobs.coverage_tables(entries(spark).limit(0), at)).first()
+    assert (row.total_files, row.total_minutes, row.pairs, row.last_inventory_date, row.error) == (0, 0, 0, None, coverage.NO_COVERAGE)

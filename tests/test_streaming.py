@@ -64,3 +64,22 @@ def test_inventory_stream(spark, tmp_path):
     out = str(tmp_path / "out")
     streams.run_available(streams.inventory_snapshots(spark, str(tmp_path / "in")), streams.versions_sink(out))
     assert [(r.key, r["size"]) for r in spark.read.parquet(out).collect()] == [("k", 7)]
+
+
+def test_gaps_wait_and_are_taken_back(spark, tmp_path):
+    """Batches with late minutes against the definition over all minutes that are due; a repeated batch changes nothing."""
+    base = 1_705_314_600
+    seen, found = str(tmp_path / "seen"), str(tmp_path / "found")
+    sink = streams.gap_sink(seen, found, delay_minutes=5, search_minutes=100)
+    batches = [[0, 1, 4], [12, 8], [2, 30], [31, 20, 5], [25, 500], [501, 520]]
+    so_far = set()
+    for number, minutes in enumerate(batches):
+        batch = spark.createDataFrame([(7, base + 60 * m) for m in minutes], "listing_id int, s long").select("listing_id", F.timestamp_seconds("s").alias("minute"))
+        sink(batch, number)
+        if number == 3:
+            sink(batch, number)
+        so_far |= set(minutes)
+        due = sorted(m for m in so_far if m <= max(so_far) - 5)
+        want = {g for a, b in zip(due, due[1:]) if b - a <= 100 for g in range(a + 1, b)}
+        got = [(r.minute.timestamp() - base) // 60 for r in streams.current_gaps(spark, found).select(F.col("minute").cast("timestamp")).collect()]
+        assert sorted(got) == sorted(want), number
