@@ -43,8 +43,8 @@ WORD, CHAR, STATE = 8, 8, 16
 #: Windows that are read side by side, windows of a training step, and least number of steps.
 LANES, BATCH, STEPS = 4096, 256, 240
 HELD_OUT = 5
-#: Share of clean training windows whose words are replaced by a few of them, repeated.
-ECHOES = 0.25
+#: Documents of the training sample that a word must be in to have a vector; n-grams need twice as many.
+LEAST = 3
 
 #: Documents whose n-grams are counted at a time.
 RUN = 100
@@ -258,13 +258,12 @@ def _telling(bad: np.ndarray, all_: np.ndarray, toxic: int, clean: int, least: i
     return found, np.clip(odds[found], -3, 8)
 
 
-def train(texts: pa.Array, toxic: np.ndarray) -> Model:
-    """Fit a model to labelled texts; see the module's text."""
+def train(texts: pa.Array, toxic: np.ndarray, odds: bool = True) -> Model:
+    """Fit a model to labelled texts; see the module's text. Without ``odds`` vectors and first windows start by chance."""
     inputs = Inputs(*joined(texts))
     begin, size, doc = inputs.windows()
     docs = len(toxic)
     seen = np.arange(docs) % 5 != 4  # the others only serve the last fit
-    least = 3 if docs >= 1000 else 2
     word_doc = inputs.words.doc
     fit_words = seen[word_doc]
     model = Model()
@@ -272,7 +271,7 @@ def train(texts: pa.Array, toxic: np.ndarray) -> Model:
     pairs = np.unique(word_doc[fit_words] * len(inputs.keys) + inputs.index[fit_words])
     word, its = pairs % len(inputs.keys), pairs // len(inputs.keys)
     totals = int((toxic & seen).sum()), int((~toxic & seen).sum())
-    place, word_odds = _telling(np.bincount(word, toxic[its], minlength=len(inputs.keys)), np.bincount(word, minlength=len(inputs.keys)), *totals, least)
+    place, word_odds = _telling(np.bincount(word, toxic[its], minlength=len(inputs.keys)), np.bincount(word, minlength=len(inputs.keys)), *totals, LEAST)
     model_keys = inputs.keys[place]
     model.words = Vocabulary(model_keys)
     grams, number = np.unique(inputs.gram_keys, return_inverse=True)
@@ -283,11 +282,12 @@ def train(texts: pa.Array, toxic: np.ndarray) -> Model:
         both = np.unique(np.repeat(its[a:b], count) * len(grams) + number[ragged(gram_first[word[a:b]], count)])
         all_ += np.bincount(both % len(grams), minlength=len(grams))
         bad += np.bincount(both % len(grams), toxic[both // len(grams)], minlength=len(grams))
-    place, gram_odds = _telling(bad, all_, *totals, 2 * least)
+    place, gram_odds = _telling(bad, all_, *totals, 2 * LEAST)
     grams = grams[place]
     model.grams = Vocabulary(grams)
     net = model.network = Network(len(model_keys) + 1, len(grams) + 1)
-    net.p["word"][1:, 0], net.p["gram"][1:, 0] = word_odds / 3, gram_odds / 3
+    if odds:
+        net.p["word"][1:, 0], net.p["gram"][1:, 0] = word_odds / 3, gram_odds / 3
 
     word_ids, gram_ids = model.words(inputs.keys), model.grams(inputs.gram_keys)
     start = net.vectors(word_ids, gram_ids, inputs.gram_owner, inputs.gram_count)
@@ -295,6 +295,8 @@ def train(texts: pa.Array, toxic: np.ndarray) -> Model:
     sums = np.concatenate(([0], np.cumsum(telling)))
     value = sums[begin + size] - sums[begin]
     rng = np.random.Generator(np.random.PCG64(11))
+    if not odds:
+        value = rng.random(len(begin))
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for turn in range(3):
@@ -314,12 +316,6 @@ def train(texts: pa.Array, toxic: np.ndarray) -> Model:
                 place = np.arange(WINDOW)
                 at = np.minimum(begin[some, None] + place, len(inputs.index) - 1)
                 index = np.where(place < size[some, None], inputs.index[at], -1)
-                # clean windows of one to four words, in turn or in runs, again and again, as junk has them
-                echo = (label[shuffled[k : k + BATCH]] == 0) & (rng.random(len(some)) < ECHOES)
-                shift, period = rng.integers(0, WINDOW - 8, len(some)), rng.integers(1, 5, len(some))
-                run = rng.integers(4, WINDOW, len(some))
-                again = np.where((run % 2 == 0)[:, None], place % period[:, None], place // run[:, None])
-                index[echo] = np.take_along_axis(index, np.minimum(shift[:, None] + again, np.maximum(0, size[some] - 1)[:, None]), axis=1)[echo]
                 used, back = np.unique(index[index >= 0], return_inverse=True)
                 local = np.full(index.shape, -1)
                 local[index >= 0] = back

@@ -90,3 +90,12 @@ def test_edge_cases(spark):
     assert out.columns == ["doc_id", "text", "score", "held_out", "_score", "predicted"]
     assert [r["_score"] for r in out.collect()] == [0.0] * 3
     assert toxicity.score(docs.limit(0), labels.limit(0)).collect() == []
+
+
+def test_held_out_recall_and_precision(spark):
+    """On labelled rows that training has not seen; never calling a text toxic would have recall 0."""
+    sf = "/root/testdata/sf0.1"
+    label = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in queries.op3_toxicity(spark, sf).collect() if r.held_out and label.get(r.doc_id) in (0, 1)]
+    found = sum(r.predicted and label[r.doc_id] for r in rows)
+    assert found >= 0.75 * sum(label[r.doc_id] for r in rows) and found >= 0.75 * sum(r.predicted for r in rows)
