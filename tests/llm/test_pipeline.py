@@ -74,3 +74,36 @@ def test_stages_against_brute_force(spark):
 
 def test_registered(spark):
     assert {"pipeline", *(f"op{n}_" for n in range(1, 11))} <= {q if q == "pipeline" else q.split("_")[0] + "_" for q in __spark_entry__.queries()}
+
+
+def test_stages_on_nulls_repeats_clashing_columns_and_empty_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    long = " ".join(f"w{i % 7919}" for i in range(60_000))
+    rows = [(1, "same text here", "en", "a"), (2, "SAME text here", "en", None), (2, "SAME text here", "en", None), (None, None, None, None), (None, "", None, "a"), (5, long, "en", "a"), (6, long + " tail", "de", "b"), (7, "one two three four five six seven", "en", "b")]
+    extra = "row long, key string, predicted int, bin long, same string, _id int"
+    docs = spark.createDataFrame([(*r, 1, "k", 0, 3, "s", 9) for r in rows], f"doc_id long, text string, lang string, source string, {extra}").repartition(3)
+    want = {"toxicity": 8, "exact_dedup": 5, "near_dedup": 4}  # nulls and empty texts are one, so are the copies; the long ones are near copies
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        none = stage(spark, docs.limit(0), sf)
+        assert none.columns == docs.columns and none.collect() == []
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        kept = out.collect()
+        if name in want:
+            assert len(kept) == want[name], name
+        assert {tuple(r) for r in kept} <= {(*r, 1, "k", 0, 3, "s", 9) for r in rows}
+    name, stage = corpus_pipeline.STAGES[-1]
+    assert stage(spark, docs.limit(0), sf).collect() == []
+    pieces = stage(spark, docs, sf).collect()
+    assert sum(p["piece"] == 0 for p in pieces) == len(rows) and max(p["piece"] for p in pieces) > 10
+
+
+def test_a_run_leaves_only_its_result(spark, tmp_path):
+    from tapewright.llm import shared
+
+    with shared.collecting() as made:
+        out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert out.count() > 0
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    there = [f for f in made if path(f).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(f))]
+    assert len(there) == 1
