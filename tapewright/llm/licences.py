@@ -254,8 +254,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     known licence), licences (of those lines, in the order of the lines, comma-joined; empty: none) and inside (licences of
     known texts anywhere in the text, each once, by first place).
 
-    Each text is read once; what may be a known text, few and short rows, is stored and meets the broadcast table of known
-    digests. What is found goes back to the rows by the digest of the raw text, in a join that moves no text.
+    Each text is read once; what may be a known text, few and short rows, is stored under a number of its row and meets
+    the broadcast table of known digests. What is found goes back to the rows by that number, so copies of one text do
+    not meet in one task, and no text is moved.
     """
     spark = docs.sparkSession
     table = [(r["form"], r["inner"]) for r in _forms(spark, texts, rights).collect()]
@@ -263,7 +264,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     lookup = F.broadcast(known(spark, texts, rights))
     lengths = F.array(*map(F.lit, sorted({len(f) for f in forms}))) if forms else F.array().cast("array<int>")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("_id"), F.md5(text).alias("_key"), _lower(text).alias("_lower"))
+    rows = docs.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_key"), _lower(text).alias("_lower"))
     rows = rows.withColumn("_stated", F.col("_lower").rlike(COPYRIGHT_LINE))
     rows = rows.withColumn("_lines", _in_lines(F.when(F.col("_stated"), F.regexp_replace("_lower", COPYRIGHT_LINE, "$1")).otherwise(F.col("_lower"))))
     rows = rows.withColumn("_whole", _in_one_line(F.col("_lines")))
@@ -282,7 +283,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     work = Work(spark)
     made = work.stored(made, "places")
     found = made.where(F.size("_places") > 0).select("_key", F.explode("_places").alias("_p")).select("_key", F.col("_p.kind").alias("_kind"), F.col("_p.at").alias("_at"), F.col("_p.digest").alias("_digest"))
-    found = found.join(lookup, "_digest").select("_key", "_kind", "_at", "_licence").distinct()
+    found = found.join(lookup, "_digest").select("_key", "_kind", "_at", "_licence")
     of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("_kind") == kind, F.struct("_at", "_licence"))))["_licence"]
     found = found.groupBy("_key").agg(of(0).alias("_found"), F.array_distinct(of(1)).alias("_inside"))
     out = made.drop("_places").join(lookup, "_digest", "left").join(found, "_key", "left")
