@@ -19,8 +19,8 @@ How it runs:
 2. A task for each segment adds up the counts of all blocks. For words it answers every block with the exact
    counts of the words that the block asked for; nothing but these answers goes back. For bigrams it makes its
    part of the filter.
-3. The filter is broadcast if its size, which is known by then, is within `MOST_FILTER`. Beyond that the
-   segments answer the blocks from their own part of the filter, which is built once; results are the same.
+3. The filter is broadcast if its size is within `MOST_FILTER`. Beyond that, and from `TEXT_PER_FILTER` times as much text on
+   without asking, the segments answer the blocks from their own part of the filter; results are the same.
 4. Each block meets its answers and scores its texts.
 Word counts are exact but for collisions of 64-bit hashes; a frequent word is one entry a block, never rows.
 
@@ -50,8 +50,9 @@ BLOCK = 8_000_000
 PER_SEGMENT, LEAST_SEGMENTS = 16_000_000, 64
 #: Counts from which bigrams are held, the base of the levels, bits for each entry and probes.
 LEAST, BASE, BITS, PROBES = 1, 1.5, 12, 6
-#: Bytes of filter that are broadcast at most, and bytes of text for each of them from which it is plain that a filter is larger.
-MOST_FILTER, TEXT_PER_FILTER = 64_000_000, 48
+#: Bytes of filter that are broadcast at most, and bytes of text for each of them beyond which the filter is taken to be larger
+#: without being built for that.
+MOST_FILTER, TEXT_PER_FILTER = 64_000_000, 8
 #: Keys that are probed at once.
 RUN = 1 << 16
 FINGERPRINT = 40
