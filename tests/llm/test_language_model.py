@@ -107,7 +107,7 @@ def test_a_bigram_seen_once_in_training_counts_in_held_out_texts(spark):
     held = lm.Filter([by_segment.get(s, b"") for s in range(64)], 64)
     data = np.frombuffer(b"rare pair", np.uint8)
     assert (held.levels(lm.Tokens(data, np.array([0, len(data)])).pair) == 1).all()
-    for most in (lm.MOST_FILTER, 0):
+    for most in (lm.MOST_FILTER, 70_000, 0):
         assert {r.doc_id: r.score > r.base_score for r in lm.score(docs, most_filter=most).collect()}[unseen]
 
 
@@ -167,7 +167,7 @@ def test_scores_against_exact_bigrams(spark, monkeypatch):
     rows += [(90000 + k, rows[0][1]) for k in range(3)] + [(90010, None)]
     want = exact_scores(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    for most in (lm.MOST_FILTER, 0):
+    for most in (lm.MOST_FILTER, 70_000, 0):
         found = lm.score(docs, most_filter=most).collect()
         assert len(found) == len(rows)
         # the filter answers yes to few keys that it does not hold
