@@ -58,6 +58,35 @@ def test_hot_source_nulls_ties_and_rows(spark):
     assert out.count() == sum(r["copies"] for r in mixed)
 
 
+def test_target_falls_among_many_rows_without_an_id(spark):
+    rows = [(None, "w " * 3 + f"t{i % 50}", "a", i) for i in range(900)] + [(i, "w " * 5, "a", i) for i in range(100)] + [(i, "w " * 9, "b", i) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, nr int").repartition(5, "nr")
+    for seed in "ab":
+        mixed = mixing.mix(docs, seed=seed).collect()
+        per, target = defaultdict(int), {r.source: r.target for r in mixed}
+        for r in mixed:
+            per[r.source] += r.taken
+        assert len(mixed) == len(rows) and all(abs(per[s] - target[s]) <= 5 for s in target)
+        out = mixing.mixed_rows(docs, seed=seed).collect()
+        words = defaultdict(int)
+        for r in out:
+            words[r.source] += len(r.text.split())
+        assert words == {s: n for s, n in per.items() if n}
+        assert sorted(map(str, out)) == sorted(map(str, mixing.mixed_rows(docs, seed=seed).collect()))
+        times = defaultdict(int)
+        for r in out:
+            times[r.source, r.doc_id, r.nr] += 1
+        assert all(abs(n - target[s] / sum(len(t.split()) for _, t, x, _ in rows if x == s)) < 1 for (s, *_), n in times.items())
+
+
+def test_cut_is_the_one_of_a_whole_sort(spark, sf, monkeypatch):
+    """Few and wide buckets give what many give."""
+    want = {tuple(r) for r in queries.op5_source_mixing(spark, sf).collect()}
+    monkeypatch.setattr(mixing, "BUCKETS", 8)
+    monkeypatch.setattr(mixing, "SPAN", 2)
+    assert {tuple(r) for r in queries.op5_source_mixing(spark, sf).collect()} == want
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(docs).collect() == [] and mixing.mixed_rows(docs).collect() == []
