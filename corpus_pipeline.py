@@ -6,8 +6,8 @@ that its predecessor kept. Tables that a stage made for itself are removed when
 folder, as its result is written by then.
 
 Defined cases, for all stages: an empty table gives an empty one, with the same columns before packing. Null texts are
-empty: they are never toxic, are copies of each other and of empty texts, have size 0 in the mix (which takes those of
-whole copies only) and are one piece with the end id. Null ids are less than any other where the largest stays, and more
+empty: they are never toxic, are copies of each other and of empty texts, have size 0 in the mix (where they rank
+as any other) and are one piece with the end id. Null ids are less than any other where the largest stays, and more
 than any other where the smallest stays; exactly one row of a class stays even if ids repeat. Repeated rows are exact
 copies. A null source is a source of its own. Very long texts are read whole and packed in pieces. Further columns are
 carried up to packing, whatever their names.
