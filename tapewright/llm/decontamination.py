@@ -269,16 +269,18 @@ def _joined(docs: DataFrame, text_col: str, grams: DataFrame, names: tuple[str,
                 number += block.num_rows
 
     rows = work.stored(docs.mapInArrow(run, schema), "rows")
-    asked = rows.select(F.col(row).alias("_row"), F.explode(maybe).alias("_m")).select("_row", "_m.*")
+    asked = rows.select(row, F.explode(maybe).alias("_m")).select(F.col(row).alias("row"), "_m.*")
     hits = work.stored(asked.join(grams.select("gram").distinct(), "gram", "left_semi"), "hits")
-    by_row = hits.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("first", "words", "start", "end"))).alias("_hits"))
-    listed = hits.select("_row", "gram").distinct().join(grams.where("item is not null"), "gram").groupBy("_row").agg(F.array_sort(F.collect_set("item")).alias("_items"))
-    # hits in order of their first word: one that begins at or before the end of the run so far makes it longer
-    step = lambda runs, x: F.when((F.size(runs) > 0) & (F.element_at(runs, -1)["first"] + F.element_at(runs, -1)["words"] >= x["first"]), F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(_longer(F.element_at(runs, -1), x)))).otherwise(F.concat(runs, F.array(x)))
-    spans = F.aggregate("_hits", F.array().cast(_SPAN), step)
-    met = rows.drop(maybe).join(by_row.select("_row", spans.alias(names[1])), F.col(row) == F.col("_row"), "left").drop("_row").join(listed, F.col(row) == F.col("_row"), "left").drop("_row")
-    empty = F.array().cast(_SPAN)
-    return met.select(*(F.col(f"`{c}`") for c in docs.columns), F.col(names[0]), F.coalesce(names[1], empty).alias(names[1]), F.coalesce("_items", F.array().cast("array<string>")).alias(names[2]))
+    by_row = hits.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("first", "words", "start", "end"))).alias("hits"))
+    # hits in order of their first word: one that begins in the run so far, or at its end, makes it longer
+    last = lambda runs: F.element_at(runs, -1)
+    goes_on = lambda runs, x: (F.size(runs) > 0) & (last(runs)["first"] + last(runs)["words"] >= x["first"])
+    step = lambda runs, x: F.when(goes_on(runs, x), F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(_longer(last(runs), x)))).otherwise(F.concat(runs, F.array(x)))
+    by_row = by_row.select(F.col("row").alias(row), F.aggregate("hits", F.array().cast(_SPAN), step).alias(names[1]))
+    listed = hits.select("row", "gram").distinct().join(grams.where("item is not null"), "gram").groupBy(F.col("row").alias(row)).agg(F.array_sort(F.collect_set("item")).alias(names[2]))
+    met = rows.drop(maybe).join(by_row, row, "left").join(listed, row, "left")
+    empty = lambda name, kind: F.coalesce(F.col(name), F.array().cast(kind)).alias(name)
+    return met.select(*(F.col(f"`{c}`") for c in docs.columns), names[0], empty(names[1], _SPAN), empty(names[2], "array<string>"))
 
 
 def _longer(run, x):
