@@ -13,11 +13,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_collected: list[str] | None = None
+#: Where the folders of stored tables are noted, in each thread.
+_collected: ContextVar[list[str] | None] = ContextVar("collected", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,8 +44,8 @@ def stored(df: DataFrame, name: str, folder: str | None = None, **options: str)
 
 def new_folder(spark: SparkSession) -> str:
     folder = f"{shared_dir(spark).rstrip('/')}/tapewright/{uuid.uuid4().hex}"
-    if _collected is not None:
-        _collected.append(folder)
+    if (made := _collected.get()) is not None:
+        made.append(folder)
     return folder
 
 
@@ -54,17 +56,31 @@ def remove(spark: SparkSession, *paths: str) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def folders_read(df: DataFrame) -> list[str] | None:
+    """The root folders of all files that a DataFrame reads; None if it has other sources, whose files can't be told."""
+    leaves, found = df._jdf.queryExecution().analyzed().collectLeaves(), []
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        kind = leaf.getClass().getSimpleName()
+        if kind == "LocalRelation":
+            continue
+        if kind != "LogicalRelation" or leaf.relation().getClass().getSimpleName() != "HadoopFsRelation":
+            return None
+        found += leaf.relation().location().rootPaths().mkString("\n").split("\n")
+    return found
+
+
 @contextmanager
 def collecting() -> Iterator[list[str]]:
-    """The folders of all tables that are stored within the block."""
-    global _collected
-    outer, _collected = _collected, []
+    """The folders of all tables that are stored within the block, by this thread."""
+    outer, made = _collected.get(), []
+    token = _collected.set(made)
     try:
-        yield _collected
+        yield made
     finally:
+        _collected.reset(token)
         if outer is not None:
-            outer += _collected
-        _collected = outer
+            outer += made
 
 
 class Work:

@@ -4,11 +4,13 @@ Words are runs of letters, digits and bytes beyond ASCII, A-Z lower-cased. The i
 (words of the training sample that are not rare) and the sum of the vectors of its character n-grams of 3 to 5 bytes with
 its ends marked, over the root of their number. Two gated recurrent layers read each window of 32 words forwards
 and backwards; attention pools their states, and the pooled state gives the window's logit. A text has the score
-of its highest window; windows begin every 24 words, and the last one ends with the text, so all words
-of texts of any length are read, in overlapping windows.
+of its highest window. Windows begin every 24 words, and the last one ends with the text, so all words of texts of any
+length are read, in overlapping windows; in texts that are not toxic by these, around each window in doubt (higher than all
+but a few of clean documents) those that begin at every word are read too. So a phrase that lies across the edge of two windows is whole in
+one that is read, unless what each of the two holds of it looks as clean as clean texts do.
 
 Training: labelled rows whose crc32(doc_id as text) mod 5 is not 0, of these at most `MOST_TOXIC` and `MOST_CLEAN`
-documents (by a hash of the id). One task trains on that bounded sample, which keeps the driver free of texts; the model
+documents and `MOST_BYTES` of text (by a hash of the id; an id that repeats gives one of its texts). One task trains on that bounded sample, which keeps the driver free of texts; the model
 is a few MB and is broadcast. First windows of toxic documents are chosen by the log odds of their words and n-grams,
 which also start the vectors; then by the network itself (the document is as toxic as its worst window). All
 weights and vectors are trained by Adam. A logistic fit over documents, a fifth of which the network has
@@ -26,7 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +40,10 @@ from .text import LOWER, Words, blocks, held, joined, mix, ragged
 WINDOW, STRIDE = 32, 24
 #: Documents that training reads at most.
 MOST_TOXIC, MOST_CLEAN = 1500, 2500
+#: Bytes of text that training reads at most.
+MOST_BYTES = 40_000_000
+#: The share of windows of clean documents that are in doubt.
+DOUBTFUL = 0.005
 #: Width of word and character vectors, and of the state of each direction.
 WORD, CHAR, STATE = 8, 8, 16
 #: Windows that are read side by side, windows of a training step, and least number of steps.
@@ -69,20 +75,33 @@ def _summed(rows: np.ndarray, index: np.ndarray, size: int) -> np.ndarray:
 
 
 class Vocabulary:
-    """Numbers (from 1) of known 64-bit keys; 0 for all others. Keys that meet in a slot: the earlier one stays."""
+    """Numbers (from 1) of known distinct 64-bit keys; 0 for all others. A key whose slot is taken goes to the next free one."""
 
     def __init__(self, keys: np.ndarray):
         bits = max(10, int(len(keys) * 8).bit_length())
         self.mask = np.uint64((1 << bits) - 1)
         self.tag, self.number = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
-        slot = keys & self.mask
-        _, first = np.unique(slot, return_index=True)
-        self.tag[slot[first]], self.number[slot[first]] = keys[first], first + 1
+        left, self.probes = np.arange(len(keys)), 0
+        while len(left):
+            slot = keys[left] + np.uint64(self.probes) & self.mask
+            free = np.flatnonzero(self.number[slot] == 0)
+            _, first = np.unique(slot[free], return_index=True)
+            placed = free[first]
+            self.tag[slot[placed]], self.number[slot[placed]] = keys[left[placed]], left[placed] + 1
+            left, self.probes = np.delete(left, placed), self.probes + 1
         self.size = len(keys) + 1
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys & self.mask
-        return np.where(self.tag[slot] == keys, self.number[slot], 0)
+        out, left = np.zeros(len(keys), np.int32), np.arange(len(keys))
+        for k in range(self.probes):
+            slot = keys[left] + np.uint64(k) & self.mask
+            number = self.number[slot]
+            same = self.tag[slot] == keys[left]
+            out[left[same]] = number[same]
+            left = left[~same & (number > 0)]
+            if not len(left):
+                break
+        return out
 
 
 class Inputs:
@@ -122,6 +141,15 @@ class Inputs:
         begin = np.minimum(ragged(np.zeros(len(per), np.int64), count) * STRIDE, np.maximum(0, per[doc] - WINDOW))
         return self.words.edges[:-1][doc] + begin, np.minimum(WINDOW, per[doc]), doc
 
+    def windows_near(self, begin: np.ndarray, doc: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whole windows that begin at any word nearer to a chosen window than the next one is, other than the given ones."""
+        at, text = begin[chosen], doc[chosen]
+        first, last = self.words.edges[:-1][text], self.words.edges[1:][text] - WINDOW
+        low, high = np.maximum(first, at - STRIDE + 1), np.minimum(last, at + STRIDE - 1)
+        found = np.unique(ragged(low, np.maximum(0, high - low + 1)))
+        found = found[~np.isin(found, begin)]
+        return found, np.full(len(found), WINDOW), self.words.doc[found]
+
 
 class Network:
     def __init__(self, words: int, grams: int, seed: int = 7):
@@ -225,6 +253,8 @@ class Model:
     words: Vocabulary
     grams: Vocabulary
     fit: tuple[float, float] = (1.0, 0.0)
+    #: The logit from which a window is in doubt.
+    doubt: float = np.inf
 
     def logits(self, inputs: Inputs, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         given = self.network.given(self.network.vectors(self.words(inputs.keys), self.grams(inputs.gram_keys), inputs.gram_owner, inputs.gram_count))
@@ -240,12 +270,20 @@ class Model:
             out[some] = self.network.read(given, index)[2]
         return out
 
+    def _look_closer(self, inputs: Inputs, highest: np.ndarray, begin: np.ndarray, doc: np.ndarray, doubtful: np.ndarray) -> None:
+        """Raise the highest logits of texts to those of the windows around doubtful ones."""
+        begin, size, doc = inputs.windows_near(begin, doc, doubtful)
+        np.maximum.at(highest, doc, self.logits(inputs, begin, size).astype(np.float64))
+
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         inputs = Inputs(data, offsets)
         highest = np.full(len(offsets) - 1, -np.inf)
         if len(inputs.words):
             begin, size, doc = inputs.windows()
-            np.maximum.at(highest, doc, self.logits(inputs, begin, size).astype(np.float64))
+            value = self.logits(inputs, begin, size)
+            np.maximum.at(highest, doc, value.astype(np.float64))
+            # a text that is toxic already needs no closer look
+            self._look_closer(inputs, highest, begin, doc, (value >= self.doubt) & (self.fit[0] * highest[doc] + self.fit[1] < 0))
         with np.errstate(over="ignore"):
             return np.where(np.isfinite(highest), 1 / (1 + np.exp(-(self.fit[0] * np.where(np.isfinite(highest), highest, 0) + self.fit[1]))), 0.0)
 
@@ -335,8 +373,11 @@ def train(texts: pa.Array, toxic: np.ndarray, odds: bool = True) -> Model:
         value = model.logits(inputs, begin, size).astype(np.float64)
     highest = np.full(docs, -np.inf)
     np.maximum.at(highest, doc, value)
+    model.doubt = float(np.quantile(value[~toxic[doc]], 1 - DOUBTFUL))
+    model._look_closer(inputs, highest, begin, doc, value >= model.doubt)
     has = np.isfinite(highest)
     model.fit = _logistic(highest[has], toxic[has], np.where(seen[has], 1.0, 4.0))
+    model.doubt = min(model.doubt, -model.fit[1] / model.fit[0])  # no higher than where a text is called toxic
     return model
 
 
@@ -363,6 +404,11 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if sample.select("_toxic").distinct().count() < 2:
         return None
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(sample), "_id").groupBy("_id").agg(F.max("_text").alias("_text"), F.max("_toxic").alias("_toxic"))
+    rows = stored(rows, "texts")
+    # a few thousand rows of ids and sizes are in one task here; texts are in one only as far as the bound goes
+    so_far = F.sum(F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long")).over(Window.orderBy(F.xxhash64("_id"), "_id"))
+    chosen = rows.select("_id", so_far.alias("_bytes")).where(F.col("_bytes") <= MOST_BYTES).select("_id")
+    rows = rows.join(F.broadcast(chosen), "_id", "left_semi")
 
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = list(batches)

@@ -1,12 +1,15 @@
+import os
 import re
+import threading
 from collections import Counter, defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from tapewright.llm import toxicity
+from tapewright.llm import shared, toxicity
 
 from .test_dedup import lower
 from .test_near_dedup import brute as near_classes
@@ -99,11 +102,37 @@ def test_stages_on_nulls_repeats_clashing_columns_and_empty_tables(spark):
 
 
 def test_a_run_leaves_only_its_result(spark, tmp_path):
-    from tapewright.llm import shared
-
     with shared.collecting() as made:
         out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0
     path = spark._jvm.org.apache.hadoop.fs.Path
     there = [f for f in made if path(f).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(f))]
     assert len(there) == 1
+
+
+def test_stages_without_a_write_in_between(spark):
+    """All five, one on another's result; and two runs at a time, neither of which removes what the other reads."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf)
+    pieces = lambda df: sorted(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in df.collect())
+    got = pieces(docs)
+    with ThreadPoolExecutor(2) as pool:
+        runs = list(pool.map(lambda _: pieces(corpus_pipeline.run(spark, sf)), range(2)))
+    assert got and runs == [got, got]
+
+
+def test_a_stage_removes_what_earlier_ones_left_once_it_is_not_read(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    deduped = stages["exact_dedup"](spark, docs, sf)
+    left = [f for at, f in corpus_pipeline._left[spark.sparkContext.applicationId, sf, threading.get_ident()] if at == 1]
+    there = lambda f: os.path.exists(f.split(":", 1)[-1])
+    assert left and all(map(there, left)) and shared.folders_read(docs) == [f"file:{sf}/documents.parquet"]
+    stages["near_dedup"](spark, deduped, sf)
+    assert any(map(there, left))
+    deduped.write.parquet(str(tmp_path / "kept"))
+    stages["mixing"](spark, spark.read.parquet(str(tmp_path / "kept")), sf)
+    assert not any(map(there, left))
