@@ -1,9 +1,10 @@
 """A training-corpus pipeline: toxicity, exact dedup, near-dedup, mixing, packing.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame. Between stages the rows are written as Parquet in the
-shared folder and read again. All stages but the last return rows with the columns of documents; a stage works on all rows
-that its predecessor kept. Tables that a stage made for itself are removed when a later stage is called for the same
-folder, as its result is written by then.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame. Between stages `run` writes the rows as Parquet in the
+shared folder and reads them again. All stages but the last return rows with the columns of documents; a stage works on all
+rows that its predecessor kept. Stages may also be called one on another's result without a write in between. Tables that a
+stage made for itself are removed by `run` once its result is written; of stages that are called alone, when this thread calls
+a later one for the same folder on rows that are not read from them.
 
 Defined cases, for all stages: an empty table gives an empty one, with the same columns before packing. Null texts are
 empty: they are never toxic, are copies of each other and of empty texts, have size 0 in the mix (where they rank
@@ -15,6 +16,7 @@ carried up to packing, whatever their names.
 
 from __future__ import annotations
 
+import threading
 from collections import defaultdict
 from collections.abc import Callable
 from functools import wraps
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewright.llm import dedup, mixing, near_dedup, packing, toxicity
-from tapewright.llm.shared import collecting, free_name, remove, stored
+from tapewright.llm.shared import collecting, folders_read, free_name, remove, stored
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,28 +57,34 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: Folders of tables that stages have left, by application and input: (position of the stage, folder).
-_left: dict[tuple[str, str], list[tuple[int, str]]] = defaultdict(list)
+#: Folders of tables that stages called alone have left, by application, input and thread: (position of the stage, folder).
+_left: dict[tuple[str, str, int], list[tuple[int, str]]] = defaultdict(list)
 
 
 def _tidy(position: int, stage: Stage) -> Stage:
-    """The stage, which first removes what stages before it left for themselves."""
+    """The stage, which first removes what stages before it left for themselves, unless its rows are still read from there."""
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir)
-        _release(spark, key, position)
+        key = (spark.sparkContext.applicationId, sf_dir, threading.get_ident())
+        read = folders_read(docs)
+        if read is not None:
+            done = [folder for at, folder in _left[key] if at < position and not any(_within(r, folder) for r in read)]
+            remove(spark, *done)
+            _left[key] = [x for x in _left[key] if x[1] not in done]
         with collecting() as made:
             out = stage(spark, docs, sf_dir)
         _left[key] += [(position, folder) for folder in made]
         return out
 
+    run_stage.plain = stage
     return run_stage
 
 
-def _release(spark: SparkSession, key: tuple[str, str], before: int) -> None:
-    remove(spark, *(folder for at, folder in _left[key] if at < before))
-    _left[key] = [x for x in _left[key] if x[0] >= before]
+def _within(path: str, folder: str) -> bool:
+    """Whether a path lies in a folder, however their schemes are written."""
+    bare = lambda p: "/" + p.split(":", 1)[-1].lstrip("/")
+    return bare(path).startswith(bare(folder).rstrip("/") + "/")
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -97,10 +105,10 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
+        with collecting() as own:
+            out = stage.plain(spark, docs, sf_dir)
         with collecting() as made:
             docs = stored(out, name)
-        remove(spark, *written)
+        remove(spark, *own, *written)
         written = made
-    _release(spark, (spark.sparkContext.applicationId, sf_dir), len(STAGES))
     return docs
