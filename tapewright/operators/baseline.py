@@ -20,11 +20,17 @@ from .rules import issue_rows
 _SUMS = ("c", "s", "q")
 
 
-def asof_sums(values: DataFrame, lookback: int, hour_window: int, day_type: bool = True, whole_day: bool = False) -> DataFrame:
+def hourly_sums(values: DataFrame) -> DataFrame:
+    """What a kept baseline is made of: listing_id, metric, date, hour, c, s, q. Sums of different values add up by key."""
+    return values.groupBy("listing_id", "metric", F.to_date("minute").alias("date"), F.hour("minute").alias("hour")).agg(F.count("*").alias("c"), F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q"))
+
+
+def asof_sums(values: DataFrame, lookback: int, hour_window: int, day_type: bool = True, whole_day: bool = False, history: DataFrame | None = None) -> DataFrame:
     """Values with the sums of their baseline: c, s, q (count, sum, squares), days, latest (day number).
 
     values: listing_id, metric, minute, value and any other columns. ``whole_day`` takes all samples of the value's
-    own day, later ones too, as a table of daily sums gives them.
+    own day, later ones too, as a table of daily sums gives them. history: `hourly_sums` of values that came before all of
+    these; they need not be read again.
     """
     date = F.to_date("minute")
     day = F.datediff(date, F.lit("1970-01-01").cast("date"))
@@ -32,6 +38,10 @@ def asof_sums(values: DataFrame, lookback: int, hour_window: int, day_type: bool
     v = values.withColumns({"_d": day, "_k": kind, "_h": F.hour("minute")})
     group = ["listing_id", "metric", "_k"]
     hourly = v.groupBy(*group, "_d", "_h").agg(F.count("*").alias("c"), F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q"))
+    if history is not None:
+        kept = history.select("listing_id", "metric", (keys.is_weekend(F.col("date")) if day_type else F.lit(False)).alias("_k"), F.datediff("date", F.lit("1970-01-01").cast("date")).alias("_d"), F.col("hour").alias("_h"), *_SUMS)
+        kept = kept.groupBy(*group, "_d", "_h").agg(*(F.sum(x).alias(x) for x in _SUMS))
+        hourly = hourly.unionByName(kept).groupBy(*group, "_d", "_h").agg(*(F.sum(x).alias(x) for x in _SUMS))
     offsets = list(range(-hour_window, hour_window + 1)) if 2 * hour_window + 1 < 24 else list(range(24))
     near = hourly.withColumn("_t", F.explode(F.transform(F.array(*map(F.lit, offsets)), lambda o: F.pmod(F.col("_h") + o, F.lit(24)))))
     earlier = F.lit(True) if whole_day else F.col("_h") < F.col("_t")
@@ -46,6 +56,9 @@ def asof_sums(values: DataFrame, lookback: int, hour_window: int, day_type: bool
     if whole_day:
         now = {x: F.lit(0) for x in _SUMS}
     met = met.withColumns({f"n{x}": now[x] for x in _SUMS})
+    if history is not None and not whole_day:
+        met = met.join(kept.withColumnsRenamed({x: f"k{x}" for x in _SUMS}), [*group, "_d", "_h"], "left")
+        met = met.withColumns({f"n{x}": F.col(f"n{x}") + F.coalesce(f"k{x}", F.lit(0)) for x in _SUMS})
     today = (F.col("ec") + F.col("nc")) > 0
     return met.select(
         *values.columns,
@@ -56,12 +69,13 @@ def asof_sums(values: DataFrame, lookback: int, hour_window: int, day_type: bool
     )
 
 
-def asof_baselines(values: DataFrame, params: Sequence[MetricParams] = METRICS, whole_day: bool = False) -> DataFrame:
+def asof_baselines(values: DataFrame, params: Sequence[MetricParams] = METRICS, whole_day: bool = False, history: DataFrame | None = None) -> DataFrame:
     """`asof_sums` of all metrics, each with its own window; metrics that share a window share the pass."""
     groups: dict[tuple[int, int], list[str]] = {}
     for p in params:
         groups.setdefault((p.lookback, p.hour_window), []).append(p.name)
-    parts = [asof_sums(values.where(F.col("metric").isin(*names)), lookback, window, whole_day=whole_day) for (lookback, window), names in groups.items()]
+    of = lambda rows, names: None if rows is None else rows.where(F.col("metric").isin(*names))
+    parts = [asof_sums(of(values, names), lookback, window, whole_day=whole_day, history=of(history, names)) for (lookback, window), names in groups.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

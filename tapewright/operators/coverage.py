@@ -23,10 +23,10 @@ LEVELS: dict[str, tuple[str, ...]] = {
 _DIMS = ("security_id", "exchange_id", "schema", "date")
 
 
-def entries(inventory: DataFrame, strict: bool = False) -> DataFrame:
-    """Aggregated entries of inventory rows (key, size): security_id, exchange_id, schema, minute, date, size."""
-    parsed = inventory.select(keys.parse_key(F.col("key"), strict).alias("k"), "size")
-    return parsed.where("k.entry_type = 'AGGREGATED'").select("k.security_id", "k.exchange_id", "k.schema", "k.minute", F.to_date("k.minute").alias("date"), "size")
+def entries(inventory: DataFrame, strict: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Aggregated entries of inventory rows (key, size): security_id, exchange_id, schema, minute, date, size, and carried columns."""
+    parsed = inventory.select(keys.parse_key(F.col("key"), strict).alias("k"), "size", *carry)
+    return parsed.where("k.entry_type = 'AGGREGATED'").select("k.security_id", "k.exchange_id", "k.schema", "k.minute", F.to_date("k.minute").alias("date"), "size", *carry)
 
 
 def bad_keys(inventory: DataFrame) -> DataFrame:
@@ -34,55 +34,112 @@ def bad_keys(inventory: DataFrame) -> DataFrame:
     return inventory.where(keys.parse_key(F.col("key")).isNull())
 
 
-def levels(entries_: DataFrame) -> DataFrame:
-    """All levels: level, its keys, files, minutes (distinct), size_bytes, days, earliest, latest.
+#: A day's minutes as 24 words of 60 bits, one for each hour. 192 bytes whatever the day holds, merged by `bit or`.
+WORDS = tuple(f"h{h}" for h in range(24))
+_SUMS = ("files", "size_bytes")
 
-    Files are first summed by minute. A minute that is distinct for a key is a row of that key's own sums, made from those
-    of the finer key, so distinct minutes are plain counts of ever fewer rows; dates part minutes, so levels without a
-    date add up their dates.
+
+def days(entries_: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Entries as bitmaps: security_id, exchange_id, schema, date (and carried keys), files, size_bytes, and the words of its minutes.
+
+    The only shuffle of entries. Everything else about coverage comes from this table, which has one row for a day of a
+    pair and schema, in place of up to 1,440 entries and their copies.
     """
+    bit = F.expr("shiftleft(1L, minute(minute))")
+    words = (F.coalesce(F.bit_or(F.when(F.hour("minute") == h, bit)), F.lit(0).cast("long")).alias(w) for h, w in enumerate(WORDS))
+    return entries_.groupBy(*carry, *_DIMS).agg(F.count("*").alias("files"), F.sum("size").alias("size_bytes"), *words)
 
-    def by_minute(rows: DataFrame, *key: str) -> DataFrame:
-        return rows.groupBy(*key, "date", "minute").agg(F.sum("files").alias("files"), F.sum("size").alias("size"))
 
-    files = entries_.groupBy(*_DIMS, "minute").agg(F.count("*").alias("files"), F.sum("size").alias("size"))
-    pair, security_schema = by_minute(files, "security_id", "exchange_id"), by_minute(files, "security_id", "schema")
-    security, schema = by_minute(pair, "security_id"), by_minute(security_schema, "schema")
-    finest = {"pair_date_schema": files, "pair_date": pair, "security_date_schema": security_schema, "security_date": security, "schema": schema, "pair": pair, "security": security, "global": by_minute(security)}
-    kinds = {"security_id": "int", "exchange_id": "int", "schema": "string", "date": "date"}
-    parts = []
-    for name, key in LEVELS.items():
-        own = tuple(k for k in key if k != "date")
-        daily = finest[name].groupBy(*own, "date").agg(F.sum("files").alias("files"), F.count("*").alias("minutes"), F.sum("size").alias("size_bytes"))
-        found = daily.groupBy(F.lit(name).alias("level"), *key).agg(*(F.sum(c).alias(c) for c in ("files", "minutes", "size_bytes")), F.count("*").alias("days"), F.min("date").alias("earliest"), F.max("date").alias("latest"))
-        parts.append(found.select(*(F.col(c) if c in key else F.lit(None).cast(t).alias(c) for c, t in kinds.items()), "level", "files", "minutes", "size_bytes", "days", "earliest", "latest"))
-    return reduce(DataFrame.union, parts)
+def _merged() -> list[Column]:
+    return [*(F.sum(c).alias(c) for c in _SUMS), *(F.bit_or(w).alias(w) for w in WORDS)]
 
 
-def global_summary(entries_: DataFrame) -> DataFrame:
-    return entries_.agg(F.count("*").alias("total_files"), F.count_distinct("minute").alias("total_minutes"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_size_bytes"), F.count_distinct("security_id", "exchange_id").alias("security_exchange_count"), F.min("date").alias("earliest_date"), F.max("date").alias("latest_date"))
+def minutes() -> Column:
+    """The number of minutes of a bitmap."""
+    return sum((F.bit_count(w) for w in WORDS[1:]), F.bit_count(WORDS[0])).cast("long")
 
 
-def _schemas() -> Column:
-    return F.array_sort(F.collect_set("schema"))
+def merged(*tables: DataFrame) -> DataFrame:
+    """One table of `days` from those of inventories that list different files. A minute that several of them hold counts once."""
+    return reduce(DataFrame.unionByName, tables).groupBy(*_DIMS).agg(*_merged())
+
+
+def _as_days(table: DataFrame) -> DataFrame:
+    """`days` of entries; a table of days as it is."""
+    return table if WORDS[0] in table.columns else days(table)
+
+
+#: What is grouped: keys within a date, the level with dates and the level that adds its dates up.
+_GROUPED: tuple[tuple[tuple[str, ...], str | None, str | None], ...] = (
+    (("security_id", "exchange_id", "schema"), "pair_date_schema", None),
+    (("security_id", "exchange_id"), "pair_date", "pair"),
+    (("security_id", "schema"), "security_date_schema", None),
+    (("security_id",), "security_date", "security"),
+    (("schema",), None, "schema"),
+    ((), None, "global"),
+)
+
+
+def levels(table: DataFrame) -> DataFrame:
+    """All levels of entries or `days`: level, its keys, files, minutes (distinct), size_bytes, days, earliest, latest.
+
+    Bitmaps are merged by date in one pass of grouping sets; as dates part minutes, levels without a date add up
+    the minutes of their dates.
+    """
+    sets = [[*key, "date"] for key, _, _ in _GROUPED]
+    found = _as_days(table).groupingSets(sets, *_DIMS).agg(F.grouping_id().alias("_set"), *_merged())
+    # a bit of the set is 1 where the column is not grouped by
+    number = lambda key: sum(0 if c in (*key, "date") else 1 << (len(_DIMS) - 1 - k) for k, c in enumerate(_DIMS))
+    row = lambda name, date: F.struct(F.lit(name).alias("level"), date.alias("own"))
+    targets = F.lit(None)
+    for key, dated, whole in _GROUPED:
+        rows = [row(dated, F.col("date"))] * bool(dated) + [row(whole, F.lit(None).cast("date"))] * bool(whole)
+        targets = F.when(F.col("_set") == number(key), F.array(*rows)).otherwise(targets)
+    each = found.select("security_id", "exchange_id", "schema", "date", "files", "size_bytes", minutes().alias("minutes"), F.explode(targets).alias("_to"))
+    sums = (F.sum(c).alias(c) for c in ("files", "minutes", "size_bytes"))
+    out = each.groupBy("security_id", "exchange_id", "schema", F.col("_to.own").alias("own"), F.col("_to.level").alias("level")).agg(*sums, F.count("*").alias("days"), F.min("date").alias("earliest"), F.max("date").alias("latest"))
+    return out.select("security_id", "exchange_id", "schema", F.col("own").alias("date"), "level", "files", "minutes", "size_bytes", "days", "earliest", "latest")
+
+
+def _by_date(table: DataFrame, *key: str) -> DataFrame:
+    """Bitmaps merged by keys and date, as numbers, with the exchanges and schemas of each."""
+    held = F.collect_set("schema").alias("schemas"), F.collect_set("exchange_id").alias("exchanges")
+    return _as_days(table).groupBy(*(k for k in key if k != "date"), "date").agg(*_merged(), *held).withColumn("minutes", minutes())
+
+
+def _distinct(column: str) -> Column:
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_set(column))))
+
 
+def global_summary(table: DataFrame) -> DataFrame:
+    table = _as_days(table)
+    dates = _by_date(table).select("files", "minutes", "size_bytes", "date", F.lit(0).alias("pair"))
+    # pairs are rows of their own, so one pass adds both up
+    pairs = table.select("security_id", "exchange_id").distinct().select(*(F.lit(0).cast("long").alias(c) for c in ("files", "minutes", "size_bytes")), F.lit(None).cast("date").alias("date"), F.lit(1).alias("pair"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return dates.union(pairs).agg(total("files").alias("total_files"), total("minutes").alias("total_minutes"), total("size_bytes").alias("total_size_bytes"), total("pair").alias("security_exchange_count"), F.min("date").alias("earliest_date"), F.max("date").alias("latest_date"))
 
-def by_schema(entries_: DataFrame) -> DataFrame:
-    return entries_.groupBy("schema").agg(F.count("*").alias("file_count"), F.count_distinct("minute").alias("minute_count"), F.sum("size").alias("size_bytes"))
 
+def by_schema(table: DataFrame) -> DataFrame:
+    return _by_date(table, "schema").groupBy("schema").agg(F.sum("files").alias("file_count"), F.sum("minutes").alias("minute_count"), F.sum("size_bytes").alias("size_bytes"))
 
-def by_pair(entries_: DataFrame) -> DataFrame:
-    return entries_.groupBy("security_id", "exchange_id").agg(F.count("*").alias("file_count"), F.count_distinct("minute").alias("minute_count"), F.sum("size").alias("size_bytes"), F.min("date").alias("earliest_date"), F.max("date").alias("latest_date"), _schemas().alias("schema_types"))
 
+def by_pair(table: DataFrame) -> DataFrame:
+    return _by_date(table, "security_id", "exchange_id").groupBy("security_id", "exchange_id").agg(F.sum("files").alias("file_count"), F.sum("minutes").alias("minute_count"), F.sum("size_bytes").alias("size_bytes"), F.min("date").alias("earliest_date"), F.max("date").alias("latest_date"), _distinct("schemas").alias("schema_types"))
 
-def summary(entries_: DataFrame, *key: str) -> DataFrame:
+
+def summary(table: DataFrame, *key: str) -> DataFrame:
     """Days, minutes, size, exchanges, dates and schemas by security, or by security and exchange."""
-    return entries_.groupBy(*key).agg(F.count_distinct("date").alias("total_days"), F.count_distinct("minute").alias("total_minutes"), F.sum("size").alias("total_size_bytes"), F.count_distinct("exchange_id").alias("total_exchanges"), F.min("date").alias("earliest_date"), F.max("date").alias("latest_date"), _schemas().alias("schema_types"))
+    return _by_date(table, *key).groupBy(*key).agg(F.count("*").alias("total_days"), F.sum("minutes").alias("total_minutes"), F.sum("size_bytes").alias("total_size_bytes"), F.size(_distinct("exchanges")).cast("long").alias("total_exchanges"), F.min("date").alias("earliest_date"), F.max("date").alias("latest_date"), _distinct("schemas").alias("schema_types"))
 
 
-def per_date(entries_: DataFrame, *key: str) -> DataFrame:
+def per_date(table: DataFrame, *key: str) -> DataFrame:
     """Minutes and size by keys and date (keys may hold schema)."""
-    return entries_.groupBy(*key, "date").agg(F.count_distinct("minute").alias("minutes"), F.sum("size").alias("size_bytes"))
+    return _by_date(table, *key).select(*key, "date", "minutes", "size_bytes")
+
+
+def _schemas() -> Column:
+    return F.array_sort(F.collect_set("schema"))
 
 
 def _map(*pair: Column | str, ordered: bool = True) -> Column:

@@ -43,6 +43,14 @@ def pending(jobs: DataFrame, schema: str, limit: int | None = None) -> DataFrame
     return found if limit is None else found.orderBy("minute", "job_id").limit(limit)
 
 
+def current(versions: DataFrame) -> DataFrame:
+    """The ledger as it stands, of rows by several writers: a job that any of them has closed is closed; else its latest row."""
+    rank = F.struct((F.col("status") != "PENDING").alias("closed"), F.col("version"))
+    rest = [c for c in versions.columns if c not in (*JOB, "writer", "version")]
+    best = versions.groupBy(*JOB).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
+    return best.select(*JOB, "_row.*").select(*(c for c in versions.columns if c in (*JOB, *rest)))
+
+
 def job_minutes(jobs: DataFrame) -> DataFrame:
     """The minutes that each job reads: its own, or those of its hour for hourly bars."""
     start, n = keys.window_start(F.col("minute"), F.col("schema")), keys.window_minutes(F.col("schema"))

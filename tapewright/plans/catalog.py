@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import METRICS, MetricParams
 from ..functions import fields, keys
 from ..operators import baseline, convert, coverage, gaps, ledger, merge, metrics, rules, tables
-from ..sources import io
-from ..sources.work import ordered, stored, work_dir
+from ..sources import io, layout, versioned
+from ..sources.work import ordered, remove, stored, work_dir
 from ..streaming import jobs as streams
-from . import harness, jobs
+from . import harness, jobs, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,14 +195,16 @@ def u07_reset_statistics(spark, sf):
 
 @query
 def w04_asof_baseline(spark, sf):
-    found = baseline.asof_baselines(_values(spark, sf))
+    return _baseline_rows(baseline.asof_baselines(_values(spark, sf)))
+
+
+def _baseline_rows(found: DataFrame) -> DataFrame:
     return found.select("listing_id", "metric", epoch(), "c", rounded("s"), F.round(F.sqrt(F.coalesce(F.try_divide("q", "c"), F.lit(0.0))), 6).alias("rms"), F.col("days").cast("long").alias("days"), F.coalesce(F.col("latest").cast("long"), F.lit(-1)).alias("latest"))
 
 
 @query
 def j04_table_baseline(spark, sf):
-    found = baseline.asof_baselines(_values(spark, sf), whole_day=True)
-    return found.select("listing_id", "metric", epoch(), "c", rounded("s"), F.round(F.sqrt(F.coalesce(F.try_divide("q", "c"), F.lit(0.0))), 6).alias("rms"), F.col("days").cast("long").alias("days"), F.coalesce(F.col("latest").cast("long"), F.lit(-1)).alias("latest"))
+    return _baseline_rows(baseline.asof_baselines(_values(spark, sf), whole_day=True))
 
 
 @query
@@ -379,13 +383,56 @@ def s10_stored_coverage(spark, sf):
     return _documents(spark.read.parquet(path))
 
 
+@query
+def t03_merged_inventories(spark, sf):
+    """Levels of two inventories that list different files of the same minutes, from their merged bitmaps."""
+    lines = io.inventory_lines(_inventory(spark, sf))
+    half = F.pmod(F.xxhash64("key"), F.lit(2)) == 0
+    days = coverage.merged(*(coverage.days(coverage.entries(lines.where(part))) for part in (half, ~half)))
+    return in_text(coverage.levels(stored(days, "days")), "date", "earliest", "latest")
+
+
+def _land(spark, lines: DataFrame, folder: str, files: int) -> DataFrame:
+    """Write a snapshot's lines as text files and return its manifest: (snapshot, file)."""
+    lines.repartitionByRange(files, "value").write.text(folder)
+    place = F.split(F.col("_metadata.file_path"), "/")
+    listed = spark.read.text(folder).select(F.element_at(place, -2).alias("snapshot"), F.element_at(place, -1).alias("file"))
+    return stored(listed.distinct(), "manifest")
+
+
 @query
 def x11_streamed_coverage(spark, sf):
-    """An inventory snapshot that arrives as text files, streamed into the coverage table."""
+    """An inventory snapshot that arrives in one micro-batch."""
     landing, path = work_dir(spark, "inventory"), work_dir(spark, "coverage")
-    _inventory(spark, sf).write.text(landing)
-    streams.run_available(streams.inventory_snapshots(spark, landing), jobs.coverage_sink(path, as_of()))
-    return _documents(spark.read.parquet(path))
+    listed = _land(spark, _inventory(spark, sf), f"{landing}/2024-01-20", 4)
+    streams.run_available(snapshots.snapshot_lines(spark, landing), snapshots.snapshot_sink(path, lambda s: listed, as_of()))
+    return _documents(snapshots.current(spark, path))
+
+
+@query
+def x11_split_snapshot(spark, sf):
+    """The same with a file a batch; its manifest comes last of all, after the stream has run."""
+    landing, path, job = work_dir(spark, "inventory"), work_dir(spark, "coverage"), streams.Scheduled(work_dir(spark, "job"))
+    listed = _land(spark, _inventory(spark, sf), f"{landing}/2024-01-20", 5)
+    none = listed.limit(0)
+    job.run(snapshots.snapshot_lines(spark, landing, 1), snapshots.snapshot_sink(path, lambda s: none, as_of()))
+    snapshots.publish(spark, path, lambda s: listed, as_of())
+    return _documents(snapshots.current(spark, path))
+
+
+@query
+def x11_incomplete_snapshot(spark, sf):
+    """A snapshot up to a day is published; of the next one a file is missing, so the table stays."""
+    landing, path, job = work_dir(spark, "inventory"), work_dir(spark, "coverage"), streams.Scheduled(work_dir(spark, "job"))
+    lines = _inventory(spark, sf)
+    before = F.coalesce(keys.parse_key(F.get(F.split("value", '"'), F.lit(3)))["minute"] < F.lit(DAY).cast("timestamp"), F.lit(True))
+    first = _land(spark, lines.where(before), f"{landing}/2024-01-20", 2)
+    job.run(snapshots.snapshot_lines(spark, landing, 1), snapshots.snapshot_sink(path, lambda s: first, as_of()))
+    second = _land(spark, lines, f"{landing}/2024-01-21", 3)
+    absent = second.limit(1).withColumn("file", F.lit("part-that-never-came"))
+    both = first.union(second).union(absent)
+    job.run(snapshots.snapshot_lines(spark, landing, 1), snapshots.snapshot_sink(path, lambda s: both, as_of()))
+    return _documents(snapshots.current(spark, path))
 
 
 @query
@@ -562,17 +609,56 @@ def l06_limited_run(spark, sf):
     return jobs.run_jobs(_jobs(spark, sf), ticks, "trades", as_of(), limit=40)[1].select("job_id", epoch(), "status")
 
 
+def _tick_tables(spark, sf) -> tuple[snapshots.Reader, snapshots.Reader]:
+    """Ticks and listings as jobs read them, in the session of the batch."""
+    return (lambda s: harness.ticks(s, sf, "minute")), (lambda s: harness.listings(harness.ticks(s, sf, "minute")))
+
+
 @query
 def x05_converted_entries(spark, sf):
     """Merged entries that arrive in files, streamed through job creation and conversion."""
     landing, ledger_, out = (work_dir(spark, n) for n in ("entries", "jobs", "bars"))
-    ticks = harness.ticks(spark, sf, "minute")
     entries = _entries_of(spark, sf)
     ordered(entries.repartitionByRange(3, "minute"), landing)
-    streams.run_available(streams.file_stream(spark, landing, entries.schema, files=1), jobs.conversion_sink(ledger_, out, ticks, harness.listings(ticks), "ohlcv-1m", as_of()))
+    streams.run_available(streams.file_stream(spark, landing, entries.schema, files=1), jobs.conversion_sink(ledger_, out, *_tick_tables(spark, sf), "ohlcv-1m", as_of()))
     return in_epochs(spark.read.parquet(out).drop("version"), "job_minute")
 
 
+@query
+def x05_restarted_runs(spark, sf):
+    """Three scheduled runs over a landing folder that is cleared before each: what came is converted once, and stays."""
+    landing, ledger_, out, job = work_dir(spark, "entries"), work_dir(spark, "jobs"), work_dir(spark, "bars"), streams.Scheduled(work_dir(spark, "job"))
+    entries = stored(_in_thirds(_entries_of(spark, sf)), "entries")
+    for part in range(3):
+        path = f"{landing}/{part}"
+        entries.where(F.col("part") == part).drop("part").write.parquet(path)
+        stream = streams.file_stream(spark, f"{landing}/*", entries.drop("part").schema, files=1)
+        job.run(stream, jobs.conversion_sink(ledger_, out, *_tick_tables(spark, sf), "ohlcv-1m", as_of()))
+        job.run(stream, jobs.conversion_sink(ledger_, out, *_tick_tables(spark, sf), "ohlcv-1m", as_of()))  # nothing has come since
+        remove(spark, path)
+    return in_epochs(spark.read.parquet(out).drop("version"), "job_minute")
+
+
+def _in_thirds(rows: DataFrame) -> DataFrame:
+    """Rows with a part from 0 to 2 by day."""
+    return rows.withColumn("part", F.dayofmonth("minute") % 3)
+
+
+@query
+def x05_shared_ledger(spark, sf):
+    """Two streams of entries with a schema each, on one ledger, and a schedule for a third schema whose jobs they created."""
+    landing, ledger_ = work_dir(spark, "entries"), work_dir(spark, "jobs")
+    entries = _entries_of(spark, sf)
+    ordered(entries.repartitionByRange(2, "minute"), landing)
+    ticks, listings = _tick_tables(spark, sf)
+    for schema in ("ohlcv-1m", "trades"):
+        job = streams.Scheduled(work_dir(spark, schema))
+        job.run(streams.file_stream(spark, landing, entries.schema, files=1), jobs.conversion_sink(ledger_, work_dir(spark, "out"), ticks, listings, schema, as_of()))
+    for limit in (25, None):
+        jobs.process_pending(spark, ledger_, work_dir(spark, "out"), ticks, listings, "ohlcv-1h", as_of(), limit)
+    return ledger.current(jobs.ledger_rows(spark, ledger_)).select("job_id", epoch(), "schema", "status", F.coalesce("expires_at", F.lit(0)).alias("expires_at"))
+
+
 @query
 def u04_closed_jobs(spark, sf):
     ticks = harness.ticks(spark, sf, "minute")
@@ -756,19 +842,32 @@ def x07_running_statistics(spark, sf):
 @query
 def x08_gaps_on_arrival(spark, sf):
     path = work_dir(spark, "gaps")
-    minutes = _tick_stream(spark, sf).select("listing_id", F.unix_timestamp("minute").alias("minute"))
-    streams.run_available(streams.gaps_on_arrival(minutes), streams.versions_sink(path))
-    return spark.read.parquet(path).select("listing_id", "previous", "minute", "missing")
+    streams.run_available(streams.gaps_on_arrival(_tick_stream(spark, sf)), streams.versions_sink(path), "update")
+    found = tables.latest(spark.read.parquet(path), "listing_id", "previous", "minute").where("present")
+    return found.select("listing_id", "previous", "minute", "missing")
+
+
+def _late(spark, sf) -> DataFrame:
+    """Minutes in five batches, a seventh of them one batch late."""
+    ticks = harness.ticks(spark, sf, "minute").select("listing_id", "minute", "pos")
+    span = ticks.agg(F.max("pos") - F.min("pos")).first()[0]
+    return ticks.withColumn("pos", F.col("pos") + F.when(F.col("pos") % 7 == 0, F.lit(span // 5)).otherwise(F.lit(0)))
+
+
+@query
+def x08_late_minutes(spark, sf):
+    """Late minutes take back the gaps they fall in and leave those at their sides; the watermark waits a batch for them."""
+    path = work_dir(spark, "gaps")
+    streams.run_available(streams.gaps_on_arrival(_landed(spark, _late(spark, sf), "pos"), 120, "10 days"), streams.versions_sink(path), "update")
+    found = tables.latest(spark.read.parquet(path), "listing_id", "previous", "minute").where("present")
+    return found.select("listing_id", F.explode(F.sequence(F.col("previous") + 60, F.col("minute") - 60, F.lit(60))).alias("minute"))
 
 
 @query
 def x03_gaps_after_late_data(spark, sf):
     """Minutes arrive in five batches, a seventh of them one batch late: gaps are looked for 15 minutes behind, and taken back."""
-    ticks = harness.ticks(spark, sf, "minute").select("listing_id", "minute", "pos")
-    span = ticks.agg(F.max("pos") - F.min("pos")).first()[0]
-    late = ticks.withColumn("pos", F.col("pos") + F.when(F.col("pos") % 7 == 0, F.lit(span // 5)).otherwise(F.lit(0)))
     seen, found = work_dir(spark, "seen"), work_dir(spark, "found")
-    streams.run_available(_landed(spark, late, "pos"), streams.gap_sink(seen, found, search_minutes=120))
+    streams.run_available(_landed(spark, _late(spark, sf), "pos"), streams.gap_sink(seen, found, search_minutes=120))
     return in_epochs(streams.current_gaps(spark, found), "minute")
 
 
@@ -902,6 +1001,158 @@ def q06_backfill_of_a_day(spark, sf):
     return found.issues.select("issue_id", "rule_type", epoch(), "record_count")
 
 
+# ---------------------------------------------------------------- what had no query of its own
+
+
+@query
+def q04_detected_gaps(spark, sf):
+    """The gap job as a whole: observed minutes of manifest and ledger, tolerances as of each minute, rows."""
+    ticks = harness.ticks(spark, sf, "minute")
+    found = jobs.detect_gaps(harness.manifest(ticks), _jobs(spark, sf).where("schema = 'trades'"), _values(spark, sf, "minute"), as_of())
+    return found.select("listing_id", epoch(), "status", "reason", "expected", epoch("created_at"))
+
+
+@query
+def p19_anomaly_text(spark, sf):
+    """What statistical issues say, taken apart again: metric, value, deviations, side, mean and deviation."""
+    found = baseline.statistical_issues(metrics.file_metrics(harness.ticks(spark, sf)), None, as_of(), TUNED)
+    part = lambda i: F.regexp_extract("details", r"^(\S+) (\S+) is (\S+)σ (\S+) conditional mean of (\S+) \(σ=(\S+)\)$", i)
+    return found.select("listing_id", "issue_id", part(1).alias("metric"), *(part(i).cast("double").alias(n) for i, n in ((2, "value"), (3, "deviations"), (5, "mean"), (6, "stddev"))), part(4).alias("side"))
+
+
+@query
+def s09_inventory_notices(spark, sf):
+    """Notifications of one level name the object of their first record; others are passed over."""
+    files = merge.capture_counts(harness.ticks(spark, sf, "minute"))
+    key = keys.build_key(F.col("security_id"), F.col("exchange_id"), F.col("minute"), F.col("schema"), F.col("capture_id"))
+    record = lambda k: F.struct(F.struct(F.struct(k.alias("key")).alias("object")).alias("s3"))
+    body = F.to_json(F.struct(F.array(record(key), record(F.lit("second"))).alias("Records")))
+    bad = files.where("capture_id = 'c0'").select(F.explode(F.array(F.lit("{oops"), F.lit('{"Records":[]}'))).alias("body"))
+    return io.inventory_notices(files.select(body.alias("body")).union(bad))
+
+
+@query
+def x06_minute_windows(spark, sf):
+    path = work_dir(spark, "windows")
+    counts = streams.window_counts(_tick_stream(spark, sf), "event_time", "1 minute", keys=("listing_id",)).select("listing_id", F.unix_timestamp("window.start").alias("start"), "n")
+    streams.run_available(counts, streams.versions_sink(path), "update")
+    return tables.latest(spark.read.parquet(path), "listing_id", "start").select("listing_id", "start", "n")
+
+
+def _tick_table(spark, sf, cycle: str = "hour") -> DataFrame:
+    """The ticks written as they should lie on disk."""
+    name = f"ticks_{uuid.uuid4().hex}"
+    layout.write_ticks(harness.ticks(spark, sf, cycle), name, work_dir(spark, "ticks"), 8)
+    return layout.read_ticks(spark, name)
+
+
+@query
+def s01_pruned_captures(spark, sf):
+    """Captures of a minute from one partition."""
+    return layout.captures(_tick_table(spark, sf), 1, 0, harness.SOURCE, F.timestamp_seconds(F.lit(CENTER))).select("capture_id", "pos", "sequence")
+
+
+@query
+def s03_pruned_day(spark, sf):
+    """Entries of a day from its partitions."""
+    ticks = layout.of_day(_tick_table(spark, sf, "minute"), F.to_date(F.lit(DAY)))
+    return harness.manifest(ticks).select("listing_id", epoch(), "n_records")
+
+
+@query
+def q01_bucketed_merge(spark, sf):
+    """Merging a bucketed table: neither counts nor ticks are shuffled."""
+    return in_epochs(merge.merge(_tick_table(spark, sf)).select("listing_id", "minute", "pos", "sequence", "price", "size"), "minute")
+
+
+@query
+def r09_bucketed_issues(spark, sf):
+    """Static rules over a bucketed table, whose window and sums need no shuffle either."""
+    found = rules.static_issues(_tick_table(spark, sf), as_of(), 3600)
+    return in_epochs(found.select("listing_id", "issue_id", "rule_type", "status", "minute", "s3_key", "record_count"), "minute")
+
+
+@query
+def w04_kept_baseline(spark, sf):
+    """Values in five batches: a batch reads kept sums by hour, and none of the values before it."""
+    sums, out = work_dir(spark, "sums"), work_dir(spark, "baselines")
+    streams.run_available(_landed(spark, stored(_values(spark, sf), "values"), "minute"), streams.baseline_sink(sums, out))
+    return _baseline_rows(spark.read.parquet(out))
+
+
+@query
+def x04_late_captures(spark, sf):
+    """Captures in three batches, many of them late, through merging to scores and gaps: what a run from scratch gives."""
+    raw_path, merged, values, issues, seen, found = (work_dir(spark, n) for n in ("raw", "merged", "values", "issues", "seen", "gaps"))
+    raw = harness.ticks(spark, sf).withColumn("date", F.to_date("minute"))
+    day = F.dayofmonth("minute")
+    batch = F.when(F.col("capture_id") == "c2", F.when(day.between(5, 20), 1).otherwise(2)).otherwise(F.when(day <= 15, 0).otherwise(1))
+    raw = stored(raw.withColumn("batch", batch), "batches")
+    score = lambda v: baseline.scored(v, TUNED).where("anomalous").select("listing_id", "minute", "metric", "value", "mean", "stddev")
+    sink = streams.capture_sink(raw_path, merged, metrics.minute_metrics, streams.score_sink(values, issues, score), streams.gap_sink(seen, found, search_minutes=300))
+    for number in range(3):
+        came = raw.where(F.col("batch") == number).drop("batch")
+        io.append(came, raw_path, "date", "exchange_id")
+        sink(came.select(*merge.KEY, F.lit("RAW").alias("entry_type")).distinct(), number)
+    rows = streams.current_issues(spark, issues).select(F.lit("issue").alias("kind"), "listing_id", epoch(), "metric", rounded("value"), rounded("mean"), rounded("stddev", 6))
+    none = F.lit(None).cast("double")
+    return rows.union(streams.current_gaps(spark, found).select(F.lit("gap"), "listing_id", epoch(), F.lit(""), none, none, none))
+
+
+@query
+def w06_compacted_versions(spark, sf):
+    """Jobs in fourteen batches of versions, folded every fourth: readers find the live ones in a bounded number of folders."""
+    path, key, parts = work_dir(spark, "jobs"), ledger.JOB, 7
+    rows = stored(_jobs(spark, sf).where("schema = 'trades'").withColumns({"status": F.lit("PENDING"), "part": F.pmod(F.xxhash64("minute"), F.lit(parts))}), "jobs")
+    now = F.timestamp_seconds(F.lit(CENTER))
+    alive = F.col("expires_at").isNull() | (F.col("expires_at") > F.unix_timestamp(now))
+    sink = versioned.folding(streams.versions_sink(versioned.tail(path)), path, schemas.JOBS, key, 4, alive)
+    most = 0
+    for number in range(2 * parts):
+        due = rows.where(F.col("part") == number % parts).drop("part")
+        sink(due if number < parts else ledger.closed(due, F.col("minute")), number)
+        most = max(most, versioned.folders(spark, path))
+    found = tables.live(versioned.current(spark, path, schemas.JOBS, *key), now)
+    return found.select("job_id", epoch(), "status", "expires_at", F.lit(most <= 6).alias("bounded"))
+
+
+def _broken_backfill(spark, sf, mode: str, reset: bool) -> jobs.Backfill:
+    """A backfill of a range in which some records have no event time, over statistics of all files."""
+    ticks = harness.ticks(spark, sf)
+    broken = ticks.withColumn("ts_event_ns", F.when(F.col("pos") % 97 != 0, F.col("ts_event_ns")))
+    stats = metrics.hourly_stats(metrics.minute_metrics(ticks))
+    return jobs.backfill_entries(broken, stats, LISTING, F.to_date(F.lit("2024-01-15")), F.to_date(F.lit(DAY)), as_of(), mode, reset, TUNED, 3600)
+
+
+@query
+def q06_backfill_with_errors(spark, sf):
+    return _broken_backfill(spark, sf, "all", False).quality.issues.select("issue_id", "rule_type", epoch(), "record_count")
+
+
+@query
+def q06_backfill_errors(spark, sf):
+    return _broken_backfill(spark, sf, "issues", False).errors.select("listing_id", epoch(), "error")
+
+
+@query
+def a19_counters_with_errors(spark, sf):
+    return _broken_backfill(spark, sf, "all", True).counters
+
+
+@query
+def q06_reset_statistics(spark, sf):
+    """Statistics mode with reset: hours of the range come from what could be read, others are as before."""
+    found = _broken_backfill(spark, sf, "statistics", True).statistics
+    return in_text(found, "date").select("listing_id", "date", "hour", "metric", "count", rounded("sum"), rounded("sum_sq"))
+
+
+@query
+def q06_kept_statistics(spark, sf):
+    """Without reset hours that could not be read keep the row they had."""
+    found = _broken_backfill(spark, sf, "statistics", False).statistics
+    return in_text(found, "date").select("listing_id", "date", "hour", "metric", "count", rounded("sum"), rounded("sum_sq"))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Quality issues of all files: static rules, and metric values against baselines as of each minute."""
     return q05_quality_check(spark, sf)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -85,6 +85,36 @@ def reset_statistics(stats: DataFrame, listing_id: int, start: Column, end: Colu
     return tables.delete(stats, (F.col("listing_id") == listing_id) & F.col("date").between(start, end))
 
 
+@dataclass
+class Backfill:
+    """What a backfill leaves: quality and statistics of what could be read, errors of what could not, and the counters of both."""
+
+    quality: Quality
+    statistics: DataFrame
+    errors: DataFrame
+    counters: DataFrame
+
+
+def backfill_entries(ticks: DataFrame, statistics: DataFrame, listing_id: int, start: Column, end: Column, as_of: Column, mode: str = "all", reset: bool = False, params: Sequence[MetricParams] = METRICS, seconds: int = 60) -> Backfill:
+    """`backfill` in which an entry that holds records that can't be read is set aside with its error, and the others are done.
+
+    The table of hourly statistics is returned as it is afterwards: hours that were computed replace their rows, unless the
+    mode is issues, which leaves the table alone; with ``reset`` all rows of the range go first, so hours of which no entry could
+    be read are gone. Entries before the range serve as baseline and are not checked for errors.
+    """
+    own = ticks.where(F.col("listing_id") == listing_id)
+    inside = F.to_date("minute").between(start, end)
+    counts = own.where(inside).groupBy("listing_id", "minute").agg(F.count("*").alias("n"), F.count_if(ledger.unreadable(own)).alias("bad")).where("bad > 0")
+    errors = stored(counts.select("listing_id", "minute", F.format_string("%d of %d records can't be read", "bad", "n").alias("error")), "errors")
+    good = own.join(errors, ["listing_id", "minute"], "left_anti")
+    found, counters = backfill(good, listing_id, start, end, as_of, mode, params, seconds)
+    table = reset_statistics(statistics, listing_id, start, end) if reset and mode != "issues" else statistics
+    if mode != "issues":
+        table = tables.put(table, metrics.hourly_stats(found.values), "listing_id", "date", "hour", "metric")
+    counters = counters.union(errors.agg(F.lit("entries_failed"), F.count("*")))
+    return Backfill(found, table, errors, counters)
+
+
 @dataclass
 class Investigation:
     minutes: DataFrame
@@ -107,9 +137,14 @@ def investigate(values: DataFrame, manifest: DataFrame, issues: DataFrame, listi
     return Investigation(minutes, own(issues).where(near), metrics.combine(stats, "metric").where("n > 0"))
 
 
+def coverage_of_days(days: DataFrame, as_of: Column) -> DataFrame:
+    """Coverage rows of a table of `coverage.days`. The levels are written once, as all documents are made of them."""
+    return coverage.records(stored(coverage.levels(days), "levels"), as_of)
+
+
 def coverage_tables(inventory: DataFrame, as_of: Column) -> DataFrame:
-    """Coverage rows of a snapshot. The levels are written once, as all documents are made of them."""
-    return coverage.records(stored(coverage.levels(coverage.entries(inventory)), "levels"), as_of)
+    """Coverage rows of a snapshot."""
+    return coverage_of_days(coverage.days(coverage.entries(inventory)), as_of)
 
 
 # Jobs that end in tables.
@@ -120,11 +155,6 @@ def store_coverage(inventory: DataFrame, as_of: Column, path: str) -> None:
     io.snapshot(coverage_tables(inventory, as_of), path)
 
 
-def coverage_sink(path: str, as_of: Column) -> Callable[[DataFrame, int], None]:
-    """For a stream of inventory snapshots: each replaces the coverage table."""
-    return lambda snapshot, number: store_coverage(snapshot, as_of, path)
-
-
 def store_issues(issues: DataFrame, path: str) -> DataFrame:
     """Put issues into their table; reviewed ones stay. Returns rows without a key, with the error."""
     return io.upsert(issues.withColumn("date", F.to_date("minute")), path, "listing_id", "issue_id", keep_reviewed=True)
@@ -135,19 +165,55 @@ def store_gaps(found: DataFrame, path: str) -> DataFrame:
     return io.upsert(found.withColumn("date", F.to_date("minute")), path, "listing_id", "minute", keep_reviewed=True)
 
 
-def conversion_sink(jobs_path: str, out_path: str, ticks: DataFrame, listings: DataFrame, schema: str, as_of: Column) -> Callable[[DataFrame, int], None]:
-    """For a stream of merged entries: their jobs are created, run, and closed in the ledger; output is written by batch.
+#: What a job reads when it runs, not when it is set up: files that come meanwhile are seen.
+Reader = Callable[[SparkSession], DataFrame]
 
-    The ledger and the output are versions by batch, so a repeated batch replaces itself; it sees the ledger of those before.
-    """
-    keep, give = streams.versions_sink(jobs_path), streams.versions_sink(out_path)
+
+def ledger_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a ledger: those of jobs, with writer and version. A ledger is a folder of versions for each writer."""
+    schema = schemas.struct(f"{schemas.JOBS}, writer STRING, version INT")
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def ledger_sink(path: str, listings: Reader, as_of: Column, writer: str = "created") -> Callable[[DataFrame, int], None]:
+    """For a stream of merged entries: appends the jobs they call for and the ledger lacks. A repeated batch replaces its own."""
+    keep = streams.versions_sink(f"{path}/writer={writer}")
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        known = spark.read.parquet(jobs_path).where(F.col("version") < number) if exists(spark, jobs_path) else spark.createDataFrame([], schemas.struct(schemas.JOBS))
-        new = stored(ledger.created(batch, listings, known.select("job_id", "minute").distinct(), as_of, strict=False), "created")
-        out, closed = run_jobs(new, ticks, schema, as_of, listings=listings)
-        give(out, number)
-        keep(tables.put(new, closed, "job_id", "minute"), number)
+        known = ledger_rows(spark, path).where(~((F.col("writer") == writer) & (F.col("version") >= number)))
+        keep(ledger.created(batch, listings(spark), known.select(*ledger.JOB).distinct(), as_of, strict=False), number)
+
+    return write
+
+
+def process_pending(spark: SparkSession, path: str, out_path: str, ticks: Reader, listings: Reader, schema: str, as_of: Column, limit: int | None = None) -> int:
+    """Run the jobs of a schema that are pending in the ledger now, whoever created them and when; returns the run's number.
+
+    The number follows from the runs that the ledger holds, and jobs are closed after their output is written: a run that
+    broke off is repeated under the same number, and replaces what it had written. One run of a schema at a time.
+    """
+    rows = ledger_rows(spark, path)
+    run = 1 + (rows.where(F.col("writer") == schema).agg(F.max("version")).first()[0] or 0)
+    due = stored(ledger.pending(ledger.current(rows), schema, limit), "due")
+    out, closed = run_jobs(due, ticks(spark), schema, as_of, listings=listings(spark))
+    versions(out, out_path, run)
+    versions(closed, f"{path}/writer={schema}", run)
+    return run
+
+
+def versions(rows: DataFrame, path: str, number: int) -> None:
+    """Replace one version of a table whose numbers are not those of a stream's batches."""
+    rows.write.mode("overwrite").parquet(f"{path}/version={number}")
+
+
+def conversion_sink(path: str, out_path: str, ticks: Reader, listings: Reader, schema: str, as_of: Column) -> Callable[[DataFrame, int], None]:
+    """For a stream of merged entries: their jobs are created in the ledger, and all that are pending for the schema are run,
+    also those that other streams or earlier runs have created. Several schemas may share a ledger, each with a sink."""
+    create = ledger_sink(path, listings, as_of, f"created-for-{schema}")
+
+    def write(batch: DataFrame, number: int) -> None:
+        create(batch, number)
+        process_pending(batch.sparkSession, path, out_path, ticks, listings, schema, as_of)
 
     return write

@@ -313,3 +313,41 @@ SQL["c10_bars_of_mbp1"] = SQL["c03_ohlcv_1m"]
 SQL["r08_statistics_mode"] = SQL["a08_minute_metrics"]
 SQL["r08_issues_mode"] = _with("SELECT * FROM all_issues", *V, baselines(TUNED, True), scores(TUNED), *static_issues(3600), ALL_ISSUES)
 SQL["q06_backfill_of_a_day"] = _with(f"SELECT issue_id, rule_type, minute, record_count FROM all_issues WHERE listing_id = {LISTING} AND {day('minute')} = DATE '{DAY}'", *CHECK)
+
+SQL["t03_merged_inventories"] = SQL["t03_coverage_levels"]
+SQL["x11_split_snapshot"] = SQL["q09_coverage_records"]
+SQL["x11_incomplete_snapshot"] = SQL["q09_coverage_records"].replace("FROM inv)", f"FROM inv WHERE minute < epoch(TIMESTAMP '{DAY}'))")
+SQL["x05_restarted_runs"] = SQL["x05_converted_entries"]
+SQL["x05_shared_ledger"] = ledger(f"SELECT job_id, minute, schema, CASE WHEN schema IN ('ohlcv-1m', 'trades', 'ohlcv-1h') THEN 'COMPLETE' ELSE 'PENDING' END AS status, CAST(CASE WHEN schema IN ('ohlcv-1m', 'trades', 'ohlcv-1h') THEN {AS_OF + 604800} ELSE 0 END AS BIGINT) AS expires_at FROM jb")
+SQL["x08_late_minutes"] = of_gaps("SELECT listing_id, minute FROM gap_rows")
+SQL["q04_detected_gaps"] = SQL["q04_gap_rows"].replace("false AS expected", f"false AS expected, CAST({AS_OF} AS BIGINT) AS created_at")
+_UP = "1.000000000001::DOUBLE"  # halves are rounded up in the text
+_DIGITS = lambda c: f"CAST(printf('%.4g', {c} * {_UP}) AS DOUBLE)"
+SQL["p19_anomaly_text"] = _with(f"""SELECT listing_id, CAST(minute AS VARCHAR) || '#' || rule AS issue_id, metric, {_DIGITS("value")} AS value, CAST(printf('%.1f', abs(value - mean) / sd * {_UP}) AS DOUBLE) AS deviations,
+  {_DIGITS("mean")} AS mean, {_DIGITS("sd")} AS stddev, CASE WHEN value >= mean THEN 'above' ELSE 'below' END AS side FROM sc WHERE anomalous""", *V, baselines(TUNED), scores(TUNED))
+SQL["s09_inventory_notices"] = SQL["s08_notified_keys"]
+SQL["x06_minute_windows"] = SQL["x06_window_counts"].replace("3600000000000 AS BIGINT) * 3600", "60000000000 AS BIGINT) * 60")
+SQL["w04_kept_baseline"] = SQL["w04_asof_baseline"]
+
+
+def of(table: str, *parts: str) -> tuple[str, ...]:
+    """The same parts over another table of ticks."""
+    return tuple(p.replace("FROM ticks", f"FROM {table}") for p in parts)
+
+
+MERGED = f"merged AS (SELECT t.* FROM ticks t JOIN best b USING ({FILE}, capture_id) WHERE b.rk = 1)"
+SQL["x04_late_captures"] = _with("""SELECT 'issue' AS kind, listing_id, minute, metric, round(value, 8) AS value, round(mean, 8) AS mean, round(sd, 6) AS stddev FROM sc WHERE anomalous
+  UNION ALL SELECT 'gap', listing_id, minute, '', NULL, NULL, NULL FROM gap_rows""", COUNTS, BEST, MERGED, *of("merged", *V), baselines(TUNED), scores(TUNED), ON_TIME, LAST, near(300), "rep AS (SELECT * FROM nb WHERE missing > 0)", GAP_ROWS)
+SQL["w06_compacted_versions"] = ledger(f"SELECT job_id, minute, 'COMPLETE' AS status, minute + 604800 AS expires_at, true AS bounded FROM jb WHERE schema = 'trades' AND minute + 604800 > {CENTER}")
+BROKEN = f"bk AS (SELECT listing_id, minute, count(*) AS n, count(*) FILTER (pos % 97 = 0) AS bad FROM ticks WHERE {RANGE} GROUP BY ALL HAVING bad > 0)"
+GOOD = "good AS (SELECT t.* FROM ticks t ANTI JOIN bk ON bk.listing_id = t.listing_id AND bk.minute = t.minute)"
+GOOD_CHECK = (BROKEN, GOOD, *of("good", *CHECK))
+SQL["q06_backfill_with_errors"] = _with(f"SELECT issue_id, rule_type, minute, record_count FROM all_issues WHERE {RANGE}", *GOOD_CHECK)
+SQL["q06_backfill_errors"] = _with("SELECT listing_id, minute, CAST(bad AS VARCHAR) || ' of ' || CAST(n AS VARCHAR) || ' records can''t be read' AS error FROM bk", BROKEN)
+SQL["a19_counters_with_errors"] = _with(f"SELECT 'entries_processed' AS counter, count(DISTINCT minute) AS value FROM good WHERE {RANGE} UNION ALL SELECT 'issues_found', count(*) FROM all_issues WHERE {RANGE} UNION ALL SELECT 'entries_failed', count(*) FROM bk", *GOOD_CHECK)
+SQL["q06_reset_statistics"] = _with(f"SELECT {STAT_ROWS}", BROKEN, GOOD, *of("good", *V), STATS)
+SQL["q06_kept_statistics"] = SQL["u03_merged_statistics"]
+SQL["s01_pruned_captures"] = SQL["s01_captures_of_minute"]
+SQL["s03_pruned_day"] = SQL["s03_entries_of_day"]
+SQL["q01_bucketed_merge"] = SQL["q01_merged_ticks"]
+SQL["r09_bucketed_issues"] = SQL["r09_static_issues"]

@@ -55,12 +55,12 @@ def sorted_entries(entries: DataFrame, *tie: str) -> DataFrame:
     return entries.orderBy("minute", *tie)
 
 
-def inventory_lines(lines: DataFrame) -> DataFrame:
+def inventory_lines(lines: DataFrame, *carry: str) -> DataFrame:
     """(key, size) of inventory lines (column `value`): lines of under five fields are left out; the sixth is the size, else 0."""
     field = lambda i: F.regexp_replace(F.get(F.col("_f"), F.lit(i)), '^"|"$', "")
-    parts = lines.select(F.split("value", ",").alias("_f")).where(F.size("_f") >= 5)
+    parts = lines.select(F.split("value", ",").alias("_f"), *carry).where(F.size("_f") >= 5)
     size = F.when(F.size("_f") >= 6, F.coalesce(F.trim(field(5)).try_cast("long"), F.lit(0))).otherwise(F.lit(0))
-    return parts.select(field(1).alias("key"), size.alias("size"))
+    return parts.select(field(1).alias("key"), size.alias("size"), *carry)
 
 
 def read_inventory(spark: SparkSession, *paths: str) -> DataFrame:

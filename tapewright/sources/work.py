@@ -28,10 +28,44 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is such a folder, in whatever store it is."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    store, place = _place(spark, path)
+    return store.exists(place)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders, in whatever store they are."""
+    for path in paths:
+        store, place = _place(spark, path)
+        store.delete(place, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where there is no such folder."""
+    store, place = _place(spark, path)
+    if not store.exists(place):
+        return []
+    return sorted(f.getPath().getName() for f in store.listStatus(place) if f.isDirectory())
+
+
+def claimed(spark: SparkSession, path: str, owner: str) -> str:
+    """Who owns a folder: what the file `_owner` in it says, which is written where there is none yet."""
+    store, place = _place(spark, f"{path}/_owner")
+    if not store.exists(place):
+        out = store.create(place, True)
+        out.writeBytes(owner)
+        out.close()
+        return owner
+    given = store.open(place)
+    found = spark._jvm.org.apache.commons.io.IOUtils.toString(given, "UTF-8")
+    given.close()
+    return found
 
 
 def ordered(df: DataFrame, path: str) -> int:

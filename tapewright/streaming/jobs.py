@@ -6,31 +6,49 @@ capture reads the affected minutes from the table, not from the batch, and repla
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..config import GAP_SEARCH_MINUTES, METRICS
-from ..operators import gaps, merge, tables
+from ..config import GAP_SEARCH_MINUTES, METRICS, MetricParams
+from ..operators import baseline, gaps, merge, tables
 from ..sources import io
-from ..sources.work import exists, work_dir
+from ..sources.work import claimed, exists, stored, work_dir
+from .gap_state import GapState
 
 #: How long late captures are waited for before gaps are looked for.
 LATENESS = "15 minutes"
 
 
-def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Run a stream over all input that is there, in micro-batches, and wait."""
-    spark = stream.sparkSession
-    query = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", work_dir(spark, "stream")).trigger(availableNow=True).start()
+def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None) -> None:
+    """Run a stream over all input that is there, in micro-batches, and wait.
+
+    With a checkpoint the run goes on where the one before ended, and batch numbers go on counting. Without one it is the
+    only run of its sink; `Scheduled` is for those that come back.
+    """
+    checkpoint = checkpoint or work_dir(stream.sparkSession, "stream")
+    query = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
+@dataclass(frozen=True)
+class Scheduled:
+    """A job that runs again and again over what has come since its last run.
+
+    Its checkpoint lies in its own lasting folder. So each file is read by one run only, also where it is removed
+    after that, and the numbers of batches, by which versions are named, never come twice. A run that broke off is gone on with.
+    """
+
+    folder: str
+
+    def run(self, stream: DataFrame, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+        run_available(stream, sink, mode, f"{self.folder}/checkpoint")
+
+
 def start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, every: str = "3 minutes", mode: str = "append") -> StreamingQuery:
     """Run a stream for good, in batches of the given time."""
     return stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
@@ -40,11 +58,20 @@ def file_stream(spark: SparkSession, path: str, schema: Any, fmt: str = "parquet
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files).load(path)
 
 
+def _of_this_job(batch: DataFrame, path: str) -> None:
+    """A table of versions belongs to one job, as the numbers of another's batches would replace its versions. Jobs are told
+    apart by the id that their checkpoint keeps; a batch outside a stream has none."""
+    own = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if own is not None and claimed(batch.sparkSession, path, own) != own:
+        raise RuntimeError(f"{path} holds the versions of another job; run this one with that job's checkpoint or give it a table of its own")
+
+
 def versions_sink(path: str, *by: str) -> Callable[[DataFrame, int], None]:
     """Each batch replaces its own partition, so that a repeated batch leaves one copy; the batch is the version. ``by``
-    parts it further."""
+    parts it further. The table belongs to the job that first writes to it."""
 
     def write(batch: DataFrame, number: int) -> None:
+        _of_this_job(batch, path)
         batch.withColumn("version", F.lit(number)).write.partitionBy("version", *by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
     return write
@@ -70,27 +97,17 @@ def distinct_notifications(messages: DataFrame, received: str, lateness: str = L
     return rows.select(received, F.col("r.s3.object.key").alias("key")).where("key is not null").dropDuplicatesWithinWatermark(["key"])
 
 
-def gaps_on_arrival(minutes: DataFrame, search_minutes: int = 2880) -> DataFrame:
-    """Gaps as minutes arrive: listing_id, previous, minute, missing (epoch seconds). State: the last minute of a listing.
+def gaps_on_arrival(minutes: DataFrame, search_minutes: int = GAP_SEARCH_MINUTES, lateness: str | None = None) -> DataFrame:
+    """Gaps as minutes (listing_id, minute) arrive: listing_id, previous, minute, missing (epoch seconds), present.
 
-    Minutes at or before the last one of their listing close nothing and are passed over; the batch twin, gaps.neighbours, sees all minutes
-    in order.
+    The batch twin is gaps.neighbours. A late minute takes the gap back that it falls in (present is false) and gives those
+    that are left on its sides; the latest version of (listing_id, previous, minute) counts. Minutes that come
+    later than ``lateness`` (the search span, if not given) are passed over. See `gap_state` for what is kept.
     """
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        found = []
-        for minute in sorted({int(m) for f in frames for m in f["minute"]}):
-            if last is not None and minute <= last:
-                continue
-            if last is not None and 60 < minute - last <= search_minutes * 60:
-                found.append((key[0], last, minute, (minute - last) // 60 - 1))
-            last = minute
-        if last is not None:
-            state.update((last,))
-        yield pd.DataFrame(found, columns=["listing_id", "previous", "minute", "missing"])
-
-    return minutes.groupBy("listing_id").applyInPandasWithState(step, "listing_id int, previous long, minute long, missing long", "last long", "append", GroupStateTimeout.NoTimeout)
+    spark = minutes.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    dated = minutes.select("listing_id", "minute").withWatermark("minute", lateness or f"{search_minutes} minutes")
+    return dated.groupBy("listing_id").transformWithStateInPandas(GapState(search_minutes), GapState.OUTPUT, "Update", "EventTime")
 
 
 def merge_sink(raw_path: str, merged_path: str, strategy: str = "most_records") -> Callable[[DataFrame, int], None]:
@@ -109,23 +126,86 @@ def merge_sink(raw_path: str, merged_path: str, strategy: str = "most_records")
     return write
 
 
+def baseline_sink(sums_path: str, out_path: str, params: Sequence[MetricParams] = METRICS) -> Callable[[DataFrame, int], None]:
+    """Batches of metric values in order of time: each value with its baseline as of its minute.
+
+    What a batch needs of the past are sums by listing, metric, date and hour, which each batch adds to; no value is
+    read again. Of the sums only the listings of the batch and dates that a baseline can reach are read.
+    """
+    add, give = versions_sink(sums_path, "date"), versions_sink(out_path)
+
+    def write(batch: DataFrame, number: int) -> None:
+        history = _earlier_sums(batch, sums_path, number, max(p.lookback for p in params))
+        give(baseline.asof_baselines(batch, params, history=history), number)
+        add(baseline.hourly_sums(batch), number)
+
+    return write
+
+
+_HOURLY_SUMS = "listing_id int, metric string, hour int, c bigint, s double, q double, version int, date date"
+
+
+def _earlier_sums(batch: DataFrame, path: str, number: int, lookback_days: int) -> DataFrame | None:
+    spark = batch.sparkSession
+    if not exists(spark, path):
+        return None
+    first = batch.agg(F.to_date(F.min("minute"))).first()[0]
+    sums = spark.read.schema(_HOURLY_SUMS).parquet(path).where((F.col("version") < number) & (F.col("date") >= F.date_sub(F.lit(first), lookback_days)))
+    return sums.join(batch.select("listing_id").distinct(), "listing_id", "left_semi")
+
+
 def score_sink(values_path: str, issues_path: str, score: Callable[[DataFrame], DataFrame], lookback_days: int = max(p.lookback for p in METRICS)) -> Callable[[DataFrame, int], None]:
-    """Batches of metric values: appended as versions, then scored against the table as of each minute. Of the table only
-    listings of the batch and dates that a baseline of it can reach are read.
+    """Batches of metric values, new ones and ones that replace earlier ones, in any order: appended as versions, then scored
+    as of each minute together with what they change: all later minutes of their listing that a baseline reaches.
 
-    A repeated batch replaces its own versions, and only the issues of its own minutes are given, so results equal those of a batch run.
+    The minutes that a batch has scored are noted beside its issues. `current_issues` gives those of the latest scoring of each minute,
+    which equal those of a batch run over the latest values. Of the table only listings of the batch and dates within
+    the reach of a baseline, before and after, are read. A repeated batch replaces its own versions.
     """
-    store, issues = versions_sink(values_path, "date"), versions_sink(issues_path)
+    store, issues, marks = versions_sink(values_path, "date"), versions_sink(f"{issues_path}/issues"), versions_sink(f"{issues_path}/scored")
 
     def write(batch: DataFrame, number: int) -> None:
         store(batch.withColumn("date", F.to_date("minute")), number)
-        first = batch.agg(F.to_date(F.min("minute"))).first()[0]
-        table = batch.sparkSession.read.parquet(values_path).where(F.col("date") >= F.date_sub(F.lit(first), lookback_days)).drop("date")
-        table = table.join(batch.select("listing_id").distinct(), "listing_id", "left_semi")
-        newest = Window.partitionBy("listing_id", "minute", "metric").orderBy(F.col("version").desc())
-        values = table.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", "version")
-        fresh = batch.select("listing_id", "minute").distinct()
+        spark = batch.sparkSession
+        since = batch.groupBy("listing_id").agg(F.min("minute").alias("since"), F.max("minute").alias("until"))
+        first, last = batch.agg(F.to_date(F.min("minute")), F.to_date(F.max("minute"))).first()
+        reach = F.col("date").between(F.date_sub(F.lit(first), lookback_days), F.date_add(F.lit(last), lookback_days))
+        table = spark.read.parquet(values_path).where(reach & (F.col("version") <= number)).drop("date")
+        table = table.join(since.select("listing_id"), "listing_id", "left_semi")
+        # the values of a minute come together: a minute that is given again has those of its last version only
+        values = table.withColumn("_newest", F.max("version").over(Window.partitionBy("listing_id", "minute"))).where("version = _newest").drop("_newest", "version")
+        # a baseline reaches back whole days
+        changed = (F.col("minute") >= F.col("since")) & (F.datediff("minute", "until") <= lookback_days)
+        fresh = values.select("listing_id", "minute").distinct().join(since, "listing_id").where(changed).select("listing_id", "minute")
         issues(score(values).join(fresh, ["listing_id", "minute"], "left_semi"), number)
+        marks(fresh, number)
+
+    return write
+
+
+def current_issues(spark: SparkSession, issues_path: str) -> DataFrame:
+    """Issues of the latest scoring of each minute."""
+    scored = spark.read.parquet(f"{issues_path}/scored").groupBy("listing_id", "minute").agg(F.max("version").alias("version"))
+    return spark.read.parquet(f"{issues_path}/issues").join(scored, ["listing_id", "minute", "version"], "left_semi").drop("version")
+
+
+def capture_sink(raw_path: str, merged_path: str, values: Callable[[DataFrame], DataFrame], *sinks: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Batches of notified raw entries to the end: their minutes are merged again, and what the merged minutes now hold goes on
+    to the sinks of metrics and scores (`score_sink`), of gaps (`gap_sink`) or others, as rows that ``values`` makes of merged ticks.
+
+    So a capture that comes late changes the merged minute, its metrics, the scores of later minutes, and gaps. Hours that
+    hold an affected minute are read from the merged table after they have been replaced.
+    """
+    merge_ = merge_sink(raw_path, merged_path)
+
+    def write(batch: DataFrame, number: int) -> None:
+        merge_(batch, number)
+        spark = batch.sparkSession
+        affected = merge.affected_minutes(batch)
+        hours = affected.select(F.to_date("minute").alias("date"), "exchange_id", F.hour("minute").alias("hour")).distinct()
+        merged = spark.read.parquet(merged_path).join(hours, ["date", "exchange_id", "hour"], "left_semi")
+        rows = stored(values(merged.join(affected, list(merge.KEY), "left_semi").drop("date", "hour")), "values")
+        fan_out(*sinks)(rows, number)
 
     return write
 
@@ -187,12 +267,3 @@ def _gap_versions(spark: SparkSession, gaps_path: str) -> DataFrame:
 def current_gaps(spark: SparkSession, gaps_path: str) -> DataFrame:
     """Minutes that are missing by the latest version: listing_id, minute."""
     return tables.latest(_gap_versions(spark, gaps_path), "listing_id", "minute").where("present").select("listing_id", "minute")
-
-
-def inventory_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Inventory files as they come, as (key, size)."""
-    return io.inventory_lines(file_stream(spark, path, "value string", "text"))
-
-
-def as_epoch(minute: Column) -> Column:
-    return F.unix_timestamp(minute)

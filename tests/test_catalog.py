@@ -11,8 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from tapewright.operators import baseline
+from tapewright.operators import baseline, coverage, merge, metrics, rules
 from tapewright.plans import catalog, harness, oracle
+from tapewright.sources import layout
+from tapewright.sources.work import stored
 from tapewright.streaming import jobs as streams
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -59,6 +61,34 @@ def test_scans_read_few_columns_and_baselines_make_no_range_join(spark, sf):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_a_bucketed_table_is_pruned_and_not_shuffled(spark, sf):
+    """Partition filters reach the scan; merging, rules and metrics by file have no exchange, also where no side is broadcast."""
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = catalog._tick_table(spark, sf)
+        plan = text(layout.captures(table, 1, 0, harness.SOURCE, F.timestamp_seconds(F.lit(catalog.CENTER))))
+        pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "date" in pruned and "exchange_id" in pruned
+        for df in (merge.merge(table), merge.deficits(merge.capture_counts(table)), rules.static_issues(table, F.current_timestamp()), metrics.file_metrics(table)):
+            assert "Exchange" not in text(df) and "Scan parquet" in text(df)
+        assert "Exchange" in text(merge.merge(harness.ticks(spark, sf)))
+        days = table.select("date", "exchange_id").distinct().count()
+        files = layout.of_day(table, F.to_date(F.lit("2024-01-20"))).select(F.input_file_name()).distinct().count()
+        assert 0 < files <= 8 * 2 < len(table.inputFiles()) and days > 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+
+
+def test_coverage_shuffles_entries_once(spark, sf):
+    """After bitmaps are made nothing is grouped by minute."""
+    plan = coverage.levels(stored(catalog._entries(spark, sf), "entries"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange hashpartitioning") == 3
+    assert "minute" not in " ".join(x.split(")")[0] for x in plan.split("hashpartitioning(")[1:])
+
+
 def test_streams_equal_batches_and_replays_change_nothing(spark, sf, tmp_path):
     ticks = harness.ticks(spark, sf, "minute").select("listing_id", "minute", F.lit("price").alias("metric"), (F.col("price") / 1e9).alias("value"))
     sink = streams.versions_sink(str(tmp_path / "v"))
@@ -73,7 +103,7 @@ def test_scores_of_batches_equal_those_of_the_whole(spark, tmp_path):
     sink = streams.score_sink(str(tmp_path / "values"), str(tmp_path / "issues"), score)
     for number, cut in enumerate([("2024-01-01", "2024-01-12"), ("2024-01-12", "2024-01-24"), ("2024-01-24", "2024-02-10")]):
         sink(values.where(F.col("minute").cast("date") >= cut[0]).where(F.col("minute").cast("date") < cut[1]), number)
-    got = {(r.minute, r.value) for r in spark.read.parquet(str(tmp_path / "issues")).collect()}
+    got = {(r.minute, r.value) for r in streams.current_issues(spark, str(tmp_path / "issues")).collect()}
     assert got == {(r.minute, r.value) for r in score(values).collect()} and got
 
 

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tapewright.functions import fields, keys
-from tapewright.sources import io
+from tapewright.sources import io, layout
 
 KEYS = ["41/7/2023/11/2/9/5/mbp-10.zst", "41/7/2023/11/2/9/5/mbp-10/node-b.zst", "1/2/2024/12/31/0/0/ohlcv-1h.zst", "some/other/file.txt", "1/2/2024/13/1/0/0/mbo.zst", "1/2/2024/1/1/0/0/mbo.zst/", "", None, "99999999999/2/2024/1/1/0/0/mbo.zst"]
 
@@ -86,3 +86,12 @@ def test_missing_listings_are_skipped_or_fail(spark):
     assert [r.listing_id for r in io.with_listing(entries, listings).collect()] == [7]
     with pytest.raises(PySparkException):
         io.with_listing(entries, listings, missing="fail").collect()
+
+
+def test_ragged_books_are_an_error(spark):
+    rows = [([1, 2], [3, 4], None, 1), ([], [], [], 2), (None, None, None, 3)]
+    schema = "bid_px array<bigint>, ask_px array<bigint>, bid_sz array<bigint>, pos int"
+    good = spark.createDataFrame(rows, schema)
+    assert sorted(r.pos for r in layout.even(good).collect()) == [1, 2, 3]
+    with pytest.raises(PySparkException, match="differ in depth"):
+        layout.even(good.union(spark.createDataFrame([([1, 2], [3], None, 4)], schema))).select("ask_px").collect()
