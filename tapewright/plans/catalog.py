@@ -1014,10 +1014,17 @@ def q04_detected_gaps(spark, sf):
 
 @query
 def p19_anomaly_text(spark, sf):
-    """What statistical issues say, taken apart again: metric, value, deviations, side, mean and deviation."""
-    found = baseline.statistical_issues(metrics.file_metrics(harness.ticks(spark, sf)), None, as_of(), TUNED)
+    """What statistical issues say, taken apart again: metric and side, and whether the numbers are those of the score to the
+    digits that the text has. (Halves are rounded up there, by the shortest decimal form, which SQL has no function for.)"""
+    values = stored(metrics.file_metrics(harness.ticks(spark, sf)), "values")
+    found = baseline.statistical_issues(values, None, as_of(), TUNED)
     part = lambda i: F.regexp_extract("details", r"^(\S+) (\S+) is (\S+)σ (\S+) conditional mean of (\S+) \(σ=(\S+)\)$", i)
-    return found.select("listing_id", "issue_id", part(1).alias("metric"), *(part(i).cast("double").alias(n) for i, n in ((2, "value"), (3, "deviations"), (5, "mean"), (6, "stddev"))), part(4).alias("side"))
+    said = found.select("listing_id", "issue_id", "minute", part(1).alias("metric"), part(4).alias("side"), *(part(i).cast("double").alias(n) for i, n in ((2, "s_value"), (3, "s_off"), (5, "s_mean"), (6, "s_dev"))))
+    score = baseline.scored(values, TUNED).where("anomalous").select("listing_id", "minute", "metric", "value", "mean", "stddev")
+    four = lambda text, x: F.abs(F.col(text) - x) <= F.lit(0.501) * F.pow(F.lit(10.0), F.floor(F.log10(F.greatest(x, F.lit(1e-12)))) - 3)
+    off = F.abs(F.abs(F.col("value") - F.col("mean")) / F.col("stddev") - F.col("s_off")) <= 0.0501
+    agrees = four("s_value", F.col("value")) & four("s_mean", F.col("mean")) & four("s_dev", F.col("stddev")) & off
+    return said.join(score, ["listing_id", "minute", "metric"]).select("listing_id", "issue_id", "metric", "side", rounded("value"), rounded("mean"), rounded("stddev", 6), agrees.alias("agrees"))
 
 
 @query

@@ -321,10 +321,8 @@ SQL["x05_restarted_runs"] = SQL["x05_converted_entries"]
 SQL["x05_shared_ledger"] = ledger(f"SELECT job_id, minute, schema, CASE WHEN schema IN ('ohlcv-1m', 'trades', 'ohlcv-1h') THEN 'COMPLETE' ELSE 'PENDING' END AS status, CAST(CASE WHEN schema IN ('ohlcv-1m', 'trades', 'ohlcv-1h') THEN {AS_OF + 604800} ELSE 0 END AS BIGINT) AS expires_at FROM jb")
 SQL["x08_late_minutes"] = of_gaps("SELECT listing_id, minute FROM gap_rows")
 SQL["q04_detected_gaps"] = SQL["q04_gap_rows"].replace("false AS expected", f"false AS expected, CAST({AS_OF} AS BIGINT) AS created_at")
-_UP = "1.000000000001::DOUBLE"  # halves are rounded up in the text
-_DIGITS = lambda c: f"CAST(printf('%.4g', {c} * {_UP}) AS DOUBLE)"
-SQL["p19_anomaly_text"] = _with(f"""SELECT listing_id, CAST(minute AS VARCHAR) || '#' || rule AS issue_id, metric, {_DIGITS("value")} AS value, CAST(printf('%.1f', abs(value - mean) / sd * {_UP}) AS DOUBLE) AS deviations,
-  {_DIGITS("mean")} AS mean, {_DIGITS("sd")} AS stddev, CASE WHEN value >= mean THEN 'above' ELSE 'below' END AS side FROM sc WHERE anomalous""", *V, baselines(TUNED), scores(TUNED))
+SQL["p19_anomaly_text"] = _with("""SELECT listing_id, CAST(minute AS VARCHAR) || '#' || rule AS issue_id, metric, CASE WHEN value >= mean THEN 'above' ELSE 'below' END AS side,
+  round(value, 8) AS value, round(mean, 8) AS mean, round(sd, 6) AS stddev, true AS agrees FROM sc WHERE anomalous""", *V, baselines(TUNED), scores(TUNED))
 SQL["s09_inventory_notices"] = SQL["s08_notified_keys"]
 SQL["x06_minute_windows"] = SQL["x06_window_counts"].replace("3600000000000 AS BIGINT) * 3600", "60000000000 AS BIGINT) * 60")
 SQL["w04_kept_baseline"] = SQL["w04_asof_baseline"]
