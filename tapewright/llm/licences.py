@@ -6,15 +6,16 @@ word or sign followed by a year, `(c)`, the other sign or 'by', or reserves all
 licence texts, made in the same way, in a hash join. Looked up are:
 
 * the whole text;
-* each line, as notices often stand alone on a line of a longer text. Of a copyright line only the statement (sign, years,
-  holder) is left out: what stands behind it is looked up if it opens as a known text does. 'All rights reserved' at a
-  line's end is a notice of its own, with `rights`;
+* each line, as notices often stand alone on a line of a longer text, SPDX identifiers among them. Of a line with a copyright
+  statement (sign, years, holder) what stands before it is looked up, and what stands behind it if it opens as a known text
+  does; before one that opens its line there is nothing. 'All rights reserved' at a line's end is a notice of its own,
+  with `rights`, and what stands before it is looked up as if it were not there;
 * every place inside a text where the first words of a known text of at least `INNER` words stand, with as many characters as
   that text has: full texts and wrapped notices within longer documents.
 
 Only lines that are as long as a known text are digested, which loses none. The table of known texts is small and of fixed
-size (some 200 rows), and its digests are broadcast. It holds notices (`KNOWN`) and full texts, with and without
-title (`full_texts`).
+size (some 250 rows), and its digests are broadcast. It holds notices, headers of source files and SPDX identifiers
+(`KNOWN`) and full texts, with and without title (`full_texts`).
 
 Defined cases: null texts are empty and match nothing. Repeated rows get equal results. Ids may be null. A line
 that repeats is listed each time. Lines and texts of any length are looked up. Empty tables give no rows. Further columns
@@ -63,6 +64,26 @@ KNOWN: list[tuple[str, str]] = [
     ),
 ]
 
+# Headers of source files, by SPDX id; the first paragraph says which licence it is, and is known without the rest.
+_APACHE_MAY = "You may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0"
+_APACHE_UNLESS = "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."
+_GNU_FIRST = "This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+_GNU_SECOND = "This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+_GNU_THIRD = "You should have received a copy of the GNU {name} along with this {what}. If not, see <https://www.gnu.org/licenses/>."
+_GNU = [("GPL-2.0", "program", "General Public License", "2"), ("GPL-3.0", "program", "General Public License", "3"), ("LGPL-2.1", "library", "Lesser General Public License", "2.1"), ("LGPL-3.0", "library", "Lesser General Public License", "3")]
+HEADERS: list[tuple[str, str]] = [
+    ("Apache-2.0", _APACHE_MAY),
+    ("Apache-2.0", _APACHE_MAY.replace("You", "you", 1)),
+    ("Apache-2.0", f"Licensed under the Apache License, Version 2.0 (the \"License\");\n{_APACHE_MAY}\n\n{_APACHE_UNLESS}"),
+]
+for _licence, _what, _name, _version in _GNU:
+    _parts = [part.format(what=_what, name=_name, version=_version) for part in (_GNU_FIRST, _GNU_SECOND, _GNU_THIRD)]
+    HEADERS += [(_licence, _parts[0]), (_licence, "\n\n".join(_parts[:2])), (_licence, "\n\n".join(_parts))]
+#: Licences whose SPDX identifier is looked for, as it is and with the suffixes that newer lists have.
+IDENTIFIERS = ("0BSD", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0", "Unlicense", "Zlib")
+SPDX: list[tuple[str, str]] = [(i, f"SPDX-License-Identifier: {i}{suffix}") for i in IDENTIFIERS for suffix in (("", "-only", "-or-later") if "GPL" in i else ("",))]
+KNOWN += HEADERS + SPDX
+
 # Spellings that mean the same, in lower case, and the one that stands for them.
 SPELLINGS: list[tuple[str, str]] = [
     ("licence", "license"),
@@ -130,6 +151,10 @@ BSD_HOLDERS = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A copyright line: it opens with the word or a sign and goes on with a year, a sign or 'by', or it reserves all rights.
 COPYRIGHT_LINE = r"(^|\n)[ \t*#/-]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|by[ \t])|\(c\)[ \t]*(copyright|[0-9]{4})|©|all rights reserved)[^\n]*"
+#: A copyright statement anywhere in a line: the word or a sign with a year.
+STATEMENT = r"(copyright[ \t]*(\(c\)|©)?[ \t]*[0-9]{4}|\(c\)[ \t]*[0-9]{4}|©[ \t]*[0-9]{4})"
+#: What reserves rights at a line's end, in canonical form.
+RESERVED = "all rights reserved"
 #: Runs of anything but letters, digits, line ends and signs beyond ASCII (the copyright sign aside).
 SIGNS = r"[^a-z0-9\n\x{80}-\x{A8}\x{AA}-\x{10FFFF}]+"
 
@@ -244,14 +269,14 @@ def _inside(whole: str, inner: list[str]) -> Column:
     for opening, lengths in openings(inner).items():
         size = len(opening)
         places = f"aggregate(slice(split({whole}, '{opening}', -1), 1, size(split({whole}, '{opening}', -1)) - 1), named_struct('at', 0, 'out', cast(array() as array<int>)), (acc, x) -> named_struct('at', acc.at + char_length(x) + {size}, 'out', concat(acc.out, array(acc.at + char_length(x)))), acc -> acc.out)"
-        found = f"flatten(transform(filter({places}, p -> p = 0 or substr({whole}, p, 1) = ' '), p -> transform(filter(array({', '.join(map(str, lengths))}), n -> substr({whole}, p + n + 1, 1) in ('', ' ')), n -> named_struct('at', p, 'form', substr({whole}, p + 1, n)))))"
+        found = f"flatten(transform(filter({places}, p -> p = 0 or substr({whole}, p, 1) = ' '), p -> transform(filter(array({', '.join(map(str, lengths))}), n -> p + n <= char_length({whole}) and substr({whole}, p + n + 1, 1) in ('', ' ')), n -> named_struct('at', p, 'form', substr({whole}, p + 1, n)))))"
         parts.append(f"if(contains({whole}, '{opening}'), {found}, {none})")
     return F.expr(f"concat({', '.join(parts)})")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: list[tuple[str, str]] | None = None, rights: bool = True) -> DataFrame:
-    """One row per row: id_col, digest (of the whole text), licence (of the whole text, or null), n_lines (with a
-    known licence), licences (of those lines, in the order of the lines, comma-joined; empty: none) and inside (licences of
+    """One row per row: id_col, digest (of the whole text), licence (of the whole text, or null), n_lines (notices found
+    on lines), licences (of those, in the order of the lines, comma-joined; empty: none) and inside (licences of
     known texts anywhere in the text, each once, by first place).
 
     Each text is read once; what may be a known text, few and short rows, is stored under a number of its row and meets
@@ -270,15 +295,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     rows = rows.withColumn("_whole", _in_one_line(F.col("_lines")))
     rest = rest_pattern(forms)
 
-    def with_statement(line: Column) -> Column:
+    def parts(line: Column) -> Column:
+        """What is looked up of a line that may hold a statement or reservation: what stands before and behind it."""
         plain = F.trim(_in_lines(line))
-        behind = F.regexp_extract(plain, f"(?:^| )({rest})$", 1) if rest else F.lit("")
-        return F.when(line.rlike(COPYRIGHT_LINE), behind).otherwise(plain)
-
-    line = lambda made: lambda x, i: F.struct(i.alias("at"), made(x).alias("form"))
-    lines = F.when(F.col("_stated"), F.transform(F.split("_lower", "\n"), line(with_statement))).otherwise(F.transform(F.split("_lines", "\n"), line(F.trim)))
+        reserves = (plain == RESERVED) | plain.endswith(f" {RESERVED}")
+        head = F.when(reserves, F.trim(F.substring(plain, F.lit(1), F.char_length(plain) - len(RESERVED)))).otherwise(plain)
+        behind = F.regexp_extract(head, f"(?:^| )({rest})$", 1) if rest else F.lit("")
+        before = F.trim(_in_lines(F.regexp_extract(line, f"^(.*?){STATEMENT}", 1)))
+        found = F.when(line.rlike(COPYRIGHT_LINE), F.array(behind)).when(line.rlike(STATEMENT), F.array(before, behind)).otherwise(F.array(head))
+        return F.concat(found, F.when(reserves, F.array(F.lit(RESERVED))).otherwise(F.array().cast("array<string>")))
+
+    placed = lambda forms, i: F.transform(forms, lambda form, k: F.struct(i.alias("line"), k.alias("part"), form.alias("form")))
+    special = F.col("_stated") | F.contains("_lower", F.lit(RESERVED)) | F.col("_lower").rlike(STATEMENT)
+    by_part = F.flatten(F.transform(F.split("_lower", "\n"), lambda x, i: placed(parts(x), i)))
+    by_line = F.transform(F.split("_lines", "\n"), lambda x, i: F.struct(i.alias("line"), F.lit(0).alias("part"), F.trim(x).alias("form")))
+    lines = F.when(special, by_part).otherwise(by_line)
+    # a line is a place, and so is each of its parts
+    lines = F.transform(lines, lambda x: F.struct((x["line"].cast("long") * 4 + x["part"]).alias("at"), x["form"].alias("form")))
     fitting = F.filter(lines, lambda x: F.array_contains(lengths, F.char_length(x["form"])) & (x["form"] != ""))
-    digested = lambda found, kind: F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x["at"].alias("at"), F.sha2(x["form"], 256).alias("digest")))
+    digested = lambda found, kind: F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x["at"].cast("long").alias("at"), F.sha2(x["form"], 256).alias("digest")))
     made = rows.select("_id", "_key", F.sha2("_whole", 256).alias("_digest"), F.concat(digested(fitting, 0), digested(_inside("_whole", inner), 1)).alias("_places"))
     work = Work(spark)
     made = work.stored(made, "places")

@@ -144,6 +144,10 @@ def _words_sql(text: str) -> str:
     return rf"trim(regexp_replace({text}, '[^a-z0-9\x{{80}}-\x{{A8}}\x{{AA}}-\x{{10FFFF}}]+', ' ', 'g'))"
 
 
+#: A year behind the word or a sign.
+_STATED = r"(?:(?:copyright[ \t]*)?(?:\(c\)|©)|copyright)[ \t]*[0-9][0-9][0-9][0-9]"
+
+
 def _licence_sql() -> str:
     forms = {}
     inner = {_form_of(t) for _, t in licences.KNOWN + licences.bodies()}
@@ -161,9 +165,15 @@ o(opening, n, digest) AS (VALUES {places}),
 d AS (SELECT doc_id, {lower} AS body FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)),
 w AS (SELECT doc_id, {_words_sql(f"regexp_replace(body, '{licences.COPYRIGHT_LINE}', '{chr(92)}1', 'g')")} AS whole FROM d),
 s AS (SELECT doc_id, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS n FROM d),
-t AS (SELECT doc_id, n, CASE WHEN regexp_matches(line, '{licences.COPYRIGHT_LINE}') THEN regexp_extract({_words_sql("line")}, '(?:^| )({rest})$', 1) ELSE {_words_sql("line")} END AS form FROM s),
-l AS (SELECT t.doc_id, t.n, k.licence FROM t JOIN k ON sha256(t.form) = k.digest WHERE t.form <> ''),
-g AS (SELECT doc_id, count(*) AS n_lines, string_agg(licence, ',' ORDER BY n) AS licences FROM l GROUP BY doc_id),
+u AS (SELECT doc_id, n, line, {_words_sql("line")} AS plain FROM s),
+v AS (SELECT *, plain = 'all rights reserved' OR ends_with(plain, ' all rights reserved') AS reserves FROM u),
+x AS (SELECT *, CASE WHEN reserves THEN trim(left(plain, length(plain) - 19)) ELSE plain END AS head FROM v),
+t AS (SELECT doc_id, n, unnest(forms) AS form, generate_subscripts(forms, 1) AS part FROM (SELECT *, list_concat(
+  CASE WHEN regexp_matches(line, '{licences.COPYRIGHT_LINE}') THEN [regexp_extract(head, '(?:^| )({rest})$', 1)]
+       WHEN regexp_matches(line, '{_STATED}') THEN [{_words_sql(f"regexp_extract(line, '^(.*?){_STATED}', 1)")}, regexp_extract(head, '(?:^| )({rest})$', 1)]
+       ELSE [head] END, CASE WHEN reserves THEN ['all rights reserved'] ELSE [] END) AS forms FROM x)),
+l AS (SELECT t.doc_id, t.n, t.part, k.licence FROM t JOIN k ON sha256(t.form) = k.digest WHERE t.form <> ''),
+g AS (SELECT doc_id, count(*) AS n_lines, string_agg(licence, ',' ORDER BY n, part) AS licences FROM l GROUP BY doc_id),
 c AS MATERIALIZED (SELECT w.doc_id, w.whole, o.* FROM w JOIN o ON contains(w.whole, o.opening)),
 p AS (SELECT *, unnest(range(1, length(whole) + 1)) AS place FROM c),
 f AS (SELECT p.doc_id, k.licence, min(place) AS place FROM p JOIN k USING (digest) WHERE starts_with(substr(whole, place), opening) AND sha256(substr(whole, place, n)) = p.digest

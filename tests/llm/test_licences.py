@@ -37,16 +37,22 @@ def brute(text):
     """By hand: the whole text, its lines, what follows a copyright statement, and every place where a known text stands."""
     forms = known()
     lines = []
+    # the first place from which on the rest of a line is known, or opens as a long known text does
+    opens = tuple({" ".join(f.split(" ")[:6]) + " " for f in forms if len(f.split(" ")) > 40})
+    rests = lambda form: [" ".join(form.split(" ")[i:]) for i in range(len(form.split(" ")))]
+    behind = lambda form: next((r for r in rests(form) if (r in forms and len(r.split(" ")) <= 40) or r.startswith(opens)), "")
     for line in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split("\n"):
-        form = words(line)
+        form, reserved = words(line), []
+        if form == "all rights reserved" or form.endswith(" all rights reserved"):
+            form, reserved = form[: -len("all rights reserved")].strip(), ["all rights reserved"]
+        stated = re.search(r"(copyright[ \t]*)?(\(c\)|©)[ \t]*\d{4}|copyright[ \t]*\d{4}", line)
         if re.search(licences.COPYRIGHT_LINE, line):
-            # the first place from which on the rest of the line is known, or opens as a long known text does
-            parts = form.split(" ")
-            rests = [" ".join(parts[i:]) for i in range(len(parts))]
-            opens = tuple({" ".join(f.split(" ")[:6]) + " " for f in forms if len(f.split(" ")) > 40})
-            form = next((r for r in rests if (r in forms and len(r.split(" ")) <= 40) or r.startswith(opens)), "")
-        if form in forms:
-            lines.append(forms[form])
+            parts = [behind(form)]
+        elif stated:
+            parts = [words(line[: stated.start()]), behind(form)]
+        else:
+            parts = [form]
+        lines += [forms[f] for f in parts + reserved if f in forms]
     whole = canonical(text)
     inside = sorted((m.start(), forms[f]) for f in inner() if f in whole for m in re.finditer(rf"(?<![^ ])(?={re.escape(f)}(?: |$))", whole))
     return hashlib.sha256(whole.encode()).hexdigest(), forms.get(whole) if whole else None, len(lines), ",".join(lines), ",".join(dict.fromkeys(n for _, n in inside))
@@ -132,3 +138,64 @@ def test_lines_of_any_length(spark):
     texts = ["Licensed under the MIT License." + "-" * n for n in (0, 60, 6000, 300_000)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [(r.n_lines, r.licences) for r in licences.scan(docs).collect()] == [(1, "MIT")] * 4
+
+
+def test_headers_of_source_files_and_identifiers(spark):
+    """Headers as they stand in files, with comment signs and wrapped in other places, between a copyright line and code."""
+    gpl = """# Copyright (C) 2020  Jo Bloggs
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+#
+# You should have received a copy of the GNU General Public License
+# along with this program.  If not, see <https://www.gnu.org/licenses/>.
+import x
+"""
+    apache = """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */"""
+    lesser = licences._GNU_FIRST.format(what="library", name="Lesser General Public License", version="2.1")
+    texts = [gpl, gpl.split("import")[0].split("\n", 2)[2], apache, apache.split("\n", 2)[2], "x\n// SPDX-License-Identifier: MIT\ny", "SPDX-License-Identifier: GPL-2.0-or-later", "-- spdx-licence-identifier: apache-2.0 --", "SPDX-License-Identifier: Other", lesser, gpl.replace("version 3", "version 9")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: tuple(r)[1:] for r in licences.scan(docs).collect()}
+    assert rows == {i: brute(t) for i, t in enumerate(texts)}
+    assert [rows[i][1] for i in (0, 1, 2, 5, 6, 7, 8)] == [None, "GPL-3.0", "Apache-2.0", "GPL-2.0", "Apache-2.0", None, "LGPL-2.1"]
+    assert [rows[i][4].split(",") for i in (0, 3, 8)] == [["GPL-3.0"], ["Apache-2.0"], ["LGPL-2.1"]] and rows[9][4] == ""
+    assert [rows[i][3] for i in (4, 5, 6, 7)] == ["MIT", "GPL-2.0", "Apache-2.0", ""]
+
+
+def test_notices_that_share_their_line(spark):
+    """A reservation or a statement anywhere in a line: what stands before and behind is found too."""
+    lines = [
+        "Licensed under the MIT License. All rights reserved.",
+        "This text (c) 2020 Jo Bloggs. Licensed under the MIT License.",
+        "Copyright 2020 X. Licensed under the MIT License. All rights reserved.",
+        "Licensed under CC BY 4.0. © 2021 Y",
+        "Licensed under CC BY 4.0, copyright (c) 2021 Y. All rights reserved",
+        "All rights reserved. Licensed under CC BY 4.0.",
+        "A page of 1999 with all rights reserved.",
+        "(c) is a letter, and 2020 a year",
+    ]
+    docs = spark.createDataFrame([(i, "x\n" + t + "\ny") for i, t in enumerate(lines)] + [(99, "\n".join(lines))], "doc_id long, text string")
+    rows = {r.doc_id: tuple(r)[1:] for r in licences.scan(docs).collect()}
+    own = "LicenseRef-Proprietary"
+    want = [f"MIT,{own}", "MIT", f"MIT,{own}", "CC-BY-4.0", f"CC-BY-4.0,{own}", "CC-BY-4.0", own, ""]
+    assert [rows[i][3] for i in range(len(lines))] == want and rows[99][3] == ",".join(w for w in want if w)
+    assert rows == {**{i: brute("x\n" + t + "\ny") for i, t in enumerate(lines)}, 99: brute("\n".join(lines))}
