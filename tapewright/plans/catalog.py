@@ -13,7 +13,7 @@ from .. import schemas
 from ..config import METRICS, MetricParams
 from ..functions import fields, keys
 from ..operators import baseline, convert, coverage, gaps, ledger, merge, metrics, rules, tables
-from ..sources import io, layout, versioned
+from ..sources import clustered, io, layout, versioned
 from ..sources.work import ordered, remove, stored, work_dir
 from ..streaming import jobs as streams
 from . import harness, jobs, snapshots
@@ -1079,6 +1079,26 @@ def r09_bucketed_issues(spark, sf):
     return in_epochs(found.select("listing_id", "issue_id", "rule_type", "status", "minute", "s3_key", "record_count"), "minute")
 
 
+def _clustered_gaps(spark, sf) -> str:
+    path = work_dir(spark, "gaps")
+    rows = stored(_gaps(spark, sf), "rows")
+    clustered.write(rows, path, per_file=max(1000, rows.count() // 40))
+    return path
+
+
+@query
+def l02_clustered_gaps(spark, sf):
+    """The first page of a status, from the files that hold it."""
+    return clustered.page(spark, _clustered_gaps(spark, sf), "UNREVIEWED").select("listing_id", epoch(), "status")
+
+
+@query
+def l05_clustered_page(spark, sf):
+    """The page that follows a row, from the files that hold it."""
+    after = (F.timestamp_seconds(F.lit(CENTER)), LISTING)
+    return clustered.page(spark, _clustered_gaps(spark, sf), "UNREVIEWED", after=after).select("listing_id", epoch(), "status")
+
+
 @query
 def w04_kept_baseline(spark, sf):
     """Values in five batches: a batch reads kept sums by hour, and none of the values before it."""

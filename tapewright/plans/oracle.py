@@ -349,3 +349,5 @@ SQL["s01_pruned_captures"] = SQL["s01_captures_of_minute"]
 SQL["s03_pruned_day"] = SQL["s03_entries_of_day"]
 SQL["q01_bucketed_merge"] = SQL["q01_merged_ticks"]
 SQL["r09_bucketed_issues"] = SQL["r09_static_issues"]
+SQL["l02_clustered_gaps"] = SQL["q13_list_gaps"]
+SQL["l05_clustered_page"] = SQL["l05_next_page_of_gaps"]

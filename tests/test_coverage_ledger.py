@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 from tapewright.functions import keys
 from tapewright.operators import coverage, ledger, tables
 from tapewright.plans import jobs
+from tapewright.sources import clustered, versioned
+from tapewright.streaming import jobs as streams
 
 
 @pytest.fixture
@@ -128,3 +131,45 @@ def test_tables_are_put_by_key_and_partition(spark, tmp_path):
 def test_an_empty_coverage_table_says_so(spark, at):
     row = coverage.summary_answer(jobs.coverage_tables(entries(spark).limit(0), at)).first()
     assert (row.total_files, row.total_minutes, row.pairs, row.last_inventory_date, row.error) == (0, 0, 0, None, coverage.NO_COVERAGE)
+
+
+def test_pages_read_few_files(spark, tmp_path):
+    """All pages of a status, one after another, with many rows at the same minute; each reads few of many files."""
+    rows = [(listing, F_BASE + 60 * (k // 7), ("UNREVIEWED", "REVIEWED")[k % 3 == 0]) for k in range(700) for listing in (k % 5, 5 + k % 4)]
+    rows = sorted({(a, b): c for a, b, c in rows}.items())
+    table = spark.createDataFrame([(a, b, c) for (a, b), c in rows], "listing_id int, s long, status string").select("listing_id", F.timestamp_seconds("s").alias("minute"), "status")
+    path = str(tmp_path / "t")
+    clustered.write(table, path, per_file=20)
+    total = spark.read.parquet(f"{path}/index").select("file").distinct().count()
+    want = [(x[0][1], x[0][0]) for x in sorted((r for r in rows if r[1] == "UNREVIEWED"), key=lambda r: (-r[0][1], -r[0][0]))]
+    got, after = [], None
+    while True:
+        files = clustered.files_of_page(spark, path, "UNREVIEWED", 150, None if after is None else F.lit(after[0]))
+        found = [(int(r.minute.timestamp()), r.listing_id) for r in clustered.page(spark, path, "UNREVIEWED", 150, after).collect()]
+        got += found
+        if len(found) < 150:
+            break
+        assert len(files) < total / 2
+        after = (datetime.fromtimestamp(found[-1][0]), found[-1][1])
+    assert got == want and clustered.page(spark, path, "OTHER").collect() == []
+
+
+F_BASE = 1_705_312_800
+
+
+def test_versions_are_folded(spark, tmp_path):
+    """Fifty batches leave a bounded number of folders; what is read is the latest row of each key before and after, also
+    where a fold broke off before it removed what it replaces."""
+    path, schema = str(tmp_path / "t"), "k int, v string, expires_at long"
+    rows = lambda n: spark.createDataFrame([(n % 7, f"v{n}", None), (100 + n, "once", 5 if n % 2 else None)], schema).coalesce(1)
+    sink = versioned.folding(streams.versions_sink(versioned.tail(path)), path, schema, ("k",), 10, F.col("expires_at").isNull())
+    for n in range(50):
+        sink(rows(n), n)
+        assert versioned.folders(spark, path) <= 12
+    got = {r.k: r.v for r in versioned.current(spark, path, schema, "k").where("k < 100").collect()}
+    assert got == {k: f"v{max(n for n in range(50) if n % 7 == k)}" for k in range(7)}
+    once = {r.k - 100 for r in versioned.current(spark, path, schema, "k").where("k >= 100").collect()}
+    assert once == {n for n in range(50) if n % 2 == 0 or n >= 49}
+    before = sorted(tuple(r) for r in versioned.current(spark, path, schema, "k").collect())
+    spark.read.schema(f"{schema}, version int").parquet(f"{path}/base/48").write.parquet(f"{path}/base/47")
+    assert sorted(tuple(r) for r in versioned.current(spark, path, schema, "k").collect()) == before
