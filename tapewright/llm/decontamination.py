@@ -16,6 +16,7 @@ are scanned whole. `clean` carries all columns, whatever their names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -234,17 +235,23 @@ def _joined(docs: DataFrame, text_col: str, grams: DataFrame, names: tuple[str,
     text_at = docs.columns.index(text_col)
     kind = pa.struct([*_SPANS.value_type, pa.field("gram", pa.binary())])
 
-    def unpacked() -> np.ndarray:
-        whole = np.zeros(1 << bits, bool)
+    name = uuid.uuid4().hex  # of this bitmap, in workers that keep one
+
+    def whole_bitmap() -> np.ndarray:
+        whole = np.zeros(1 << (bits - 3), np.uint8)
         for part, taken in sent.value:
-            whole[part << PART_BITS : (part + 1) << PART_BITS] = np.unpackbits(np.frombuffer(taken, np.uint8)).astype(bool)[: 1 << bits]
+            whole[part << (PART_BITS - 3) : (part + 1) << (PART_BITS - 3)] = np.frombuffer(taken, np.uint8)
         return whole
 
+    def is_taken(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+        place = (h >> np.uint64(64 - bits)).astype(np.int64)
+        return (bitmap[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 33
-        taken = held(("decontamination", id(sent)), unpacked)
+        bitmap = held(("decontamination", name), whole_bitmap)
         for batch in batches:
             for block in blocks(batch, batch.schema.names[text_at], BLOCK):
                 words = words_of(block.column(text_at))
@@ -253,8 +260,7 @@ def _joined(docs: DataFrame, text_col: str, grams: DataFrame, names: tuple[str,
                 data = text.tobytes()
                 firsts, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
                 for size, first, h in window_hashes(words):
-                    first = first[taken[h >> np.uint64(64 - bits)]]
-                    # fewer than ten words are a window only as a whole item, of which any place will do
+                    first = first[is_taken(bitmap, h)]
                     firsts.append(first)
                     sizes.append(np.full(len(first), size))
                 first, size = np.concatenate(firsts), np.concatenate(sizes)
