@@ -11,7 +11,9 @@ The tokenizer's rules are compiled into two deterministic transducers.
   the last token before that suffix and the tokens counted there; a transition is annotated with the tokens that
   it adds to the count (it may take tokens back, when a merge swallows them; the sum is exact after every byte).
   States and transitions are compiled as texts first need them and kept in a hash table of the worker. Distinct
-  pre-tokens of a block run side by side.
+  pre-tokens of a block run side by side. A long pre-token is cut into chunks that run side by side too: the map of
+  a chunk takes the entry states that neighbours can reach to exit states and counts, and the maps are composed by
+  the prefix scan. Runs of a chunk from another state end where they meet the first one, as all that follows is equal.
 
 The counts are those of the tokenizers library without added special tokens; a special string inside a text is
 one token, as the library treats it by default.
@@ -43,6 +45,8 @@ WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0
 END_POINT = 0x110000
 #: Places of a chunk, and after how many of them chunks whose states have met go on as one lane.
 CHUNK, MEET = 512, 24
+#: Chunks of long pre-tokens that are composed at a time, and rounds in which their maps may grow by one state each.
+STRETCH, ROUNDS = 2048, 64
 
 
 def _code_point_classes() -> np.ndarray:
@@ -143,6 +147,10 @@ class Splitter:
         return begins
 
 
+#: Rank of what is no merge.
+NEVER = 1 << 60
+
+
 class MergeCounter:
     """The second transducer, compiled on demand; see the module's text."""
 
@@ -172,26 +180,68 @@ class MergeCounter:
             self.token[node] = t
         self.inner = {k >> 8 for k in self.child}
         self.fits: dict[tuple[bytes, bytes], bool] = {}
+        made = {bytes([b]): -1 for b in range(256)}
+        for (a, b), r in self.rank.items():
+            made.setdefault(a + b, r)
+        #: Whether no merge comes before those that make its parts, so that merging goes up in rank.
+        self.upward = all(made.get(a, r) < r and made.get(b, r) < r for (a, b), r in self.rank.items())
+        self.edges: dict[tuple[bytes, int], list[tuple[bytes, int]] | None] = {}
         self.reset([])
 
     def merged(self, text: bytes) -> list[bytes]:
         """Merges by rank, as the tokenizer defines them: used to compile pairs of tokens."""
         parts = [text[i : i + 1] for i in range(len(text))]
         while len(parts) > 1:
-            best = min((self.rank.get(p, 1 << 60) for p in zip(parts, parts[1:])))
-            if best == 1 << 60:
+            best = min(self.rank.get(p, NEVER) for p in zip(parts, parts[1:]))
+            if best == NEVER:
                 break
-            i, out = 0, []
-            while i < len(parts):
-                if i + 1 < len(parts) and self.rank.get((parts[i], parts[i + 1])) == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
+            parts = self._pass(parts, best)
         return parts
 
+    def _pass(self, parts: list[bytes], rank: int) -> list[bytes]:
+        """All merges of one rank, from the left."""
+        i, out = 0, []
+        while i < len(parts):
+            if i + 1 < len(parts) and self.rank.get((parts[i], parts[i + 1])) == rank:
+                out.append(parts[i] + parts[i + 1])
+                i += 2
+            else:
+                out.append(parts[i])
+                i += 1
+        return out
+
+    def _edge(self, token: bytes, side: int) -> list[tuple[bytes, int]] | None:
+        """The parts that stand at an end of a token (side 0: first, -1: last) while it is merged, each with the rank of the merge that
+        takes it up; None if merging does not give the token."""
+        if (token, side) not in self.edges:
+            parts, found = [token[i : i + 1] for i in range(len(token))], []
+            while len(parts) > 1:
+                best = min(self.rank.get(p, NEVER) for p in zip(parts, parts[1:]))
+                if best == NEVER:
+                    break
+                after = self._pass(parts, best)
+                if after[side] != parts[side]:
+                    found.append((parts[side], best))
+                parts = after
+            self.edges[token, side] = [*found, (token, NEVER)] if len(parts) == 1 else None
+        return self.edges[token, side]
+
+    def _apart(self, a: bytes, b: bytes) -> bool:
+        """Whether no merge crosses the border of a + b. At each time the border has one part on either side; these merge if
+        their rank comes before the merges that take them up, and at equal rank the left one of two merges comes first."""
+        left, right = self._edge(a, -1), self._edge(b, 0)
+        if left is None or right is None:
+            return False
+        i = j = 0
+        while True:
+            (x, x_until), (y, y_until) = left[i], right[j]
+            r = self.rank.get((x, y), NEVER)
+            if r < x_until and r <= y_until and r < NEVER:
+                return False
+            if x_until == y_until == NEVER:
+                return True
+            i, j = i + (x_until <= y_until), j + (y_until <= x_until)
+
     def _fits(self, a: bytes | None, b: bytes) -> bool:
         """Whether token b can follow token a, that is, merging a + b gives a and b again."""
         if a is None:
@@ -199,7 +249,7 @@ class MergeCounter:
         if (a, b) not in self.fits:
             if len(self.fits) > 1_000_000:
                 self.fits.clear()
-            self.fits[a, b] = self.merged(a + b) == [a, b]
+            self.fits[a, b] = self._apart(a, b) if self.upward else self.merged(a + b) == [a, b]
         return self.fits[a, b]
 
     def reset(self, keep: list[tuple]) -> None:
@@ -256,32 +306,134 @@ class MergeCounter:
             at, slot = at[on], (slot[on] + 1) & mask
         return out
 
+    def _follow(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states and added tokens of (state, byte), which are compiled where they are new."""
+        got = self._get(keys)
+        missing = got < 0
+        if missing.any():
+            new = np.unique(keys[missing])
+            self._put(new, np.fromiter(map(self._compile, new.tolist()), np.int64, len(new)))
+            got[missing] = self._get(keys[missing])
+        return got >> 16, (got & 65535) - 32768
+
+    def _renumber(self, *arrays: np.ndarray) -> None:
+        """Drop all states but those in the arrays, which get the new numbers."""
+        used, back = np.unique(np.concatenate(arrays), return_inverse=True)
+        kept = [self.states[s] for s in used.tolist()]
+        self.reset(kept)
+        new = np.array([self.number[s] for s in kept], np.int64)[back]
+        for a, part in zip(arrays, np.split(new, np.cumsum([len(a) for a in arrays])[:-1])):
+            a[:] = part
+
     def counts(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Tokens of the pre-tokens data[start:start+size], all side by side."""
+        out = np.empty(len(size), np.int64)
+        many = size > 2 * CHUNK
+        out[many] = self._long(data, start[many], size[many])
+        out[~many] = self._short(data, start[~many], size[~many])
+        return out
+
+    def _short(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         order = np.argsort(-size, kind="stable")
         start, size = start[order], size[order]
         state, count = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
         live = len(order)
         for k in range(int(size[0]) if live else 0):
             live = int(np.searchsorted(-size, -k, side="left"))
-            keys = state[:live] << 8 | data[start[:live] + k]
-            got = self._get(keys)
-            missing = got < 0
-            if missing.any():
-                new = np.unique(keys[missing])
-                self._put(new, np.fromiter(map(self._compile, new.tolist()), np.int64, len(new)))
-                got[missing] = self._get(keys[missing])
-            state[:live] = got >> 16
-            count[:live] += (got & 65535) - 32768
+            state[:live], added = self._follow(state[:live] << 8 | data[start[:live] + k])
+            count[:live] += added
             if len(self.states) > self.MOST_STATES:
-                used, back = np.unique(state[:live], return_inverse=True)
-                kept = [self.states[s] for s in used.tolist()]
-                self.reset(kept)
-                state[:live] = np.array([self.number[s] for s in kept], np.int64)[back]
+                self._renumber(state[:live])
         out = np.empty(len(order), np.int64)
         out[order] = count
         return out
 
+    def _long(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Tokens of pre-tokens that are cut into chunks; the exit of one stretch of chunks is the entry of the next."""
+        pieces = -(-size // CHUNK)
+        of = np.repeat(np.arange(len(size)), pieces)
+        rank = np.arange(len(of)) - (np.cumsum(pieces) - pieces)[of]
+        at, length = start[of] + rank * CHUNK, np.minimum(CHUNK, size[of] - rank * CHUNK)
+        each, entry = np.zeros(len(of), np.int64), 0
+        for k in range(0, len(of), STRETCH):
+            part = slice(k, k + STRETCH)
+            entry, each[part] = self._stretch(data, at[part], length[part], rank[part] == 0, entry)
+        return np.bincount(of, each, len(size)).astype(np.int64)
+
+    def _stretch(self, data: np.ndarray, at: np.ndarray, length: np.ndarray, opens: np.ndarray, entry: int) -> tuple[int, np.ndarray]:
+        """Exit state and tokens of each chunk, of which those in ``opens`` begin a pre-token."""
+        n = len(at)
+        closes = np.append(opens[1:], True)
+        chunk, enter = np.arange(n), np.zeros(n, np.int64)  # rows of the maps; each chunk is run from the empty state first
+        if not opens[0]:
+            enter[0] = entry
+        path, sums = np.full((CHUNK, n), -1, np.int32), np.zeros((CHUNK, n), np.int32)
+        leave, count = enter.copy(), np.zeros(n, np.int64)
+
+        def walk(rows: np.ndarray, first: bool) -> None:
+            """Run rows through their chunks; all but the first ones end where they meet the first one of their chunk."""
+            live, k = rows, 0
+            while len(live := live[length[chunk[live]] > k]):
+                c = chunk[live]
+                leave[live], added = self._follow(leave[live] << 8 | data[at[c] + k])
+                count[live] += added
+                if first:
+                    path[k, c], sums[k, c] = leave[live], count[live]
+                else:
+                    met = path[k, c] == leave[live]
+                    count[live[met]] += count[c[met]] - sums[k, c[met]]
+                    leave[live[met]] = leave[c[met]]
+                    live = live[~met]
+                if len(self.states) > self.MOST_STATES:
+                    self._renumber(enter, leave)
+                    path[:] = -1  # places passed before are met no more; such rows run to the chunk's end
+                k += 1
+
+        walk(chunk, True)
+        fresh = chunk
+        for _ in range(ROUNDS):
+            on = fresh[~closes[chunk[fresh]]]
+            asked = np.setdiff1d(chunk[on] + 1 << 32 | leave[on], chunk << 32 | enter)
+            if not len(asked):
+                return self._composed(n, closes, chunk, enter, leave, count)
+            fresh = np.arange(len(chunk), len(chunk) + len(asked))
+            chunk, enter = np.concatenate((chunk, asked >> 32)), np.concatenate((enter, asked & 0xFFFFFFFF))
+            leave, count = np.concatenate((leave, asked & 0xFFFFFFFF)), np.concatenate((count, np.zeros(len(asked), np.int64)))
+            walk(fresh, False)
+        # states that never meet: each chunk from where the one before ended
+        here, each = np.array([enter[0]]), np.zeros(n, np.int64)
+        for c in range(n):
+            for k in range(length[c]):
+                here, added = self._follow(here << 8 | int(data[at[c] + k]))
+                each[c] += added[0]
+                if len(self.states) > self.MOST_STATES:
+                    self._renumber(here)
+            leaving = int(here[0])
+            if closes[c]:
+                here[:] = 0
+        return leaving, each
+
+    @staticmethod
+    def _composed(n: int, closes: np.ndarray, chunk: np.ndarray, enter: np.ndarray, leave: np.ndarray, count: np.ndarray) -> tuple[int, np.ndarray]:
+        """Compose the maps of chunks by an inclusive prefix scan over places of states; the first row of a chunk is place 0."""
+        order = np.argsort(chunk, kind="stable")
+        place = np.empty(len(chunk), np.int64)
+        place[order] = np.arange(len(chunk)) - np.searchsorted(chunk[order], chunk[order])
+        known = chunk << 32 | enter
+        by_key = np.argsort(known)
+        goes = np.zeros(len(chunk), np.int64)  # a chunk that ends a pre-token leads to the first row of the next
+        on = np.flatnonzero(~closes[chunk] & (chunk < n - 1))
+        goes[on] = place[by_key[np.searchsorted(known, chunk[on] + 1 << 32 | leave[on], sorter=by_key)]]
+        width = int(place.max()) + 1
+        upto, row = np.zeros((n, width), np.int64), np.zeros((n, width), np.int64)
+        upto[chunk, place], row[chunk, place] = goes, np.arange(len(chunk))
+        reach = 1
+        while reach < n:
+            upto[reach:] = np.take_along_axis(upto[reach:], upto[:-reach], axis=1)
+            reach *= 2
+        real = row[np.arange(n), np.append(0, upto[:-1, 0])]
+        return int(leave[real[-1]]), count[real]
+
 
 class TokenCounter:
     def __init__(self, path: str):

@@ -37,6 +37,42 @@ def test_states_beyond_the_bound_are_dropped(library):
     assert counter.counts(*joined(pa.array(texts))).tolist() == counts(library, texts)
 
 
+def long_texts(rng):
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(2500))
+    words = "".join(rng.choice(["the", "token", "ing", "state", "é", "中"]) for _ in range(1000))
+    return [letters, words, *(p * (2200 // len(p)) for p in ("x", "abc", "=", " ", "abcdefg", "-=", "é")), "a " + letters[:1500] + " b", letters[:1025]]
+
+
+@pytest.mark.parametrize("chunk, stretch, rounds", [(512, 2048, 64), (7, 3, 64), (64, 5, 64), (37, 2048, 1)])
+def test_long_pre_tokens_are_composed_of_chunks(library, monkeypatch, chunk, stretch, rounds):
+    texts = long_texts(random.Random(3))
+    monkeypatch.setattr(token_counts, "CHUNK", chunk)
+    monkeypatch.setattr(token_counts, "STRETCH", stretch)
+    monkeypatch.setattr(token_counts, "ROUNDS", rounds)
+    counter = token_counts.MergeCounter(PATH)
+    data, offsets = joined(pa.array(texts))
+    whole = [counter._short(data, offsets[k : k + 1], offsets[k + 1 : k + 2] - offsets[k : k + 1])[0] for k in range(len(texts))]
+    assert counter._long(data, offsets[:-1], offsets[1:] - offsets[:-1]).tolist() == whole
+    counter.MOST_STATES = 300  # states are dropped in the middle of chunks
+    assert counter._long(data, offsets[:-1], offsets[1:] - offsets[:-1]).tolist() == whole
+
+
+def test_a_megabyte_without_a_break(library):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(["the", "and", "data", "count", "state"]) for _ in range(250_000)), "abc" * 333_333]
+    assert token_counts.TokenCounter(PATH).counts(*joined(pa.array(texts))).tolist() == counts(library, texts)
+
+
+def test_borders_against_merging():
+    rng = random.Random(5)
+    counter = token_counts.MergeCounter(PATH)
+    assert counter.upward
+    tokens = [a + b for a, b in rng.sample(sorted(counter.rank), 4000)] + [bytes([x]) * n for x in b"a -=." for n in (1, 2, 3, 4, 5, 8, 16)]
+    pairs = [(rng.choice(tokens), rng.choice(tokens)) for _ in range(6000)] + [(a, b) for a in tokens[-35:] for b in tokens[-35:]]
+    pairs = [(a, b) for a, b in pairs if counter.merged(a) == [a]]
+    assert [counter._apart(a, b) for a, b in pairs] == [counter.merged(a + b) == [a, b] for a, b in pairs]
+
+
 def test_special_strings_do_not_span_texts(library):
     texts = ["<|endof", "text|>", "<|endoftext|><|endoftext|>", "a <|endoftext|> b"]
     assert token_counts.TokenCounter(PATH).counts(*joined(pa.array(texts))).tolist() == counts(library, texts)
