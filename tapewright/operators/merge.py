@@ -30,6 +30,18 @@ def most_records(raw: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
     return raw.join(best, [*key, "capture_id"], "left_semi").drop("capture_id")
 
 
+def with_captured(raw: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
+    """As `most_records`, but the first record of a minute carries in `captured` how many all captures hold, others 0.
+
+    So totals of in and out can be taken from the merged records alone, wherever they are written.
+    """
+    first = raw.groupBy(*key, "capture_id").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
+    best = F.min(F.struct((-F.col("n")).alias("less"), "capture_id", "first")).alias("_best")
+    totals = first.groupBy(*key).agg(F.sum("n").alias("_n_in"), best).select(*key, "_best.capture_id", F.col("_best.first").alias("_first"), "_n_in")
+    joined = raw.join(totals, [*key, "capture_id"])
+    return joined.withColumn("captured", F.when(F.col("pos") == F.col("_first"), F.col("_n_in")).otherwise(F.lit(0))).drop("capture_id", "_first", "_n_in")
+
+
 STRATEGIES: dict[str, Callable[..., DataFrame]] = {"most_records": most_records}
 #: Which strategy merges a schema.
 BY_SCHEMA = {"mbp-10": "most_records"}

@@ -40,10 +40,11 @@ def merge_statistics(table: DataFrame, new: DataFrame) -> DataFrame:
     return table.unionByName(new).groupBy(*key).agg(*(F.sum(c).alias(c) for c in ("count", "sum", "sum_sq")))
 
 
-def review(table: DataFrame, updates: DataFrame, key: tuple[str, ...], fields: tuple[str, ...]) -> DataFrame:
+def review(table: DataFrame, updates: DataFrame, key: tuple[str, ...], fields: tuple[str, ...], mark: str | None = None) -> DataFrame:
     """The table after reviews: status REVIEWED, and the fields that an update gives (null: as before).
 
-    Updates lacking a part of the key are left out (see `invalid_updates`); unknown keys are added.
+    Updates lacking a part of the key are left out (see `invalid_updates`); unknown keys are added. A column ``mark``
+    tells which rows an update has reached.
     """
     good = valid_updates(updates, key)
     good = good.select(*key, *(F.col(f).alias(f"_{f}") for f in fields), F.lit(True).alias("_hit")).dropDuplicates(list(key))
@@ -58,6 +59,8 @@ def review(table: DataFrame, updates: DataFrame, key: tuple[str, ...], fields: t
             columns.append(F.coalesce(f"_{c}", c).alias(c))
         else:
             columns.append(F.col(c))
+    if mark is not None:
+        columns.append(F.coalesce("_hit", F.lit(False)).alias(mark))
     return joined.select(*columns)
 
 

@@ -1180,6 +1180,36 @@ def q06_kept_statistics(spark, sf):
     return in_text(found, "date").select("listing_id", "date", "hour", "metric", "count", rounded("sum"), rounded("sum_sq"))
 
 
+def _counters(spark, counts: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(list(counts.items()), "counter string, value long")
+
+
+@query
+def a04_written_totals(spark, sf):
+    """Records in and out of a merge, counted while the merged ticks are written, and the sum of what was written."""
+    raw, path = harness.ticks(spark, sf), work_dir(spark, "merged")
+    counts = jobs.store_merged(raw.select(*merge.KEY, F.lit("RAW").alias("entry_type")), raw, path)
+    return _counters(spark, counts).union(spark.read.parquet(path).agg(F.lit("sequence_sum"), F.sum("sequence")))
+
+
+@query
+def a19_written_counters(spark, sf):
+    """Counters of a backfill with entries that can't be read, counted while its tables are written."""
+    return _counters(spark, jobs.store_backfill(_broken_backfill(spark, sf, "all", True), work_dir(spark, "backfill")))
+
+
+@query
+def a31_written_reviews(spark, sf):
+    """Reviews of which some lack their listing and some are of unknown gaps, counted while the table is written."""
+    table, path = stored(_gaps(spark, sf), "gaps"), work_dir(spark, "reviewed")
+    own = table.select("listing_id", "minute", F.lit("HALT").alias("reason"))
+    lacking = own.where(F.col("listing_id") == LISTING).withColumn("listing_id", F.lit(None).cast("int"))
+    unknown = own.where(F.col("listing_id") == LISTING).withColumn("listing_id", F.lit(99))
+    updates = own.where(F.col("listing_id") != LISTING).union(lacking).union(unknown)
+    counts = jobs.store_reviews(table, updates, ("listing_id", "minute"), ("reason",), path, work_dir(spark, "rejected"))
+    return _counters(spark, counts).union(spark.read.parquet(path).agg(F.lit("reviewed"), F.count_if(F.col("reason") == "HALT")))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Quality issues of all files: static rules, and metric values against baselines as of each minute."""
     return q05_quality_check(spark, sf)

@@ -12,6 +12,7 @@ from .. import schemas
 from ..config import METRICS, MetricParams
 from ..operators import baseline, coverage, gaps, ledger, merge, metrics, rules, tables
 from ..sources import io
+from ..sources.counted import written
 from ..sources.work import exists, stored
 from ..streaming import jobs as streams
 
@@ -165,6 +166,31 @@ def store_gaps(found: DataFrame, path: str) -> DataFrame:
     return io.upsert(found.withColumn("date", F.to_date("minute")), path, "listing_id", "minute", keep_reviewed=True)
 
 
+def store_merged(entries: DataFrame, raw: DataFrame, path: str) -> dict[str, int]:
+    """Write the merged ticks of the notified minutes. Returns records_in, records_out and minutes, counted in the write."""
+    held = raw.join(merge.affected_minutes(entries), list(merge.KEY), "left_semi")
+    minutes = F.count_if(F.col("captured") > 0)
+    return written(merge.with_captured(held), path, drop=("captured",), records_in=F.sum("captured"), records_out=F.count("*"), minutes=minutes)
+
+
+def store_backfill(done: Backfill, folder: str) -> dict[str, int]:
+    """Write issues, values, statistics and errors of a backfill below a folder. Returns its counters, each counted in a write:
+    a file has one tickCount, so values tell the entries, and those that could not be read are not among them."""
+    counts = written(done.quality.values, f"{folder}/values", entries_processed=F.count_if(F.col("metric") == "tickCount"))
+    counts |= written(done.quality.issues, f"{folder}/issues", issues_found=F.count("*"))
+    counts |= written(done.errors, f"{folder}/errors", entries_failed=F.count("*"))
+    io.snapshot(done.statistics, f"{folder}/statistics")
+    return counts
+
+
+def store_reviews(table: DataFrame, updates: DataFrame, key: tuple[str, ...], fields: tuple[str, ...], path: str, errors_path: str) -> dict[str, int]:
+    """Write the table after reviews, and the updates that lack a part of the key with their error. Returns how many rows were
+    updated or added, and how many updates were errors, counted in the two writes."""
+    marked = tables.review(table, updates, key, fields, mark="_reached")
+    counts = written(marked, path, drop=("_reached",), updated=F.count_if("_reached"))
+    return counts | written(tables.invalid_updates(updates, key), errors_path, errors=F.count("*"))
+
+
 #: What a job reads when it runs, not when it is set up: files that come meanwhile are seen.
 Reader = Callable[[SparkSession], DataFrame]
 

@@ -351,3 +351,7 @@ SQL["q01_bucketed_merge"] = SQL["q01_merged_ticks"]
 SQL["r09_bucketed_issues"] = SQL["r09_static_issues"]
 SQL["l02_clustered_gaps"] = SQL["q13_list_gaps"]
 SQL["l05_clustered_page"] = SQL["l05_next_page_of_gaps"]
+SQL["a04_written_totals"] = _with(f"""SELECT 'records_in' AS counter, CAST(sum(n_records) AS BIGINT) AS value FROM counts UNION ALL SELECT 'records_out', CAST(sum(n_records) AS BIGINT) FROM best WHERE rk = 1
+  UNION ALL SELECT 'minutes', count(*) FROM best WHERE rk = 1 UNION ALL SELECT 'sequence_sum', CAST(sum(sequence) AS BIGINT) FROM merged""", COUNTS, BEST, MERGED)
+SQL["a19_written_counters"] = SQL["a19_counters_with_errors"]
+SQL["a31_written_reviews"] = of_gaps(f"SELECT 'updated' AS counter, count(*) AS value FROM gp UNION ALL SELECT 'errors', count(*) FROM gp WHERE listing_id = {LISTING} UNION ALL SELECT 'reviewed', count(*) FROM gp")

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapewright.operators import convert, merge
+from tapewright.plans import jobs
+from tapewright.sources.counted import written
 
 TICK = "security_id int, exchange_id int, schema string, minute timestamp, capture_id string, pos long, sequence long"
 
@@ -88,3 +90,23 @@ def test_quotes_trades_and_unknown_conversions(spark):
     assert "bid_px_0" in convert.to_mbp1(df).columns
     with pytest.raises(ValueError):
         convert.convert(df, "trades", "mbp-10")
+
+
+def test_totals_are_counted_in_the_write(spark, tmp_path):
+    minutes = OWN_CASES + [captures_at_random(random.Random(n)) for n in range(40)]
+    raw = ticks(spark, minutes)
+    entries = raw.select(*merge.KEY, F.lit("RAW").alias("entry_type"))
+    counts = jobs.store_merged(entries, raw, str(tmp_path / "merged"))
+    full = [c for c in minutes if any(c.values())]
+    assert counts == {"records_in": sum(len(s) for c in full for s in c.values()), "records_out": sum(len(most_complete(c)) for c in full), "minutes": len(full)}
+    got = spark.read.parquet(str(tmp_path / "merged"))
+    assert sorted(map(tuple, got.select(sorted(got.columns)).collect())) == sorted(map(tuple, merge.merge(raw).select(sorted(got.columns)).collect()))
+
+
+def test_counters_of_an_empty_write_are_zero(spark, tmp_path):
+    none = spark.range(5).where("id > 9")
+    assert written(none, str(tmp_path / "none"), rows=F.count("*"), total=F.sum("id")) == {"rows": 0, "total": 0}
+    some = spark.range(5).withColumn("even", F.col("id") % 2 == 0)
+    assert written(some, str(tmp_path / "some"), drop=("even",), even=F.count_if("even"), total=F.sum("id")) == {"even": 3, "total": 10}
+    assert spark.read.parquet(str(tmp_path / "some")).columns == ["id"]
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
