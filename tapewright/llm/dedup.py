@@ -3,15 +3,17 @@
 1. Each task folds equal texts within a batch into one entry: its key (64 bits of the digest of the normalised
    text), the number of rows, their ids, and the row with the largest id. The entries are written to the shared
    folder; they are the index's pages.
-2. Distinct keys are counted once by a prefix that is longer than needed. The directory follows from these counts: it
-   begins with a few key bits, and a bucket with more distinct keys than a page holds is split by one more bit, again
-   and again (the directory doubles); copies of one key are left to chaining. It is a table like any other: no bucket,
-   key or digest comes to the driver.
-3. Owner tasks get ranges of keys, cut between buckets, in key order (`repartitionById`). Entries with equal keys are
+2. Distinct keys are counted once by a prefix that is longer than needed. The directory begins with a few key bits; in
+   each round the buckets with more distinct keys than a page holds are split by one more bit, and the directory
+   doubles when a bucket has passed its depth. Copies of one key are left to chaining. It is a table like any
+   other: no bucket, key or digest comes to the driver.
+3. Keys with very many entries are folded first: groups of at most some hundred entries of a key, each in a task of its own,
+   are compared and chained, and only the first entry of each chain goes on, in as many rounds as it takes.
+4. Owner tasks get ranges of keys, cut between buckets, in key order (`repartitionById`). Entries with equal keys are
    compared byte for byte and chained where the texts differ, so a digest collision never merges two texts.
-4. What an owner finds goes back to the entries by their number, and from there to the rows.
+5. What an owner finds goes back to the entries by their number, and from there to the rows.
 
-A group of copies of any size reaches its owner as one entry per batch, not as rows. Texts are equal when
+A group of copies of any size reaches its owner as a few hundred entries, not as rows. Texts are equal when
 identical after lower-casing A-Z. The row with the largest id stays; a null id counts as less than any other.
 
 Defined cases: a null text counts as empty. Of rows that repeat the largest id, exactly one is kept. If all ids
@@ -37,6 +39,8 @@ from .text import blocks
 PAGE = 20_000
 #: Bits of the first directory, and bits by which keys are counted beyond those that equal buckets would need.
 FIRST_BITS, SPARE_BITS = 7, 4
+#: Entries of one key that an owner takes as they are, and that a task folds where a key has more.
+MOST_ENTRIES = 500
 #: Upper case to lower case for A-Z only.
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -88,7 +92,7 @@ def directory(entries: DataFrame, key: str, page: int = PAGE, first_bits: int =
     bucket is named by its first slot.
 
     Copies of a key count once, as no split can part them. A slot that holds more than a page at the depth that equal
-    buckets would need is counted again with longer prefixes.
+    buckets would need is counted again with longer prefixes. Rounds of splits are over this table of counts.
     """
     work = work or Work(entries.sparkSession)
     deep = max(first_bits, math.ceil(math.log2(max(1.0, entries.count() / page))) + SPARE_BITS)
@@ -98,50 +102,89 @@ def directory(entries: DataFrame, key: str, page: int = PAGE, first_bits: int =
         if deep == 63 or not counts.where(F.col("n") > page).take(1):
             break
         deep = min(63, deep + SPARE_BITS)
-    prefix = F.expr(f"shiftright(slot, {deep} - depth)").alias("prefix")
-    above = counts.select("slot", "n", F.explode(F.sequence(F.lit(first_bits), F.lit(deep))).alias("depth")).select("slot", "n", "depth", prefix)
-    fits = above.groupBy("depth", "prefix").agg(F.sum("n").alias("total")).where(F.col("total") <= page).drop("total")
-    depth = above.join(fits, ["depth", "prefix"]).groupBy("slot").agg(F.min("depth").alias("depth"))
-    found = counts.join(depth, "slot", "left").withColumn("depth", F.coalesce("depth", F.lit(deep)))
+    held, bits = counts.withColumn("depth", F.lit(first_bits)), first_bits
+    while bits < deep:
+        at = F.shiftright("slot", deep - bits).alias("prefix")
+        full = held.where(F.col("depth") == bits).groupBy(at).agg(F.sum("n").alias("total")).where(F.col("total") > page)
+        full = work.stored(full.select("prefix", F.lit(bits).alias("depth"), F.lit(True).alias("full")), f"full-{bits}")
+        if not full.take(1):
+            break
+        split = held.withColumn("prefix", at).join(broadcast_if_small(full), ["prefix", "depth"], "left")
+        bits += 1  # the directory doubles; each half of a full bucket has one bit more, the others keep theirs
+        held = work.stored(split.select("slot", "n", (F.col("depth") + F.coalesce("full", F.lit(False)).cast("int")).alias("depth")), f"split-{bits}")
     first = F.expr(f"shiftleft(shiftright(slot, {deep} - depth), {deep} - depth)")
-    return found.select("slot", first.alias("bucket"), F.lit(deep).alias("bits"))
+    return held.select("slot", first.alias("bucket"), F.lit(deep).alias("bits"))
+
+
+def _chained(dealt: DataFrame, *group: str) -> DataFrame:
+    """Each entry with the first entry of its chain among those of its group, which come one after another in a task:
+    (entry, chain, n, top) and the columns of the group. Equal bytes, equal chain."""
+    kept = ("entry", "n", "top", *group)
+    schema = T.StructType([T.StructField("chain", T.LongType()), *(T.StructField(c, dealt.schema[c].dataType) for c in kept)])
+
+    def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, texts = None, {}
+        for batch in batches:
+            chains = []
+            values = batch.column("text")
+            groups = zip(*(batch.column(c).to_pylist() for c in group))
+            for i, (now, entry) in enumerate(zip(groups, batch.column("entry").to_pylist())):
+                if now != last:
+                    last, texts = now, {}
+                value = values[i].as_py()
+                norm = b"" if value is None else value.encode().translate(_LOWER)
+                chains.append(texts.setdefault(norm, entry))  # the dict compares the bytes of texts with equal keys
+            yield pa.RecordBatch.from_arrays([pa.array(chains, pa.int64()), *(batch.column(c) for c in kept)], ["chain", *kept])
+
+    return dealt.mapInArrow(chain, schema)
 
 
-def owners(entries: DataFrame, names: dict[str, str], text_col: str, page: int, first_bits: int, work: Work | None = None) -> DataFrame:
+def folded(rows: DataFrame, keys: DataFrame, most: int, work: Work) -> tuple[DataFrame, list[DataFrame]]:
+    """Entries (key, entry, n, top, text) of which no key has more than ``most``, and tables (entry, chain) that lead those which
+    were folded to the entry that stands for them, round by round. A round in which a key's entries do not become half as
+    many, as its texts differ, is the last."""
+    tables: list[DataFrame] = []
+    while True:
+        hot = work.stored(keys.where(F.col("entries") > most).select("key", F.ceil(F.col("entries") / most).cast("int").alias("groups")), f"hot-{len(tables)}")
+        if not hot.take(1):
+            return rows, tables
+        grouped = rows.join(broadcast_if_small(hot), "key").withColumn("salt", F.pmod(F.xxhash64("entry"), F.col("groups")).cast("int"))
+        dealt = grouped.repartition("key", "salt").sortWithinPartitions("key", "salt", "entry")
+        links = work.stored(_chained(dealt.select("key", "salt", "entry", "n", "top", "text"), "key", "salt"), f"folded-{len(tables)}")
+        away = links.where("entry <> chain").select("entry", "chain")
+        tables.append(away)
+        rows = rows.join(away.select("entry"), "entry", "left_anti")
+        left = work.stored(links.where("entry = chain").groupBy("key").agg(F.count("*").alias("entries")), f"left-{len(tables)}")
+        keys = left.join(hot, "key").where(F.col("entries") * 2 < F.col("groups") * most)
+
+
+def owners(entries: DataFrame, names: dict[str, str], text_col: str, page: int, first_bits: int, work: Work | None = None, most: int | None = None) -> DataFrame:
     """Each entry with the first entry of its chain: (entry, chain, n, top). Equal bytes, equal chain."""
-    spark = entries.sparkSession
+    spark, most = entries.sparkSession, most or MOST_ENTRIES
     work = work or Work(spark)
-    slots = work.stored(directory(entries, names["key"], page, first_bits, work), "directory")
+    keys = work.stored(entries.groupBy(F.col(names["key"]).alias("key")).agg(F.count("*").alias("entries")), "keys")
+    slots = work.stored(directory(keys, "key", page, first_bits, work), "directory")
     bits = slots.agg(F.max("bits")).first()[0] or first_bits
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own = [names[k] for k in ("key", "entry", "n", "top")]
+    rows = entries.select(*(F.col(names[k]).alias(k) for k in ("key", "entry", "n", "top")), F.col(text_col).alias("text"))
+    rest, tables = folded(rows, keys, most, work)
     # digest bits are even, so equal ranges of keys are equal shares
     owner = F.floor(F.col("bucket") * (tasks / 2.0**bits)).cast("int")
     dealt = (
-        entries.select(*(F.col(c).alias(k) for c, k in zip(own, ("key", "entry", "n", "top"))), F.col(text_col).alias("text"))
-        .withColumn("slot", F.shiftrightunsigned("key", 64 - bits))
+        rest.withColumn("slot", F.shiftrightunsigned("key", 64 - bits))
         .join(broadcast_if_small(slots.select("slot", "bucket")), "slot")
         .drop("slot")
         .repartitionById(tasks, owner)
         .sortWithinPartitions("bucket", "key", "entry")
         .select("key", "entry", "n", "top", "text")
     )
-    schema = T.StructType([T.StructField("entry", T.LongType()), T.StructField("chain", T.LongType()), T.StructField("n", T.LongType()), T.StructField("top", dealt.schema["top"].dataType)])
-
-    def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, texts = None, {}
-        for batch in batches:
-            chains = []
-            values = batch.column("text")
-            for i, (key, entry) in enumerate(zip(batch.column("key").to_pylist(), batch.column("entry").to_pylist())):
-                if key != last:
-                    last, texts = key, {}
-                value = values[i].as_py()
-                norm = b"" if value is None else value.encode().translate(_LOWER)
-                chains.append(texts.setdefault(norm, entry))  # the dict compares the bytes of texts with equal keys
-            yield pa.RecordBatch.from_arrays([batch.column("entry"), pa.array(chains, pa.int64()), batch.column("n"), batch.column("top")], ["entry", "chain", "n", "top"])
-
-    return dealt.mapInArrow(chain, schema)
+    chains = _chained(dealt, "key").select("entry", "chain", "n", "top")
+    if not tables:
+        return chains
+    found = work.stored(chains.select("entry", "chain"), "owned")
+    for away in reversed(tables):
+        found = found.union(away.join(found.select(F.col("entry").alias("chain"), F.col("chain").alias("_chain")), "chain").select("entry", F.col("_chain").alias("chain")))
+    return rows.select("entry", "n", "top").join(found, "entry").select("entry", "chain", "n", "top")
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, page: int, first_bits: int) -> tuple[DataFrame, dict[str, str], DataFrame]:

@@ -1,6 +1,9 @@
 import hashlib
 
+from pyspark.sql import functions as F
+
 from tapewright.llm import dedup, queries
+from tapewright.llm.shared import Work
 
 
 def lower(text):
@@ -70,8 +73,6 @@ def test_owners_get_ranges_of_keys(spark):
     rows = [(int.from_bytes(hashlib.sha256(str(i).encode()).digest()[:8], "big", signed=True), i, 1, i, str(i)) for i in range(400)]
     entries = spark.createDataFrame(rows, "key long, entry long, n long, top long, text string").repartition(3)
     names = {k: k for k in ("key", "entry", "n", "top")}
-    from pyspark.sql import functions as F
-
     dealt = dedup.owners(entries, names, "text", 10, 2).withColumn("task", F.spark_partition_id()).collect()
     key = {r[1]: r[0] % (1 << 64) for r in rows}
     spans = {}
@@ -79,3 +80,39 @@ def test_owners_get_ranges_of_keys(spark):
         spans.setdefault(r["task"], []).append(key[r["entry"]])
     edges = sorted((min(k), max(k)) for k in spans.values())
     assert len(edges) > 1 and all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
+
+
+def test_entries_of_a_hot_key_are_folded_before_they_reach_their_owner(spark):
+    """One text in each of 2,000 batches, another with the same key in a tenth of them, and many that occur once."""
+    rows = [(7, i, 1, i, "Hot" if i % 10 else "other") for i in range(2000)] + [(8, 3000, 1, 1, "hot")]
+    rows += [((i + 100) << 48, 4000 + i, 1, i, f"text {i}") for i in range(300)]
+    entries = spark.createDataFrame(rows, "key long, entry long, n long, top long, text string").repartition(5)
+    names = {k: k for k in ("key", "entry", "n", "top")}
+    work = Work(spark)
+    keys = entries.groupBy("key").agg(F.count("*").alias("entries"))
+    rest, tables = dedup.folded(entries, keys, 20, work)
+    assert rest.where("key = 7").count() <= 20 and len(tables) > 1 and rest.where("key <> 7").count() == 301
+    for k in range(len(tables)):
+        assert spark.read.parquet(f"{work.folder}/folded-{k}").groupBy("key", "salt").count().agg(F.max("count")).first()[0] <= 50
+    got = {(r["entry"], r["n"], r["top"]): r["chain"] for r in dedup.owners(entries, names, "text", 20, 2, most=20).collect()}
+    assert set(got) == {(e, n, top) for _, e, n, top, _ in rows}
+    texts = {e: (k, t.lower()) for k, e, _, _, t in rows}
+    groups = {}
+    for (e, _, _), chain in got.items():
+        groups.setdefault(chain, set()).add(texts[e])
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(texts.values()))
+
+
+def test_different_texts_under_one_hot_key_end_the_rounds(spark):
+    rows = [(7, i, 1, i, f"text {i}") for i in range(300)]
+    entries = spark.createDataFrame(rows, "key long, entry long, n long, top long, text string")
+    got = dedup.owners(entries, {k: k for k in ("key", "entry", "n", "top")}, "text", 20, 2, most=10).collect()
+    assert sorted((r["entry"], r["chain"]) for r in got) == [(i, i) for i in range(300)]
+
+
+def test_folding_changes_no_result(spark, sf, monkeypatch):
+    docs = queries.documents(spark, sf).select("doc_id", "text")
+    docs = docs.union(docs.limit(40)).union(docs.limit(40)).repartition(16)
+    want = sorted(map(tuple, dedup.exact_duplicates(docs).collect()))
+    monkeypatch.setattr(dedup, "MOST_ENTRIES", 2)
+    assert sorted(map(tuple, dedup.exact_duplicates(docs).collect())) == want
