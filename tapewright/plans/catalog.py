@@ -903,7 +903,7 @@ def s12_stored_gaps(spark, sf):
     broken = found.where(F.col("listing_id") == LISTING).withColumn("listing_id", F.lit(None).cast("int"))
     jobs.store_gaps(found, path)
     jobs.store_gaps(found.union(broken), path)
-    return spark.read.parquet(path).select("listing_id", epoch(), "status")
+    return jobs.gap_table(spark, path).select("listing_id", epoch(), "status")
 
 
 @query

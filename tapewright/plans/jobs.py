@@ -13,7 +13,7 @@ from ..config import METRICS, MetricParams
 from ..operators import baseline, coverage, gaps, ledger, merge, metrics, rules, tables
 from ..sources import io
 from ..sources.counted import written
-from ..sources.work import exists, stored
+from ..sources.work import exists, read_back, stored
 from ..streaming import jobs as streams
 
 MODES = ("statistics", "issues", "all")
@@ -166,6 +166,11 @@ def store_gaps(found: DataFrame, path: str) -> DataFrame:
     return io.upsert(found.withColumn("date", F.to_date("minute")), path, "listing_id", "minute", keep_reviewed=True)
 
 
+def gap_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table of `store_gaps`, also where no gap was ever put."""
+    return read_back(spark, path, f"{schemas.GAPS}, date DATE")
+
+
 def store_merged(entries: DataFrame, raw: DataFrame, path: str) -> dict[str, int]:
     """Write the merged ticks of the notified minutes. Returns records_in, records_out and minutes, counted in the write."""
     held = raw.join(merge.affected_minutes(entries), list(merge.KEY), "left_semi")

@@ -110,7 +110,8 @@ def upsert(new: DataFrame, path: str, *key: str, by: tuple[str, ...] = ("date",)
     spark = new.sparkSession
     good = tables.valid_updates(new, key).dropDuplicates(list(key))
     if exists(spark, path):
-        old = spark.read.parquet(path).join(good.select(*by).distinct(), list(by), "left_semi")
+        # a table that has had no rows yet holds no file to infer a schema from
+        old = spark.read.schema(good.schema).parquet(path).join(good.select(*by).distinct(), list(by), "left_semi")
         good = (tables.put_unreviewed if keep_reviewed else tables.put)(old.select(*good.columns), good, *key)
     # written elsewhere first, as the table is read until then
     overwrite_partitions(stored(good, "put"), path, *by)

@@ -28,6 +28,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_back(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table that a job has written, which may have no rows yet. The schema is given, as partitioned writes of no rows leave no
+    file that tells it; where there is no such folder the table is empty too."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place

@@ -46,6 +46,25 @@ def test_query_against_sql(spark, sf, duck, name):
     assert rows(got) == rows(want)
 
 
+@pytest.fixture(scope="module")
+def complete(tmp_path_factory):
+    """Events of six listings without a missing minute."""
+    path = tmp_path_factory.mktemp("complete")
+    sql = """SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_minutes(i // 6) AS ts, i % 6 AS user_id, 'view' AS event_type, 1.5 AS value, '{"k": 1}' AS props FROM range(60) r(i)"""
+    duckdb.execute(f"COPY ({sql}) TO '{path}/events.parquet' (FORMAT parquet)")
+    return str(path)
+
+
+@pytest.mark.parametrize("name", ["s12_stored_gaps"])
+def test_no_gap_is_no_error(spark, sf, complete, name):
+    """A table that no row was ever put into is read as an empty one."""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{complete}/events.parquet'")
+    got = catalog.QUERIES[name](spark, complete)
+    assert got.collect() == con.execute(oracle.SQL[name]).fetchall() == []
+    assert got.dtypes == catalog.QUERIES[name](spark, sf).dtypes
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 

@@ -173,3 +173,14 @@ def test_versions_are_folded(spark, tmp_path):
     before = sorted(tuple(r) for r in versioned.current(spark, path, schema, "k").collect())
     spark.read.schema(f"{schema}, version int").parquet(f"{path}/base/48").write.parquet(f"{path}/base/47")
     assert sorted(tuple(r) for r in versioned.current(spark, path, schema, "k").collect()) == before
+
+
+def test_gaps_are_put_into_a_table_without_rows(spark, tmp_path):
+    """The first rows may come after puts of none, which leave no file; another put of none takes nothing away."""
+    path = str(tmp_path / "gaps")
+    found = spark.createDataFrame([(1, 1_705_314_600, "UNREVIEWED"), (2, 1_705_414_600, "REVIEWED")], "listing_id int, s long, status string")
+    found = found.select("listing_id", F.timestamp_seconds("s").alias("minute"), "status", F.lit("UNKNOWN").alias("reason"), F.lit(False).alias("expected"), F.lit("n").alias("note"), F.timestamp_seconds("s").alias("created_at"))
+    ids = lambda: sorted(r.listing_id for r in jobs.gap_table(spark, path).collect())
+    assert ids() == []
+    for rows, want in ((found.limit(0), []), (found.limit(0), []), (found, [1, 2]), (found.limit(0), [1, 2])):
+        assert jobs.store_gaps(rows, path).collect() == [] and ids() == want
