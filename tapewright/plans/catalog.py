@@ -843,8 +843,7 @@ def x07_running_statistics(spark, sf):
 def x08_gaps_on_arrival(spark, sf):
     path = work_dir(spark, "gaps")
     streams.run_available(streams.gaps_on_arrival(_tick_stream(spark, sf)), streams.versions_sink(path), "update")
-    found = tables.latest(spark.read.parquet(path), "listing_id", "previous", "minute").where("present")
-    return found.select("listing_id", "previous", "minute", "missing")
+    return streams.arrived_gaps(spark, path)
 
 
 def _late(spark, sf) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import GAP_SEARCH_MINUTES, METRICS, MetricParams
 from ..operators import baseline, gaps, merge, tables
 from ..sources import io
-from ..sources.work import claimed, exists, stored, work_dir
+from ..sources.work import claimed, exists, read_back, stored, work_dir
 from .gap_state import GapState
 
 #: How long late captures are waited for before gaps are looked for.
@@ -110,6 +110,12 @@ def gaps_on_arrival(minutes: DataFrame, search_minutes: int = GAP_SEARCH_MINUTES
     return dated.groupBy("listing_id").transformWithStateInPandas(GapState(search_minutes), GapState.OUTPUT, "Update", "EventTime")
 
 
+def arrived_gaps(spark: SparkSession, path: str) -> DataFrame:
+    """Gaps that stand by the latest version, of a table that `gaps_on_arrival` fills: listing_id, previous, minute, missing."""
+    versions = read_back(spark, path, f"{GapState.OUTPUT}, version int")
+    return tables.latest(versions, "listing_id", "previous", "minute").where("present").select("listing_id", "previous", "minute", "missing")
+
+
 def merge_sink(raw_path: str, merged_path: str, strategy: str = "most_records") -> Callable[[DataFrame, int], None]:
     """Batches of notified raw entries: their minutes are merged again from all captures in the raw table and replaced.
 

@@ -55,7 +55,7 @@ def complete(tmp_path_factory):
     return str(path)
 
 
-@pytest.mark.parametrize("name", ["s12_stored_gaps"])
+@pytest.mark.parametrize("name", ["s12_stored_gaps", "x08_gaps_on_arrival"])
 def test_no_gap_is_no_error(spark, sf, complete, name):
     """A table that no row was ever put into is read as an empty one."""
     con = duckdb.connect()
