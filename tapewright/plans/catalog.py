@@ -858,7 +858,7 @@ def x08_late_minutes(spark, sf):
     """Late minutes take back the gaps they fall in and leave those at their sides; the watermark waits a batch for them."""
     path = work_dir(spark, "gaps")
     streams.run_available(streams.gaps_on_arrival(_landed(spark, _late(spark, sf), "pos"), 120, "10 days"), streams.versions_sink(path), "update")
-    found = tables.latest(spark.read.parquet(path), "listing_id", "previous", "minute").where("present")
+    found = streams.arrived_gaps(spark, path)
     return found.select("listing_id", F.explode(F.sequence(F.col("previous") + 60, F.col("minute") - 60, F.lit(60))).alias("minute"))
 
 

@@ -48,14 +48,14 @@ def test_query_against_sql(spark, sf, duck, name):
 
 @pytest.fixture(scope="module")
 def complete(tmp_path_factory):
-    """Events of six listings without a missing minute."""
+    """Events of six listings without a missing minute, four in each, so that late ones leave no gap for a while either."""
     path = tmp_path_factory.mktemp("complete")
-    sql = """SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_minutes(i // 6) AS ts, i % 6 AS user_id, 'view' AS event_type, 1.5 AS value, '{"k": 1}' AS props FROM range(60) r(i)"""
+    sql = """SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_minutes(i // 24) AS ts, i % 6 AS user_id, 'view' AS event_type, 1.5 AS value, '{"k": 1}' AS props FROM range(240) r(i)"""
     duckdb.execute(f"COPY ({sql}) TO '{path}/events.parquet' (FORMAT parquet)")
     return str(path)
 
 
-@pytest.mark.parametrize("name", ["s12_stored_gaps", "x08_gaps_on_arrival"])
+@pytest.mark.parametrize("name", ["s12_stored_gaps", "x08_gaps_on_arrival", "x08_late_minutes"])
 def test_no_gap_is_no_error(spark, sf, complete, name):
     """A table that no row was ever put into is read as an empty one."""
     con = duckdb.connect()
